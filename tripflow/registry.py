@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.operators.weather import daily_weather
 from tripflow.plans.station_day import station_day
+from tripflow.plans.trip_mart import trip_mart
 from tripflow.operators.flow import station_day_flow
 from tripflow.sources import driver_tables as dt
 
@@ -30,7 +32,30 @@ def q_station_congestion(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weather_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_weather(dt.weather_raw_view(spark, sf_dir), years=DATA_YEARS)
+
+
+def trip_mart_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trip_mart(
+        dt.trips_view(spark, sf_dir),
+        dt.stations_view(spark, sf_dir),
+        weather_of(spark, sf_dir),
+        years=range(DATA_YEARS[0], DATA_YEARS[1] + 1),
+    )
+
+
+def q_daily_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_weather(dt.weather_raw_view(spark, sf_dir), years=DATA_YEARS, sort=True)
+
+
+def q_trip_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trip_mart_of(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_day_flow": q_station_day_flow,
     "station_congestion": q_station_congestion,
+    "daily_weather": q_daily_weather,
+    "trip_mart": q_trip_mart,
 }
