@@ -207,3 +207,148 @@ ORACLE_SQL.update(
         "trip_mart": TRIP_MART_SQL,
     }
 )
+
+# --- reports -----------------------------------------------------------------
+
+ALL_VIEWS = with_views(STATIONS_V, TRIPS_V, WEATHER_RAW_V, WEATHER_V, TRIP_MART_CORE, STATION_DAY_CORE)
+MART_VIEWS = TRIP_MART_VIEWS
+SD_VIEWS = with_views(STATIONS_V, TRIPS_V, STATION_DAY_CORE)
+SD_WEATHER_VIEWS = with_views(STATIONS_V, TRIPS_V, WEATHER_RAW_V, WEATHER_V, STATION_DAY_CORE)
+
+ROUTE_MONTHS = """,
+rm AS (
+  SELECT start_station_name, end_station_name, CAST(date_trunc('month', start_date) AS DATE) AS trip_month,
+         count(*) AS trips
+  FROM trip_mart GROUP BY 1, 2, 3
+)"""
+
+USERTYPES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+def _fixed_mean_sql(x: str, where: str | None = None, decimals: int = 2) -> str:
+    f = f" FILTER (WHERE {where})" if where else ""
+    scale = 10**decimals
+    return (
+        f"CAST(sum(CAST(round({x} * {scale}) AS BIGINT)){f} AS DOUBLE) / "
+        f"NULLIF(count({x}){f}, 0) / CAST({scale} AS DOUBLE)"
+    )
+
+
+def _area_summary_sql() -> str:
+    cols = []
+    for u in USERTYPES:
+        k = u.lower()
+        cols.append(f"count(*) FILTER (WHERE usertype = '{u}') AS trips_{k}")
+        cols.append(f"{_fixed_mean_sql('trip_minute', f'usertype = {chr(39)}{u}{chr(39)}')} AS avg_minute_{k}")
+    in_list = ", ".join(f"'{u}'" for u in USERTYPES)
+    cols.append(f"count(*) FILTER (WHERE usertype IN ({in_list})) AS trips")
+    return MART_VIEWS + f"""
+SELECT start_borough, start_neighborhood, {", ".join(cols)}
+FROM trip_mart GROUP BY 1, 2
+"""
+
+
+def _station_flows_sql(where: str = "TRUE") -> str:
+    return MART_VIEWS + f"""
+SELECT start_station_name, end_station_name, start_neighborhood, end_neighborhood,
+       count(*) AS trips, {_fixed_mean_sql('trip_avg_speed_kmh')} AS avg_speed_kmh
+FROM trip_mart WHERE {where} GROUP BY 1, 2, 3, 4
+"""
+
+
+DAILY_USAGE = """,
+daily AS (
+  SELECT d.trip_date, d.daily_trips, w.temperature, w.precipitation, w.wind_speed
+  FROM (SELECT trip_date, CAST(sum(trips_started) AS BIGINT) AS daily_trips FROM station_day GROUP BY 1) d
+  LEFT JOIN weather_v w ON d.trip_date = CAST(w.timestamp AS DATE)
+)"""
+
+ORACLE_SQL.update(
+    {
+        "kpi_tiles": ALL_VIEWS + """
+SELECT 'total_trips' AS metric, CAST(count(*) AS DOUBLE) AS value FROM trip_mart
+UNION ALL
+SELECT 'active_stations', CAST(count(DISTINCT s) AS DOUBLE)
+FROM (SELECT start_station_name AS s FROM trips_v UNION ALL SELECT end_station_name FROM trips_v)
+UNION ALL
+SELECT 'utilization_rate', round(avg(trips_per_dock), 6) FROM station_day
+UNION ALL
+SELECT 'avg_net_flow', avg(net_flow) FROM station_day
+""",
+        "route_busiest_month": MART_VIEWS + ROUTE_MONTHS + """
+SELECT start_station_name, end_station_name, start_station_name || ' -> ' || end_station_name AS route,
+       trip_month AS busiest_month, trips AS trips_in_month
+FROM (SELECT *, row_number() OVER (PARTITION BY start_station_name, end_station_name
+                                   ORDER BY trips DESC, trip_month DESC) AS rn FROM rm)
+WHERE rn = 1
+""",
+        "latest_month_top_routes": MART_VIEWS + ROUTE_MONTHS + """
+SELECT trip_month AS latest_month, start_station_name, end_station_name,
+       start_station_name || ' -> ' || end_station_name AS route, trips AS trips_in_month
+FROM rm WHERE trip_month = (SELECT max(trip_month) FROM rm)
+ORDER BY trips DESC, start_station_name, end_station_name LIMIT 10
+""",
+        "monthly_by_usertype": MART_VIEWS + """
+SELECT CAST(date_trunc('month', start_date) AS DATE) AS trip_month, usertype, count(*) AS trips
+FROM trip_mart GROUP BY 1, 2
+""",
+        "time_of_day_hist": MART_VIEWS + """
+SELECT time_of_day, count(*) AS trips FROM trip_mart GROUP BY 1
+""",
+        "season_hist": MART_VIEWS + """
+SELECT season, count(*) AS trips FROM trip_mart GROUP BY 1
+""",
+        "start_station_map": MART_VIEWS + """
+SELECT c.start_station_name, c.trips, s.latitude, s.longitude, s.borough, s.neighborhood
+FROM (SELECT start_station_name, count(*) AS trips FROM trip_mart GROUP BY 1) c
+LEFT JOIN stations_v s ON c.start_station_name = s.name
+""",
+        "start_area_summary": _area_summary_sql(),
+        "top_destinations": MART_VIEWS + """
+SELECT end_borough, end_neighborhood, trips,
+       CAST(row_number() OVER (ORDER BY trips DESC, end_borough, end_neighborhood) AS INTEGER) AS rank
+FROM (SELECT end_borough, end_neighborhood, count(*) AS trips FROM trip_mart GROUP BY 1, 2)
+ORDER BY trips DESC, end_borough, end_neighborhood LIMIT 10
+""",
+        "station_flows": _station_flows_sql(),
+        "sliced_station_flows": _station_flows_sql(
+            "season IN ('Summer', 'Fall') AND time_of_day IN ('Morning', 'Evening') AND precipitation > 0"
+        ),
+        "utilization_by_month": SD_VIEWS + """
+SELECT CAST(date_trunc('month', trip_date) AS DATE) AS trip_month, round(avg(trips_per_dock), 6) AS utilization_rate
+FROM station_day GROUP BY 1
+""",
+        "net_flow_map": SD_VIEWS + """
+SELECT station_name, latitude, longitude, avg(net_flow) AS avg_net_flow,
+       CAST(sum(trips_started + trips_ended) AS BIGINT) AS trip_count,
+       CASE WHEN avg(net_flow) > 0 THEN 'Destination (surplus)'
+            WHEN avg(net_flow) < 0 THEN 'Origin (shortage)'
+            WHEN avg(net_flow) = 0 THEN 'Balanced' END AS flow_class
+FROM station_day GROUP BY 1, 2, 3
+""",
+        "station_metrics": SD_VIEWS + """
+SELECT borough, neighborhood, station_name, round(avg(trips_per_dock), 6) AS utilization_rate,
+       avg(net_flow) AS avg_net_flow, round(avg(flow_stress_score), 6) AS flow_stress_score
+FROM station_day GROUP BY 1, 2, 3
+""",
+        "weather_usage": SD_WEATHER_VIEWS + DAILY_USAGE + """
+SELECT CASE WHEN precipitation > 0 THEN 'Rain' WHEN precipitation = 0 THEN 'No rain' ELSE 'Unknown' END AS rain_condition,
+       count(*) AS days, avg(daily_trips) AS avg_daily_trips, round(avg(temperature), 6) AS avg_temperature
+FROM daily GROUP BY 1
+""",
+        "weather_correlation": SD_WEATHER_VIEWS + DAILY_USAGE + """
+SELECT round(corr(daily_trips, temperature), 6) AS corr_temperature,
+       round(corr(daily_trips, precipitation), 6) AS corr_precipitation,
+       round(corr(daily_trips, wind_speed), 6) AS corr_wind_speed,
+       count(*) AS days
+FROM daily
+""",
+        "route_distances": with_views(STATIONS_V, TRIPS_V) + """
+SELECT r.start_station_name, r.end_station_name,
+       """ + _haversine_sql("s.latitude", "s.longitude", "e.latitude", "e.longitude") + """ / 1000 AS distance_km
+FROM (SELECT DISTINCT start_station_name, end_station_name FROM trips_v) r
+JOIN stations_v s ON r.start_station_name = s.name
+JOIN stations_v e ON r.end_station_name = e.name
+""",
+    }
+)

@@ -59,3 +59,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_weather": q_daily_weather,
     "trip_mart": q_trip_mart,
 }
+
+
+# --- reports -----------------------------------------------------------------
+
+from tripflow.functions.geo import haversine_m  # noqa: E402
+from tripflow.operators.joins import bounded_broadcast  # noqa: E402
+from tripflow.operators.slicing import slice_trips  # noqa: E402
+from tripflow.plans import reports as R  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+# Market segments of the driver data play the user types.
+USERTYPES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+def station_day_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return station_day(dt.trips_view(spark, sf_dir), dt.stations_view(spark, sf_dir), date_range=DATA_RANGE)
+
+
+def q_kpi_tiles(spark, sf_dir):
+    return R.kpi_tiles(trip_mart_of(spark, sf_dir), dt.trips_view(spark, sf_dir), station_day_of(spark, sf_dir))
+
+
+def q_route_distances(spark, sf_dir):
+    """G2 over every route that occurs: great-circle km between the route's stations."""
+    routes = dt.trips_view(spark, sf_dir).select("start_station_name", "end_station_name").distinct()
+    st = bounded_broadcast(dt.stations_view(spark, sf_dir).select("name", "latitude", "longitude"))
+    s = st.toDF("start_station_name", "s_lat", "s_lon")
+    e = st.toDF("end_station_name", "e_lat", "e_lon")
+    return routes.join(s, "start_station_name").join(e, "end_station_name").select(
+        "start_station_name",
+        "end_station_name",
+        (haversine_m("s_lat", "s_lon", "e_lat", "e_lon") / F.lit(1000.0)).alias("distance_km"),
+    )
+
+
+QUERIES.update(
+    {
+        "kpi_tiles": q_kpi_tiles,
+        "route_busiest_month": lambda s, d: R.route_busiest_month(trip_mart_of(s, d)),
+        "latest_month_top_routes": lambda s, d: R.latest_month_top_routes(trip_mart_of(s, d), k=10),
+        "monthly_by_usertype": lambda s, d: R.monthly_by_usertype(trip_mart_of(s, d)),
+        "time_of_day_hist": lambda s, d: R.trips_by_time_of_day(trip_mart_of(s, d)),
+        "season_hist": lambda s, d: R.trips_by_season(trip_mart_of(s, d)),
+        "start_station_map": lambda s, d: R.start_station_map(trip_mart_of(s, d), dt.stations_view(s, d)),
+        "start_area_summary": lambda s, d: R.start_area_summary(trip_mart_of(s, d), USERTYPES),
+        "top_destinations": lambda s, d: R.top_destinations(trip_mart_of(s, d), k=10),
+        "station_flows": lambda s, d: R.station_flows(trip_mart_of(s, d)),
+        "sliced_station_flows": lambda s, d: R.station_flows(
+            slice_trips(
+                trip_mart_of(s, d),
+                seasons=("Summer", "Fall"),
+                times_of_day=("Morning", "Evening"),
+                rain=("Rain",),
+            )
+        ),
+        "utilization_by_month": lambda s, d: R.utilization_by_month(station_day_of(s, d)),
+        "net_flow_map": lambda s, d: R.net_flow_map(station_day_of(s, d)),
+        "station_metrics": lambda s, d: R.station_metrics(station_day_of(s, d)),
+        "weather_usage": lambda s, d: R.weather_usage(station_day_of(s, d), weather_of(s, d)),
+        "weather_correlation": lambda s, d: R.weather_correlation(station_day_of(s, d), weather_of(s, d)),
+        "route_distances": q_route_distances,
+    }
+)
