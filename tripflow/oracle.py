@@ -352,3 +352,65 @@ JOIN stations_v e ON r.end_station_name = e.name
 """,
     }
 )
+
+# --- spatial -------------------------------------------------------------------
+
+NATION_SQUARES = """
+nation_sq AS (
+  SELECT CAST(n.n_nationkey AS VARCHAR) AS area_id, r.r_name AS borough, n.n_name AS neighborhood,
+         n.n_regionkey AS region, CAST((n.n_nationkey % 5) * 10 AS DOUBLE) AS x0,
+         CAST((n.n_nationkey // 5) * 10 AS DOUBLE) AS y0
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+)"""
+
+# strictly inside the outer square and not in the closed hole
+_IN_NATION = (
+    "{x} > a.x0 AND {x} < a.x0 + 8 AND {y} > a.y0 AND {y} < a.y0 + 8 "
+    "AND NOT ({x} >= a.x0 + 3 AND {x} <= a.x0 + 5 AND {y} >= a.y0 + 3 AND {y} <= a.y0 + 5)"
+)
+
+ORACLE_SQL.update(
+    {
+        "points_in_areas": with_views(NATION_SQUARES) + """,
+pts AS (
+  SELECT c_custkey AS point_id, CAST((c_custkey * 53) % 4900 AS DOUBLE) / 100 AS latitude,
+         CAST((c_custkey * 37) % 4900 AS DOUBLE) / 100 AS longitude
+  FROM customer
+),
+hits AS (
+  SELECT p.point_id, a.area_id, a.borough, a.neighborhood
+  FROM pts p JOIN nation_sq a ON """ + _IN_NATION.format(x="p.longitude", y="p.latitude") + """
+  UNION ALL
+  SELECT DISTINCT p.point_id, 'R' || CAST(a.region AS VARCHAR), a.borough, a.borough || ' (all)'
+  FROM pts p JOIN nation_sq a
+    ON p.longitude > a.x0 AND p.longitude < a.x0 + 8 AND p.latitude > a.y0 AND p.latitude < a.y0 + 8
+)
+SELECT p.point_id, p.latitude, p.longitude, h.area_id, h.borough, h.neighborhood
+FROM pts p LEFT JOIN hits h ON p.point_id = h.point_id
+""",
+        "station_dimension": with_views(NATION_SQUARES) + """,
+info AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS name,
+         CASE WHEN s_suppkey % 11 <> 0 THEN 'SS' || CAST(s_suppkey AS VARCHAR) END AS short_name,
+         CAST((s_suppkey * 53) % 4900 AS DOUBLE) / 100 AS lat,
+         CAST((s_suppkey * 37) % 4900 AS DOUBLE) / 100 AS lon,
+         CASE WHEN s_suppkey % 13 = 0 THEN 'x' ELSE CAST(s_nationkey AS VARCHAR) || '.0' END AS region_id,
+         CAST(s_suppkey % 40 AS VARCHAR) AS capacity
+  FROM supplier
+),
+placed AS (
+  SELECT i.station_id, i.name, i.short_name, i.lat AS latitude, i.lon AS longitude,
+         TRY_CAST(TRY_CAST(i.region_id AS DOUBLE) AS BIGINT) AS region_id,
+         TRY_CAST(TRY_CAST(i.capacity AS DOUBLE) AS BIGINT) AS capacity,
+         a.borough, a.neighborhood
+  FROM info i
+  LEFT JOIN nation_sq a ON """ + _IN_NATION.format(x="i.lon", y="i.lat") + """
+  WHERE i.station_id IN (SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem)
+)
+SELECT * FROM placed
+WHERE station_id IS NOT NULL AND name IS NOT NULL AND short_name IS NOT NULL AND latitude IS NOT NULL
+  AND longitude IS NOT NULL AND region_id IS NOT NULL AND capacity IS NOT NULL
+  AND borough IS NOT NULL AND neighborhood IS NOT NULL
+""",
+    }
+)

@@ -122,3 +122,25 @@ QUERIES.update(
         "route_distances": q_route_distances,
     }
 )
+
+
+# --- spatial -------------------------------------------------------------------
+
+from tripflow.operators.spatial import points_in_areas  # noqa: E402
+from tripflow.plans.stations import station_dimension  # noqa: E402
+
+AREA_CELL = 2.0  # plane units; an area square is 8 x 8
+
+
+def q_points_in_areas(spark, sf_dir):
+    pts = dt.customer_points(spark, sf_dir)
+    areas = dt.areas_view(spark, sf_dir, with_regions=True)
+    return points_in_areas(pts, areas, AREA_CELL, ["borough", "neighborhood"])
+
+
+def q_station_dimension(spark, sf_dir):
+    info, status = dt.supplier_sites(spark, sf_dir)
+    return station_dimension(info, status, dt.areas_view(spark, sf_dir), cell_size=AREA_CELL)
+
+
+QUERIES.update({"points_in_areas": q_points_in_areas, "station_dimension": q_station_dimension})

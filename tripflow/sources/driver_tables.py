@@ -213,7 +213,7 @@ def supplier_sites(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     info = s.select(
         k.cast("string").alias("station_id"),
         F.col("s_name").alias("name"),
-        F.when(k % 11 == 0, F.lit("nan")).otherwise(F.concat(F.lit("SS"), k.cast("string"))).alias("short_name"),
+        F.when(k % 11 != 0, F.concat(F.lit("SS"), k.cast("string"))).alias("short_name"),
         _plane(k, 53).alias("lat"),
         _plane(k, 37).alias("lon"),
         F.when(k % 13 == 0, F.lit("x")).otherwise(F.concat(F.col("s_nationkey").cast("string"), F.lit(".0"))).alias(
