@@ -92,9 +92,13 @@ def trip_mart(
         }
     )
     if weather is not None:
-        w = bounded_broadcast(
-            weather.select(F.to_date("timestamp").alias("_wday"), *weather_columns)
-        )
+        w = weather.select(F.to_date("timestamp").alias("_wday"), *weather_columns)
+        if years is not None:
+            # daily weather has one row per day, so within the kept years it
+            # has at most 366 rows a year: a bound known without counting
+            w = F.broadcast(w.where(C.year_range(F.col("_wday").cast("timestamp_ntz"), min(years), max(years))))
+        else:
+            w = bounded_broadcast(w)
         t = t.join(w, t["start_date"] == w["_wday"], "left").drop("_wday")
         wcols = list(weather_columns)
     else:

@@ -37,8 +37,26 @@ GRID, SIDE, HOLE_LO, HOLE_HI = 10, 8, 3, 5
 PLANE_MOD = 4900  # site coordinates are (key * mult % PLANE_MOD) / 100
 
 
+# Key to spread a table on when its files do not split into enough tasks.
+SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey", "events": "event_id"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one driver table.
+
+    A file written as one row group is one scan task, so everything before the
+    first shuffle would run on one core. When the scan has fewer partitions
+    than the cluster's default parallelism, the table is hash-spread on its key
+    first; on real inputs (many files / row groups) the scan is already wide and
+    nothing is added.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = SPREAD_KEYS.get(name)
+    if key is not None:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target, key)
+    return df
 
 
 def _micro_degrees(base: int, key: Column, step: int, offset: int, jitter: Column | None) -> Column:
