@@ -144,3 +144,37 @@ def q_station_dimension(spark, sf_dir):
 
 
 QUERIES.update({"points_in_areas": q_points_in_areas, "station_dimension": q_station_dimension})
+
+
+# --- ingest --------------------------------------------------------------------
+
+from tripflow.functions.cleaning import parse_time  # noqa: E402
+from tripflow.plans.ingest import ingest_trip_files, land_as_text  # noqa: E402
+from tripflow.session import scratch_path  # noqa: E402
+
+
+def q_trip_file_ingest(spark, sf_dir):
+    """Trips rendered to monthly text files in two layouts, ingested back into a
+    Parquet store, then the station-day flow computed from the store."""
+    landing = scratch_path(spark, "landing")
+    store = scratch_path(spark, "trip-store")
+    land_as_text(dt.trips_view(spark, sf_dir), landing)
+    ingest_trip_files(spark, landing, store)
+    return station_day_flow(spark.read.parquet(store))
+
+
+def q_parse_trip_times(spark, sf_dir):
+    """Event times rendered in the layouts trip files use, parsed back."""
+    ev = dt.load(spark, sf_dir, "events")
+    k = F.col("event_id") % 4
+    text = (
+        F.when(F.col("event_type") == "error", F.lit("n/a"))
+        .when(k == 0, F.date_format("ts", "M/d/yyyy H:mm"))
+        .when(k == 1, F.date_format("ts", "M/d/yyyy H:mm:ss"))
+        .when(k == 2, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    )
+    return ev.select("event_id", text.alias("time_text")).withColumn("parsed", parse_time("time_text"))
+
+
+QUERIES.update({"trip_file_ingest": q_trip_file_ingest, "parse_trip_times": q_parse_trip_times})

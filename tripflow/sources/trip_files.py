@@ -49,19 +49,32 @@ def header_lines(spark: SparkSession, root: str, synonyms: Mapping[str, str] = H
     known = F.array(*[F.lit(k) for k in synonyms])
     fields = _normalised_fields(F.col("value"))
     hits = F.size(F.filter(fields, lambda f: F.array_contains(known, f)))
-    ym_parts = F.regexp_extract("file_name", FILE_MONTH_PATTERN, 1), F.regexp_extract("file_name", FILE_MONTH_PATTERN, 2)
     return (
         text.where(hits * 2 >= F.size(fields))
         .select(
             "file_path",
             "file_name",
-            F.when(ym_parts[0] != "", F.concat_ws("_", *ym_parts)).alias("year_month"),
+            month_tag("file_name", "file_path").alias("year_month"),
             F.col("value").alias("header"),
         )
         .dropDuplicates(["file_path"])
     )
 
 
+# a folder named YYYYMM..., or key=YYYYMM... as Spark's partitioned writers name them
+_DIR_MONTH_PATTERN = r"/(?:[^/=]*=)?(\d{4})(\d{2})[^/]*/[^/]*$"
+
+
+def month_tag(file_name: str, file_path: str) -> Column:
+    """``YYYY_MM`` from a file name starting with ``YYYYMM``; else from the
+    file's folder name; null when neither carries one."""
+    def tag(c: str, pattern: str) -> Column:
+        y, m = F.regexp_extract(c, pattern, 1), F.regexp_extract(c, pattern, 2)
+        return F.when(y != "", F.concat_ws("_", y, m))
+
+    return F.coalesce(tag(file_name, FILE_MONTH_PATTERN), tag(file_path, _DIR_MONTH_PATTERN))
+
+
 def canonical_names(header: str, synonyms: Mapping[str, str] = HEADER_SYNONYMS) -> tuple[list[str], list[str]]:
     """(column names to read the file with, unknown extra columns).
 
@@ -93,7 +106,7 @@ def read_layout(spark: SparkSession, files: Sequence[str], names: Sequence[str])
     )
     return df.select(
         *[F.col(f.name) if f.name in names else F.lit(None).cast("string").alias(f.name) for f in TRIP_FIELDS],
-        F.col("_metadata.file_name").alias("_file_name"),
+        month_tag("_metadata.file_name", "_metadata.file_path").alias("year_month"),
     )
 
 
@@ -115,12 +128,7 @@ def read_trip_files(spark: SparkSession, root: str, synonyms: Mapping[str, str]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    ym = F.concat_ws(
-        "_",
-        F.regexp_extract("_file_name", FILE_MONTH_PATTERN, 1),
-        F.regexp_extract("_file_name", FILE_MONTH_PATTERN, 2),
-    )
-    return out.withColumn("year_month", ym).drop("_file_name")
+    return out
 
 
 def file_layouts(spark: SparkSession, root: str, synonyms: Mapping[str, str] = HEADER_SYNONYMS) -> DataFrame:
