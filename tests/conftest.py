@@ -12,7 +12,10 @@ sys.path.insert(0, ROOT)
 def spark():
     from tripflow.session import build_session, checkpoint_dir
 
-    s = build_session(master="local[4]", app="tripflow-tests", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="tripflow-warehouse-", dir="/tmp")
+    s = build_session(
+        master="local[4]", app="tripflow-tests", shuffle_partitions=8, extra={"spark.sql.warehouse.dir": warehouse}
+    )
     # tests only: the session has no shared folder configured unless the environment gives one
     checkpoint_dir(s, default=tempfile.mkdtemp(prefix="tripflow-ckpt-", dir="/tmp"))
     yield s

@@ -159,3 +159,18 @@ def test_daily_weather_sentinels(spark):
     assert a.timestamp == dt.datetime(2015, 6, 1) and a.temperature == 70.0 and a.visibility == 9.0
     assert a.wind_speed == 5.0 and a.wind_gust == 20.0 and a.precipitation == 0.5 and a.snow_depth is None
     assert b.temperature is None and b.visibility is None
+
+
+def test_unique_names_check_and_point_part(spark):
+    import pytest
+
+    from tripflow.functions.geo import point_part, point_text
+    from tripflow.plans.station_day import assert_unique
+
+    st = spark.createDataFrame([("A", "Q"), ("A", "Q"), ("B", "Q")], "name string, borough string")
+    with pytest.raises(ValueError):
+        assert_unique(st, ["name"])
+    assert_unique(st.where("name = 'B'"), ["name"])
+    df = spark.createDataFrame([(40.71234, -74.00112), (None, 1.0)], "lat double, lon double")
+    rows = df.select(point_text("lat", "lon").alias("p")).select(point_part("p", 0), point_part("p", 1)).collect()
+    assert tuple(rows[0]) == (40.71234, -74.00112) and tuple(rows[1]) == (None, None)

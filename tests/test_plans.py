@@ -50,3 +50,35 @@ def test_year_filter_reaches_parquet_scan(spark, tmp_dir):
     assert "ReadSchema: struct<usertype:string" in text
     assert "tripduration" in text and "bikeid" not in text
     assert df.count() == 1
+
+
+def test_station_day_range_reaches_parquet_scan(spark, tmp_dir):
+    from tripflow.plans.station_day import station_day
+
+    t = dt.datetime(2015, 6, 1, 8)
+    spark.createDataFrame(
+        [("A", "B", t, t + dt.timedelta(minutes=5), 7)],
+        "start_station_name string, end_station_name string, starttime timestamp_ntz, stoptime timestamp_ntz, bikeid int",
+    ).write.parquet(f"{tmp_dir}/t")
+    stations = spark.createDataFrame(
+        [("A", "Q", "N", 1.0, 1.0, 3), ("B", "Q", "N", 1.0, 1.0, 3)],
+        "name string, borough string, neighborhood string, latitude double, longitude double, capacity long",
+    )
+    df = station_day(spark.read.parquet(f"{tmp_dir}/t"), stations, date_range=("2015-01-01", "2015-12-31"))
+    text = plan_of(df)
+    assert "Or(And(GreaterThanOrEqual(starttime" in text, text
+    assert "bikeid" not in text
+    assert sorted((r.station_name, r.trips_started, r.trips_ended) for r in df.collect()) == [("A", 1, 0), ("B", 0, 1)]
+
+
+def test_flow_is_one_shuffle_with_map_side_combine(spark, tmp_dir):
+    from tripflow.operators.flow import station_day_flow
+
+    t = dt.datetime(2015, 6, 1, 8)
+    spark.createDataFrame(
+        [("A", "B", t, t)] * 3, "start_station_name string, end_station_name string, starttime timestamp_ntz, stoptime timestamp_ntz"
+    ).write.parquet(f"{tmp_dir}/f")
+    text = plan_of(station_day_flow(spark.read.parquet(f"{tmp_dir}/f")))
+    tree = text.split("\n\n")[0]
+    assert tree.count("Exchange") == 1 and tree.count("Scan parquet") == 1
+    assert "partial_sum" in text

@@ -51,3 +51,9 @@ def cell_index(coord: str | Column, cell_size: float) -> Column:
 def point_text(lat: str | Column, lon: str | Column) -> Column:
     """``"lat,lon"`` text of a point (null when either part is null)."""
     return F.concat(_col(lat).cast("string"), F.lit(","), _col(lon).cast("string"))
+
+
+def point_part(text: str | Column, index: int) -> Column:
+    """Coordinate ``index`` (0 = lat, 1 = lon) back out of ``"lat,lon"`` text;
+    null for missing parts or bad text."""
+    return F.try_element_at(F.split(_col(text), ","), F.lit(index + 1)).try_cast("double")

@@ -27,6 +27,16 @@ STATION_DAY_COLUMNS = [
 ]
 
 
+def assert_unique(df: DataFrame, columns: list[str]) -> None:
+    """Raise when a key repeats (a repeated station name would multiply mart rows).
+
+    Meant for dimension tables: one aggregate, reads at most one duplicate back.
+    """
+    dup = df.groupBy(*columns).count().where("count > 1").limit(1).collect()
+    if dup:
+        raise ValueError(f"duplicate key {dict(dup[0].asDict())} in {columns}")
+
+
 def station_day(
     trips: DataFrame,
     stations: DataFrame,
@@ -34,6 +44,7 @@ def station_day(
     method: str = "single_pass",
     unknown_label: str | None = None,
     sort: bool = False,
+    check_unique_names: bool = False,
 ) -> DataFrame:
     """One row per (station, day) with a known borough, inside ``date_range``.
 
@@ -44,15 +55,19 @@ def station_day(
     only on its in-range side, as with a filter after the join.
     """
     if date_range is not None:
-        lo, hi = (F.lit(d).cast("date") for d in date_range)
-        start_in = F.to_date("starttime").between(lo, hi)
-        stop_in = F.to_date("stoptime").between(lo, hi)
+        # day range as a timestamp range on the raw columns: reaches the scan as pushed filters
+        lo = F.lit(date_range[0]).cast("date").cast("timestamp_ntz")
+        hi = F.date_add(F.lit(date_range[1]).cast("date"), 1).cast("timestamp_ntz")
+        start_in = (F.col("starttime") >= lo) & (F.col("starttime") < hi)
+        stop_in = (F.col("stoptime") >= lo) & (F.col("stoptime") < hi)
         trips = trips.where(start_in | stop_in).select(
             F.when(start_in, F.col("start_station_name")).alias("start_station_name"),
             F.when(stop_in, F.col("end_station_name")).alias("end_station_name"),
             "starttime",
             "stoptime",
         )
+    if check_unique_names:
+        assert_unique(stations.where(F.col("borough").isNotNull()), ["name"])
     flow = station_day_flow(trips, method=method)
     dim = bounded_broadcast(
         stations.where(F.col("borough").isNotNull()).select(
