@@ -18,18 +18,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     left to the planner (sort-merge / shuffled hash, AQE re-plans from runtime
     sizes).
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    small = _checked.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _checked[key] = small
+    # counted on every call: a cached answer could outlive growth of the data behind the plan
+    small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df
 
 
-# (application, plan hash, bound) -> within bound; a plan is counted once per session
-_checked: dict[tuple, bool] = {}
-
-
 def prefixed(df: DataFrame, prefix: str, columns: list[str] | None = None) -> DataFrame:
     """Same dimension in a second role: ``name`` -> ``<prefix>name``."""
     cols = columns or df.columns
