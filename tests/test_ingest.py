@@ -150,3 +150,23 @@ def test_streaming_ingest_picks_up_new_files(spark, tmp_dir):
     assert out.count() == 2
     assert sorted(r[0] for r in out.select("year_month").collect()) == ["2015_01", "2015_06"]
     assert out.where(F.col("bikeid") == 13).first().starttime == dt.datetime(2015, 6, 1)
+
+
+def test_generic_sources(spark, tmp_dir):
+    from tripflow.sources.warehouse import read_source, read_years
+
+    df = spark.createDataFrame([(y, float(y)) for y in range(2012, 2021)], "year int, v double")
+    df.write.partitionBy("year").parquet(f"{tmp_dir}/gsod")
+    got = read_years(spark, f"{tmp_dir}/gsod", 2014, 2019)
+    assert sorted(r.year for r in got.collect()) == list(range(2014, 2020))
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain(mode="formatted")
+    assert "PartitionFilters: [isnotnull(year" in buf.getvalue()
+    df.createOrReplaceTempView("gsod_view")
+    assert read_source(spark, query="SELECT count(*) AS n FROM gsod_view").first().n == 9
+    assert read_source(spark, table="gsod_view").count() == 9
+    assert read_source(spark, path=f"{tmp_dir}/gsod").count() == 9
