@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.llm.exact_dedup import exact_groups
 from tripflow.llm.packing import pack_documents
+from tripflow.llm.pii import KINDS, find_personal_data
+from tripflow.llm.sharding import JUMP_MULTIPLIER, shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -32,3 +35,85 @@ def op1_pack_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_pack_differencing"] = op1_pack_differencing
+
+
+def op2_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"), keep="max")
+
+
+QUERIES["op2_content_sort"] = op2_content_sort
+ORACLE_SQL["op2_content_sort"] = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def spans_text(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = [k.name for k in KINDS]
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base),
+        F.sha2(spans_text(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+        F.transform("spans", lambda s: s["score"]).alias("scores"),
+    )
+
+
+QUERIES["op7_personal_data"] = op7_personal_data
+
+
+SHARDS = 16
+
+
+def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
+
+
+QUERIES["op9_jump_shards"] = op9_jump_shards
+ORACLE_SQL["op9_jump_shards"] = f"""
+WITH RECURSIVE
+jumps AS (
+  SELECT doc_id AS key, n AS shards, 0::BIGINT AS here, 0::BIGINT AS nxt,
+         (CASE WHEN doc_id < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE doc_id::HUGEINT END) AS state
+  FROM (SELECT DISTINCT doc_id FROM documents), (VALUES ({SHARDS}), ({SHARDS + 1})) AS t(n)
+  UNION ALL
+  SELECT key, shards, nxt,
+         floor((nxt + 1) * (2147483648.0::DOUBLE
+           / ((((state * {JUMP_MULTIPLIER} + 1) % 18446744073709551616) // 8589934592 + 1)::DOUBLE)))::BIGINT,
+         (state * {JUMP_MULTIPLIER} + 1) % 18446744073709551616
+  FROM jumps WHERE nxt < shards
+),
+landed AS (SELECT key, shards, max(here) AS shard FROM jumps GROUP BY key, shards),
+placed AS (
+  SELECT d.doc_id, d.text, a.shard AS shard, b.shard AS grown
+  FROM documents d
+  JOIN landed a ON a.key = d.doc_id AND a.shards = {SHARDS}
+  JOIN landed b ON b.key = d.doc_id AND b.shards = {SHARDS + 1}
+),
+crc AS (  -- the table of the reflected polynomial, one entry per byte
+  SELECT v, list_reduce([v::BIGINT] || [0::BIGINT FOR i IN range(8)],
+                        lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS entry
+  FROM range(256) AS t(v)
+),
+entries AS (SELECT list(entry ORDER BY v) AS e FROM crc)
+SELECT doc_id,
+       strlen(coalesce(text, '')) + 1 AS size,
+       xor(list_reduce([4294967295::BIGINT] || [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')],
+                       lambda c, b: xor(c // 256, e[xor(c % 256, b) + 1])), 4294967295) AS text_crc32,
+       'key' AS law,
+       shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY substr(md5(doc_id::VARCHAR), 1, 3), doc_id) - 1 AS slot,
+       grown::INT AS grown_shard
+FROM placed, entries
+"""
