@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from tripflow.llm.exact_dedup import exact_groups
 from tripflow.llm.packing import pack_documents
 from tripflow.llm.pii import KINDS, find_personal_data
+from tripflow.llm.secrets import BASE_RULES, scan_secrets
+from tripflow.llm.shared import shared_path
 from tripflow.llm.sharding import JUMP_MULTIPLIER, shard_documents
+from tripflow.llm.token_files import read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -53,9 +56,9 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
-def spans_text(spans: Column) -> Column:
-    """kind:start:end of each span, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+def spans_text(spans: Column, name: str = "kind") -> Column:
+    """name:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s[name], s["start"], s["end"])), ",")
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,3 +120,26 @@ SELECT doc_id,
        grown::INT AS grown_shard
 FROM placed, entries
 """
+
+
+def op5_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = [r.name for r in BASE_RULES]
+    return scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(F.size(F.filter("spans", lambda s: s["rule"] == k)).cast("long").alias(f"n_{k}") for k in base),
+        F.sha2(spans_text(F.filter("spans", lambda s: s["rule"].isin(base)), "rule"), 256).alias("base_sha256"),
+        spans_text(F.col("spans"), "rule").alias("spans"),
+    )
+
+
+QUERIES["op5_trigram_secrets"] = op5_trigram_secrets
+
+
+def op6_dictionary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), end_id=0)
+    read = read_token_files(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES["op6_dictionary_files"] = op6_dictionary_files
