@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.exact_dedup import exact_groups
 from tripflow.llm.packing import pack_documents
 from tripflow.llm.pii import KINDS, find_personal_data
+from tripflow.llm.quality import SCORE, fit_quality, held_out
 from tripflow.llm.secrets import BASE_RULES, scan_secrets
 from tripflow.llm.shared import shared_path
 from tripflow.llm.sharding import JUMP_MULTIPLIER, shard_documents
@@ -143,3 +144,20 @@ def op6_dictionary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_dictionary_files"] = op6_dictionary_files
+
+
+KEEP_SCORE = 0.7
+
+
+def op8_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return model.score(docs).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col(SCORE).alias("score"),
+        (F.col(SCORE) >= KEEP_SCORE).cast("int").alias("predicted"),
+    )
+
+
+QUERIES["op8_random_indexing_quality"] = op8_random_indexing_quality
