@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.exact_dedup import exact_groups
+from tripflow.llm.jaccard_join import Similarity, jaccard_components
 from tripflow.llm.packing import pack_documents
 from tripflow.llm.pii import KINDS, find_personal_data
 from tripflow.llm.quality import SCORE, fit_quality, held_out
@@ -161,3 +162,10 @@ def op8_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_random_indexing_quality"] = op8_random_indexing_quality
+
+
+def op10_orders_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), Similarity(words=3, percent=90))
+
+
+QUERIES["op10_orders_jaccard"] = op10_orders_jaccard
