@@ -16,6 +16,7 @@ from tripflow.llm.secrets import BASE_RULES, scan_secrets
 from tripflow.llm.shared import shared_path
 from tripflow.llm.sharding import JUMP_MULTIPLIER, shard_documents
 from tripflow.llm.token_files import read_token_files, write_token_files
+from tripflow.llm.topk_search import integer_components, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -169,3 +170,29 @@ def op10_orders_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_orders_jaccard"] = op10_orders_jaccard
+
+
+def op3_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", integer_components(F.col("embedding")).alias("whole"))
+    return top_k(vectors, F.col("vec_id") % 50 == 0, 5, vector_col="whole")
+
+
+QUERIES["op3_segment_top_k"] = op3_segment_top_k
+ORACLE_SQL["op3_segment_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS vec_id,
+         list_sum([a[1] * a[2] FOR a IN list_zip(q.v, x.v)])::BIGINT AS score
+  FROM whole q JOIN whole x ON q.vec_id <> x.vec_id AND len(q.v) = len(x.v)
+  WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
