@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.exact_dedup import exact_groups
 from tripflow.llm.jaccard_join import Similarity, jaccard_components
+from tripflow.llm.mixing import EPOCH, Level, about_tokens, mix_documents
 from tripflow.llm.packing import pack_documents
 from tripflow.llm.pii import KINDS, find_personal_data
 from tripflow.llm.quality import SCORE, fit_quality, held_out
@@ -196,3 +197,59 @@ ranked AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+def document_levels() -> list[Level]:
+    """A tree of domain, language and source for the table ``documents``, with integer weights."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]+)$", 1)
+    domain = F.when(number == "0", "web").when(F.length(number) == 1, "forum").otherwise("books")
+    return [
+        Level("domain", domain, F.when(F.col("domain") == "web", 2).otherwise(3)),
+        Level("lang", F.col("lang"), F.when(F.col("lang") == "en", 4).when(F.col("lang") == "es", 3).otherwise(2)),
+        Level("source", F.col("source"), F.lit(1)),
+    ]
+
+
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.75, 2, 17
+
+
+def op4_tree_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mix_documents(docs, document_levels(), share=MIX_SHARE, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
+    return mixed.select("doc_id", "lang", "source", about_tokens(F.col("text")).alias("tokens"), F.col(EPOCH).alias("epoch"))
+
+
+QUERIES["op4_tree_mixture"] = op4_tree_mixture
+
+
+def _water(nodes: str, parent: str) -> str:
+    siblings = f"PARTITION BY {parent}" if parent else ""
+    earlier = f"OVER ({siblings} ORDER BY cap / weight, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""
+  SELECT * EXCLUDE (budget, water),
+         least(cap, floor(weight * max(water) OVER ({siblings}))::BIGINT) AS budget
+  FROM (SELECT *, (budget - coalesce(sum(cap) {earlier}, 0))::DOUBLE
+                  / (sum(weight) OVER ({siblings}) - coalesce(sum(weight) {earlier}, 0))::DOUBLE AS water
+        FROM ({nodes}))"""
+
+
+ORACLE_SQL["op4_tree_mixture"] = f"""
+WITH d AS (
+  SELECT doc_id, lang, source, strlen(coalesce(text, '')) // 4 + 1 AS tokens, coalesce(lang, '') AS l, coalesce(source, '') AS s,
+         CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) = '0' THEN 'web'
+              WHEN length(regexp_extract(coalesce(source, ''), '([0-9]+)$', 1)) = 1 THEN 'forum' ELSE 'books' END AS m
+  FROM documents
+),
+leaf AS (SELECT m, l, s, sum(tokens)::BIGINT AS supply, (sum(tokens) * {MIX_EPOCHS})::BIGINT AS cap FROM d GROUP BY ALL),
+root AS (SELECT floor(sum(supply)::DOUBLE * {MIX_SHARE})::BIGINT AS budget FROM leaf),
+one AS ({_water("SELECT m, m AS name, sum(cap)::BIGINT AS cap, CASE WHEN m = 'web' THEN 2 ELSE 3 END AS weight, any_value(budget) AS budget FROM leaf, root GROUP BY m", "")}),
+two AS ({_water("SELECT m, l, l AS name, sum(leaf.cap)::BIGINT AS cap, CASE l WHEN 'en' THEN 4 WHEN 'es' THEN 3 ELSE 2 END AS weight, any_value(one.budget) AS budget FROM leaf JOIN one USING (m) GROUP BY m, l", "m")}),
+three AS ({_water("SELECT m, l, s, s AS name, leaf.cap AS cap, leaf.supply AS supply, 1 AS weight, two.budget AS budget FROM leaf JOIN two USING (m, l)", "m, l")}),
+plan AS (SELECT m, l, s, budget // supply AS whole, budget % supply AS rest FROM three),
+placed AS (
+  SELECT d.*, whole, rest, sum(tokens) OVER (PARTITION BY m, l, s ORDER BY md5('{MIX_SEED}:' || whole || ':' || doc_id)) AS through
+  FROM d JOIN plan USING (m, l, s)
+)
+SELECT doc_id, lang, source, tokens, unnest(range(whole + (through <= rest)::INT))::BIGINT AS epoch
+FROM placed
+"""
