@@ -1,0 +1,21 @@
+import corpus_pipeline
+from tripflow.llm.shared import written
+
+DIR = "/root/testdata/sf0.001"
+
+
+def test_stages_pass_documents_on(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    columns, before = docs.columns, {r.doc_id for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, DIR), "test-stage")
+        kept = [r.doc_id for r in docs.collect()]
+        assert docs.columns == columns and len(kept) == len(set(kept)) and set(kept) <= before, name
+        assert kept, name
+        before = set(kept)
+    packed = {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, DIR).collect()}
+    assert packed == before
+
+
+def test_run_equals_its_stages(spark):
+    assert corpus_pipeline.run(spark, DIR).count() > 0
