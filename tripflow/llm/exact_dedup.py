@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_ID, _TEXT, _HASH, _SALT, _SALTS, _RANK, _RUN_KEEP, _RUN_SIZE = (
-    f"__dedup_{n}" for n in ("id", "text", "hash", "salt", "salts", "rank", "run_keep", "run_size")
+_ID, _TEXT, _HEAD, _HASH, _SALT, _SALTS, _RANK, _RUN_KEEP, _RUN_SIZE = (
+    f"__dedup_{n}" for n in ("id", "text", "head", "hash", "salt", "salts", "rank", "run_keep", "run_size")
 )
+_HEAD_CHARS = 64
 
 
 def whole_text(text: Column) -> Column:
@@ -39,16 +40,18 @@ def _sorted_runs(docs: DataFrame, id_col: str, text_col: str, normalise, keep: s
     run is the whole group, and those of frequent texts, whose groups span salted runs."""
     text = normalise(F.col(text_col))
     rows = docs.withColumn(_ID, F.col(id_col)).withColumn(_TEXT, text).withColumn(_HASH, F.xxhash64(_TEXT))
+    rows = rows.withColumn(_HEAD, F.substring(_TEXT, 1, _HEAD_CHARS))
     frequent = _frequent(docs.select(F.xxhash64(text).alias(_HASH)), least)
     order = F.col(_ID).desc_nulls_last() if keep == "max" else F.col(_ID).asc_nulls_last()
     best = F.max if keep == "max" else F.min
 
     def runs(part: DataFrame, *key: str) -> DataFrame:
-        # sampled splitters deal out ranges of texts; the window sorts each range (spilling
-        # to disk) and compares neighbours in full
-        run = Window.partitionBy(*key)
+        # sampled splitters deal out ranges of contents; the window sorts each range (spilling
+        # to disk) and compares neighbours in full. A splitter is a text's head and the hash
+        # of its whole, since whole texts would pass through the driver as samples
+        run = Window.partitionBy(_HEAD, _HASH, _TEXT, *key)
         return (
-            part.repartitionByRange(*key)
+            part.repartitionByRange(_HEAD, _HASH, *key)
             .withColumn(_RANK, F.row_number().over(run.orderBy(order)))
             .withColumn(_RUN_KEEP, best(_ID).over(run))
             .withColumn(_RUN_SIZE, F.count(F.lit(1)).over(run))
@@ -56,7 +59,7 @@ def _sorted_runs(docs: DataFrame, id_col: str, text_col: str, normalise, keep: s
 
     plain = rows.join(F.broadcast(frequent.select(_HASH)), _HASH, "left_anti")
     split = rows.join(F.broadcast(frequent), _HASH).withColumn(_SALT, F.pmod(F.xxhash64(_ID), F.col(_SALTS)))
-    return runs(plain, _TEXT), runs(split, _TEXT, _SALT)
+    return runs(plain), runs(split, _SALT)
 
 
 def exact_groups(
@@ -102,7 +105,7 @@ def exact_groups(
         (F.col(_RANK) == 1).alias("kept"),
         digest,
     ).unionByName(
-        split.join(F.broadcast(groups), "text_sha256").select(
+        split.join(F.broadcast(groups.withColumnRenamed("text_sha256", "digest")), F.col("text_sha256").eqNullSafe(F.col("digest"))).select(
             "doc_id",
             F.col(f"best.{_RUN_KEEP}").alias("keep_id"),
             "group_size",
