@@ -24,6 +24,17 @@ def test_season_and_weekday(spark):
     assert spark.createDataFrame([(dt.date(2015, 6, 7),)], "d date").select(C.day_of_week("d")).first()[0] == 1
 
 
+def test_parse_time_ignores_the_sessions_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2015-03-08 02:30:00",), ("11/1/2015 1:30",)], "t string")
+        got = [str(r[0]) for r in df.select(K.parse_time("t").cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2015-03-08 02:30:00", "2015-11-01 01:30:00"]
+
+
 def test_parse_time_layouts(spark):
     cases = [
         ("6/1/2015 0:00", dt.datetime(2015, 6, 1, 0, 0)),

@@ -10,7 +10,7 @@ from tripflow.plans.ingest import ingest_trip_files
 from tripflow.plans.stations import station_dimension
 from tripflow.sinks.writers import register_table, save_with_schema, write_by_day, write_if_rows, write_partitioned
 from tripflow.sources.feeds import read_area_features, read_station_feed
-from tripflow.sources.trip_files import canonical_names, file_layouts, read_trip_files
+from tripflow.sources.trip_files import canonical_names, file_report, read_trip_files
 from tripflow.sources.warehouse import table_has_rows
 from tripflow.streaming.ingest import run_trip_stream_once
 
@@ -51,7 +51,8 @@ def test_read_trip_files_layouts(spark, tmp_dir):
     _land(tmp_dir)
     raw = read_trip_files(spark, tmp_dir)
     assert raw.count() == 7
-    assert file_layouts(spark, tmp_dir).count() == 3
+    report = {r.path.rsplit("/", 1)[1]: r for r in file_report(spark, tmp_dir).collect()}
+    assert {k: r.status for k, r in report.items()} == {"201501-a.csv": "read", "201506-b.CSV": "read", "201506-c.csv": "read", "notes.csv": "no month"}
     trips = clean_trips(raw)
     rows = {r.bikeid: r for r in trips.collect()}
     assert sorted(rows) == [11, 12, 13, 14, 15, 17]  # 16 has an unparsable start time
@@ -60,10 +61,41 @@ def test_read_trip_files_layouts(spark, tmp_dir):
     assert rows[15].stoptime == dt.datetime(2016, 1, 1, 0, 12)
     assert rows[17].tripduration == 420 and rows[17].start_station_name == "A St" and rows[17].gender == "1"
     assert rows[12].birth_year is None and rows[12].tripduration == 0
-    # the reference's rule: any null drops the trip
+    # the strict rule: any null drops the trip
     assert sorted(r.bikeid for r in clean_trips(raw, required="all").collect()) == [11, 13, 15, 17]
 
 
+def test_files_are_never_lost_silently(spark, tmp_dir):
+    row = ["300", "2015-01-02 00:00:01"]
+    _write(f"{tmp_dir}/1 January/201501 trips.csv", "tripduration,starttime", [row])  # spaces in both names
+    _write(f"{tmp_dir}/201501-backup/notes.csv", "tripduration,starttime", [row])  # a month in the folder only
+    _write(f"{tmp_dir}/201502-extra.csv", "tripduration,starttime,color", [[*row, "red"]])
+    assert read_trip_files(spark, tmp_dir).count() == 2
+    assert read_trip_files(spark, tmp_dir, month_from_folder=True).count() == 3
+    assert read_trip_files(spark, tmp_dir, months=["2015_02"]).count() == 1
+    _write(f"{tmp_dir}/201503-new.csv", "ride_length,started_at,ended_at", [row + [row[1]]])
+    with pytest.raises(ValueError, match="201503-new"):
+        read_trip_files(spark, tmp_dir)
+    assert read_trip_files(spark, tmp_dir, on_unknown="skip").count() == 2
+    report = {r.path.rsplit("/", 1)[1]: (r.status, r.extras) for r in file_report(spark, tmp_dir).collect()}
+    assert report["201503-new.csv"] == ("unknown header", ["ride_length", "started_at", "ended_at"])
+    assert report["201502-extra.csv"] == ("read", ["color"]) and report["notes.csv"][0] == "no month"
+
+
+def test_equal_geometries_are_two_areas(spark, tmp_dir):
+    square = {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]]}
+    doc = {"features": [{"properties": {"boroname": b, "ntaname": b}, "geometry": square} for b in "PQ"]}
+    with open(f"{tmp_dir}/a.geojson", "w") as f:
+        json.dump(doc, f)
+    points = spark.createDataFrame([(0.5, 0.5)], "latitude double, longitude double")
+    areas = read_area_features(spark, f"{tmp_dir}/a.geojson")
+    from tripflow.operators.spatial import points_in_areas
+
+    assert sorted(r.borough for r in points_in_areas(points, areas, 1.0, ["borough"]).collect()) == ["P", "Q"]
+    with pytest.raises(Exception, match="area_id repeats"):
+        points_in_areas(points, areas.withColumn("area_id", F.lit("same")), 1.0, ["borough"]).collect()
+
+
 def test_duplicate_header_mapping_raises():
     with pytest.raises(ValueError):
         canonical_names("bikeid,bike_id,starttime")
@@ -150,6 +182,8 @@ def test_streaming_ingest_picks_up_new_files(spark, tmp_dir):
     assert out.count() == 2
     assert sorted(r[0] for r in out.select("year_month").collect()) == ["2015_01", "2015_06"]
     assert out.where(F.col("bikeid") == 13).first().starttime == dt.datetime(2015, 6, 1)
+    # the batch job over the same landing folder leaves the same store
+    assert ingest_trip_files(spark, landing, store) == 2 and spark.read.parquet(store).count() == 2
 
 
 def test_generic_sources(spark, tmp_dir):

@@ -77,10 +77,31 @@ def test_match_stations_cell_and_nearest(spark):
     trips = spark.createDataFrame([(1, 40.71214, -74.00112), (2, 40.71349, -74.00112), (3, 41.0, -74.0)], "id int, lat double, lon double")
     cell = match_stations(trips, stations, "lat", "lon", "s_", ["name"], how="cell")
     assert sorted((r.id, r.s_name) for r in cell.collect()) == [(1, "X")]
-    near = match_stations(trips, stations, "lat", "lon", "s_", ["name"], how="nearest", join_type="left")
+    near = match_stations(trips, stations, "lat", "lon", "s_", ["name"], how="nearest", max_distance_m=120.0, join_type="left")
     assert sorted((r.id, r.s_name) for r in near.collect()) == [(1, "X"), (2, "Y"), (3, None)]
 
 
+def test_nearest_station_is_the_nearest(spark):
+    from tripflow.functions.geo import haversine_m
+
+    rnd = random.Random(3)
+    places = [(f"s{i}", rnd.uniform(40, 41), rnd.uniform(-74, -73)) for i in range(60)]
+    places += [("near", 40.7109, -74.0), ("far", 40.7138, -74.0), ("pole", 89.9, 10.0), ("line", 10.0, 179.999)]
+    points = [(i, rnd.uniform(40, 41), rnd.uniform(-74, -73)) for i in range(300)]
+    points += [(900, 40.7121, -74.0), (901, 89.9, -170.0), (902, 10.0, -179.999), (903, None, 1.0), (904, 95.0, 1.0)]
+    stations = spark.createDataFrame(places, "name string, latitude double, longitude double")
+    trips = spark.createDataFrame(points, "id int, lat double, lon double")
+    for reach in (250.0, 9_000.0, 60_000.0):
+        got = {r.id: r.n_name for r in match_stations(trips, stations, "lat", "lon", "n_", ["name"], how="nearest", max_distance_m=reach, join_type="left").collect()}
+        every = trips.crossJoin(stations).withColumn("d", haversine_m("lat", "lon", "latitude", "longitude")).where(f"d <= {reach} AND lat <= 90").collect()
+        want = {i: min(((r.d, r.name) for r in every if r.id == i), default=(0, None))[1] for i, _, _ in points}
+        assert got == want
+    import pytest
+
+    with pytest.raises(ValueError):
+        match_stations(trips, stations, "lat", "lon", "n_", ["name"], how="nearest")
+
+
 def _ring(x0, y0, x1, y1):
     return [[x0, y0], [x1, y0], [x1, y1], [x0, y1], [x0, y0]]
 
@@ -144,6 +165,14 @@ def test_points_in_areas_brute_force(spark):
     assert got == want
 
 
+def test_area_summary_counts_unlisted_types(spark):
+    from tripflow.plans.reports import start_area_summary
+
+    tm = spark.createDataFrame([("B", "N", "x", 1.0), ("B", "N", "x", 2.0), ("B", "N", "other", 9.0)], "start_borough string, start_neighborhood string, usertype string, trip_minute double")
+    r = start_area_summary(tm, ["x"]).first()
+    assert (r.trips, r.trips_x, r.avg_minute_x) == (3, 2, 1.5)
+
+
 def test_daily_weather_sentinels(spark):
     rows = [
         ("725030", "2015", "06", "01", 70.0, 10.0, "5.0", 999.9, 0.5, 999.9),
@@ -165,12 +194,12 @@ def test_unique_names_check_and_point_part(spark):
     import pytest
 
     from tripflow.functions.geo import point_part, point_text
-    from tripflow.plans.station_day import assert_unique
+    from tripflow.operators.joins import one_row_each
 
     st = spark.createDataFrame([("A", "Q"), ("A", "Q"), ("B", "Q")], "name string, borough string")
-    with pytest.raises(ValueError):
-        assert_unique(st, ["name"])
-    assert_unique(st.where("name = 'B'"), ["name"])
+    with pytest.raises(Exception, match="name repeats: A"):
+        one_row_each(st, "name").collect()
+    assert one_row_each(st.where("name = 'B'"), "name").collect() == [("B", "Q")]
     df = spark.createDataFrame([(40.71234, -74.00112), (None, 1.0)], "lat double, lon double")
     rows = df.select(point_text("lat", "lon").alias("p")).select(point_part("p", 0), point_part("p", 1)).collect()
     assert tuple(rows[0]) == (40.71234, -74.00112) and tuple(rows[1]) == (None, None)

@@ -6,12 +6,14 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_harness import compare, duck
+from tripflow import registry
+from tripflow.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.QUERIES
+SQL = ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -32,3 +34,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())

@@ -7,13 +7,14 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from tripflow import registry
 from tripflow.plans.trip_mart import trip_mart
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin")
 # queries whose callables write files first; their plans are checked by the others' pieces
-SKIP = {"trip_file_ingest"}
+SKIP = set(registry.WRITERS)
+WITH_WEATHER = {"daily_weather", "trip_mart", "sliced_station_flows", "weather_usage", "weather_correlation"}
 
 
 def plan_of(df) -> str:
@@ -24,11 +25,22 @@ def plan_of(df) -> str:
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - SKIP))
 def test_plan_has_no_python_and_no_nested_loop(spark, name):
-    text = plan_of(entry.queries()[name](spark, SF))
+    text = plan_of(registry.QUERIES[name](spark, SF))
     bad = [f for f in FORBIDDEN if f in text]
     assert not bad, (name, bad)
+    assert name in WITH_WEATHER or "l_discount" not in text, "weather is read and not used"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - SKIP))
+def test_making_a_plan_starts_no_job(spark, name):
+    sc = spark.sparkContext
+    sc.setJobGroup(f"plan-{name}", name)
+    registry.QUERIES[name](spark, SF).schema
+    assert not sc.statusTracker().getJobIdsForGroup(f"plan-{name}")
+    sc.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_year_filter_reaches_parquet_scan(spark, tmp_dir):

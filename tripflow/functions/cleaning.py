@@ -32,13 +32,14 @@ def strip_fraction(text: str | Column) -> Column:
 def parse_time(text: str | Column, layouts: Sequence[str] = DEFAULT_TIME_LAYOUTS) -> Column:
     """Parse trip time text in any of ``layouts`` to TIMESTAMP_NTZ; null when none fits.
 
-    The text carries no zone, so the result is a wall-clock timestamp. Parsing
-    goes through ``try_to_timestamp`` (null instead of an ANSI error) and is
-    stored without zone.
+    The text carries no zone, so the result is the wall-clock time it shows, whatever
+    the session's zone: it is parsed as a time at offset zero (null instead of an
+    error), and its distance from the epoch is added to a zone-free epoch.
     """
-    cleaned = F.trim(strip_fraction(text))
-    parsed = [F.try_to_timestamp(cleaned, F.lit(fmt)) for fmt in layouts]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    cleaned = F.concat(F.trim(strip_fraction(text)), F.lit(" +00:00"))
+    parsed = F.coalesce(*(F.try_to_timestamp(cleaned, F.lit(f"{fmt} XXX")) for fmt in layouts))
+    seconds = (F.unix_micros(parsed) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def textual_null(text: str | Column, markers: Sequence[str] = TEXTUAL_NULLS) -> Column:

@@ -43,11 +43,6 @@ def snap(coord: str | Column, decimals: int = 3) -> Column:
     return F.round(_col(coord).cast("double"), decimals)
 
 
-def cell_index(coord: str | Column, cell_size: float) -> Column:
-    """Integer grid cell of a coordinate for equi-join bucketing."""
-    return F.floor(_col(coord) / F.lit(cell_size)).cast("long")
-
-
 def point_text(lat: str | Column, lon: str | Column) -> Column:
     """``"lat,lon"`` text of a point (null when either part is null)."""
     return F.concat(_col(lat).cast("string"), F.lit(","), _col(lon).cast("string"))

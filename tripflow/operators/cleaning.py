@@ -56,8 +56,3 @@ def drop_textual_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for c in columns:
         df = df.withColumn(c, textual_null(c))
     return df.dropna(subset=list(columns))
-
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First ``n`` rows for a log line; only as many partitions are read as needed."""
-    return df.limit(n)

@@ -20,8 +20,10 @@ Plan (all equi-joins, nothing quadratic):
 5. the decisions are joined back to all points by position.
 
 Working on distinct positions keeps repeated positions (many trips at one
-dock) from repeating the geometry work. The area-side tables are broadcast
-after a size check; beyond it the joins shuffle on the cell / band keys.
+dock) from repeating the geometry work. Area ids must not repeat, which is
+checked while areas are read. Boxes are taken part by part, so an area of far
+apart parts does not cover the cells between them. Points without a valid
+position never enter a join.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.geo import valid_point
-from tripflow.operators.joins import bounded_broadcast
+from tripflow.operators.joins import one_row_each
 
 
 def _closed(ring: Column) -> Column:
@@ -59,17 +61,16 @@ def area_edges(areas: DataFrame, cell_size: float) -> DataFrame:
 
 
 def area_cells(areas: DataFrame, cell_size: float) -> DataFrame:
-    """(area_id, cx, cy, minx, maxx, miny, maxy): grid cells covering each bounding box."""
-    verts = (
-        areas.select("area_id", F.explode("geometry").alias("poly"))
-        .select("area_id", F.explode("poly").alias("ring"))
-        .select("area_id", F.explode("ring").alias("v"))
-    )
-    boxes = verts.groupBy("area_id").agg(
-        F.min(F.col("v")[0]).alias("minx"),
-        F.max(F.col("v")[0]).alias("maxx"),
-        F.min(F.col("v")[1]).alias("miny"),
-        F.max(F.col("v")[1]).alias("maxy"),
+    """(area_id, cx, cy, minx, maxx, miny, maxy): grid cells covering each part's bounding box."""
+    # a part's shell holds its holes, so its vertices give the part's box
+    shells = areas.select("area_id", F.explode("geometry").alias("poly")).select("area_id", F.col("poly")[0].alias("shell"))
+    side = lambda pick, axis: pick(F.transform("shell", lambda v: v[axis]))
+    boxes = shells.select(
+        "area_id",
+        side(F.array_min, 0).alias("minx"),
+        side(F.array_max, 0).alias("maxx"),
+        side(F.array_min, 1).alias("miny"),
+        side(F.array_max, 1).alias("maxy"),
     )
     cs = F.lit(cell_size)
     return (
@@ -90,11 +91,11 @@ def containing_areas(
     pts = positions.withColumn("cx", F.floor(F.col("x") / cs).cast("long")).withColumn(
         "cy", F.floor(F.col("y") / cs).cast("long")
     )
-    cells = bounded_broadcast(area_cells(areas, cell_size))
+    cells = area_cells(areas, cell_size)
     cand = pts.join(cells, ["cx", "cy"]).where(
         F.col("x").between(F.col("minx"), F.col("maxx")) & F.col("y").between(F.col("miny"), F.col("maxy"))
-    ).select("x", "y", "area_id", F.col("cy").alias("band"))
-    edges = bounded_broadcast(area_edges(areas, cell_size))
+    ).select("x", "y", "area_id", F.col("cy").alias("band")).distinct()  # boxes of parts may overlap
+    edges = area_edges(areas, cell_size)
     e = cand.join(edges, ["area_id", "band"]).where(
         F.col("y").between(F.least("y1", "y2"), F.greatest("y1", "y2"))
     )
@@ -129,10 +130,11 @@ def points_in_areas(
         .select(F.col(lon).cast("double").alias("x"), F.col(lat).cast("double").alias("y"))
         .distinct()
     )
+    areas = one_row_each(areas.select("area_id", *attributes, "geometry"), "area_id")
     hits = containing_areas(positions, areas, cell_size, tolerance)
-    attrs = bounded_broadcast(areas.select("area_id", *attributes))
-    hits = hits.join(attrs, "area_id").withColumnRenamed("x", "_hx").withColumnRenamed("y", "_hy")
-    joined = points.join(
+    hits = hits.join(areas.select("area_id", *attributes), "area_id").withColumnRenamed("x", "_hx").withColumnRenamed("y", "_hy")
+    placed = points.where(valid_point(lat, lon)).join(
         hits, (F.col(lon).cast("double") == F.col("_hx")) & (F.col(lat).cast("double") == F.col("_hy")), "left"
     )
-    return joined.drop("_hx", "_hy")
+    rest = points.where(~F.coalesce(valid_point(lat, lon), F.lit(False)))
+    return placed.drop("_hx", "_hy").unionByName(rest, allowMissingColumns=True)

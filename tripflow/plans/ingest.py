@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.operators.cleaning import MART_REQUIRED, clean_trips
 from tripflow.sinks.writers import register_table, write_if_rows, write_partitioned
+from tripflow.sources.schemas import TRIP_FIELDS
 from tripflow.sources.trip_files import read_trip_files
 
 
@@ -18,13 +19,17 @@ def ingest_trip_files(
     store: str,
     required: Sequence[str] | str = MART_REQUIRED,
     table: str | None = None,
+    *,
+    month_from_folder: bool = False,
+    on_unknown: str = "raise",
+    months: Collection[str] | None = None,
 ) -> int:
-    """Read every trip file under ``landing``, clean it and write it to ``store``
-    partitioned by ``year_month``. Months present in the input replace their
-    folders; other months stay. Returns the number of rows written (0 = nothing
-    to write, nothing touched)."""
-    trips = clean_trips(read_trip_files(spark, landing), required)
-    n = write_if_rows(trips, lambda df: write_partitioned(df, store, ("year_month",)), name="ingest")
+    """Read every trip file under ``landing`` (of ``months``, where given), clean it and
+    write it to ``store`` partitioned by ``year_month``. Months present in the input
+    replace their folders; other months stay. Returns the number of rows written
+    (0 = nothing to write, nothing touched)."""
+    raw = read_trip_files(spark, landing, month_from_folder=month_from_folder, on_unknown=on_unknown, months=months)
+    n = write_if_rows(clean_trips(raw, required), lambda df: write_partitioned(df, store, ("year_month",)), name="ingest")
     if table is not None and n:
         register_table(spark, table, store, partitioned=True)
     return n
@@ -32,48 +37,53 @@ def ingest_trip_files(
 
 # --- rendering trips back to text, as monthly landed files -----------------------------
 
-# Title-case header set, in another column order than the lower-case one.
-TITLE_LAYOUT = [
-    ("bikeid", "Bike ID"),
-    ("tripduration", "Trip Duration"),
-    ("starttime", "Start Time"),
-    ("stoptime", "Stop Time"),
-    ("start_station_id", "Start Station ID"),
-    ("start_station_name", "Start Station Name"),
-    ("start_station_latitude", "Start Station Latitude"),
-    ("start_station_longitude", "Start Station Longitude"),
-    ("end_station_id", "End Station ID"),
-    ("end_station_name", "End Station Name"),
-    ("end_station_latitude", "End Station Latitude"),
-    ("end_station_longitude", "End Station Longitude"),
-    ("usertype", "User Type"),
-    ("birth_year", "Birth Year"),
-    ("gender", "Gender"),
-]
+
+def title_header(name: str) -> str:
+    """The title-case header of a column, e.g. ``Start Station ID``."""
+    split = {"tripduration": "trip_duration", "starttime": "start_time", "stoptime": "stop_time", "bikeid": "bike_id", "usertype": "user_type"}
+    return split.get(name, name).replace("_", " ").title().replace(" Id", " ID")
 
 
 def land_as_text(trips: DataFrame, landing: str) -> None:
     """Write trips as monthly CSV folders in two layouts: even months with
     lower-case headers and ISO times carrying fractional seconds, odd months
-    with title-case headers, another column order and US times without
-    seconds. Folder names carry the month (``month=YYYYMM-x``)."""
+    with title-case headers, the columns in reverse order and US times without
+    seconds. Folder names carry the month (``month=YYYYMM-x``). One write, so the
+    trips are computed once for each layout's files only."""
     month = F.date_format("starttime", "yyyyMM")
     even = F.month("starttime") % 2 == 0
     iso = lambda c: F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit(".250"))
     us = lambda c: F.date_format(c, "M/d/yyyy H:mm")
-    lower = trips.where(even).select(
-        *[
-            (iso(c) if c in ("starttime", "stoptime") else F.col(c).cast("string")).alias(c)
-            for c, _ in sorted(TITLE_LAYOUT, key=lambda kv: kv[0] != "tripduration")
-        ],
-        F.concat(month, F.lit("-a")).alias("month"),
-    )
+    names = [f.name for f in TRIP_FIELDS]
+    text = lambda c, time: time(c) if c in ("starttime", "stoptime") else F.col(c).cast("string")
+    lower = trips.where(even).select(*[text(c, iso).alias(c) for c in names], F.concat(month, F.lit("-a")).alias("month"))
     title = trips.where(~even).select(
-        *[(us(c) if c in ("starttime", "stoptime") else F.col(c).cast("string")).alias(t) for c, t in TITLE_LAYOUT],
-        F.concat(month, F.lit("-b")).alias("month"),
+        *[text(c, us).alias(title_header(c)) for c in reversed(names)], F.concat(month, F.lit("-b")).alias("month")
     )
     for part, df in (("lower", lower), ("title", title)):
         # one task per month folder (AQE splits a heavy month), not every task into every folder
-        df.hint("rebalance", "month").write.mode("overwrite").option("header", True).partitionBy("month").csv(
-            f"{landing}/{part}"
-        )
+        df.hint("rebalance", "month").write.mode("overwrite").option("header", True).partitionBy("month").csv(f"{landing}/{part}")
+
+
+def header_examples(orders: DataFrame, landing: str) -> None:
+    """Orders rendered as trip files of three layouts: lower-case headers; title-case headers in
+    another order, in a folder whose name has a space; and some columns only, with one that has
+    no canonical name. Cells are null, blank, quoted with commas and not numbers."""
+    key = F.col("o_orderkey")
+    time = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    cells = {
+        "tripduration": F.when(key % 5 == 0, F.lit("bad")).otherwise((key % 3600).cast("string")),
+        "starttime": time,
+        "start_station_name": F.concat(F.lit("St "), (key % 7).cast("string"), F.lit(", North")),
+        "bikeid": F.when(key % 4 != 0, F.col("o_custkey").cast("string")),
+        "usertype": F.col("o_orderpriority"),
+    }
+    month = F.date_format("o_orderdate", "yyyyMM").alias("month")
+    layouts = {
+        "lower": [cells[c].alias(c) for c in cells],
+        "with space": [cells[c].alias(title_header(c)) for c in reversed(cells)],
+        "extra": [cells["bikeid"].alias("Bike ID"), F.lit("red").alias("Color"), time.alias("Start Time")],
+    }
+    for n, (folder, columns) in enumerate(layouts.items()):
+        part = orders.where(key % 3 == n).select(*columns, month)
+        part.hint("rebalance", "month").write.option("header", True).partitionBy("month").csv(f"{landing}/{folder}")

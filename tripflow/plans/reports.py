@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tripflow.functions import metrics as M
 from tripflow.functions.calendar import month_start
-from tripflow.operators.joins import bounded_broadcast
+from tripflow.functions.geo import snap
+from tripflow.operators.joins import one_row_each
 
 RATIO_DECIMALS = 6
 
@@ -48,18 +49,37 @@ def active_stations(trips: DataFrame) -> DataFrame:
     return names.agg(F.count_distinct("station_name").alias("active_stations"))
 
 
-def kpi_tiles(tm: DataFrame, trips: DataFrame, sd: DataFrame) -> DataFrame:
+def kpi_tiles(tm: DataFrame, sd: DataFrame) -> DataFrame:
     """R1-R4 as (metric, value) rows: total trips, active stations,
-    utilisation rate (mean trips per dock), average net flow."""
+    utilisation rate (mean trips per dock), average net flow.
+
+    ``tm`` needs no weather; ``sd`` is the station-day mart of the same days, and
+    gives the last three tiles in one aggregate.
+    """
     r1 = total_trips(tm).select(F.lit("total_trips").alias("metric"), F.col("total_trips").cast("double").alias("value"))
-    r2 = active_stations(trips).select(
-        F.lit("active_stations").alias("metric"), F.col("active_stations").cast("double").alias("value")
-    )
-    r34 = sd.agg(
+    rest = sd.agg(
+        F.count_distinct("station_name").cast("double").alias("active_stations"),
         _ratio_mean("trips_per_dock").alias("utilization_rate"),
         F.avg("net_flow").alias("avg_net_flow"),
-    ).select(F.expr("stack(2, 'utilization_rate', utilization_rate, 'avg_net_flow', avg_net_flow) AS (metric, value)"))
-    return r1.unionByName(r2).unionByName(r34)
+    )
+    tiles = ", ".join(f"'{c}', {c}" for c in rest.columns)
+    return r1.unionByName(rest.select(F.expr(f"stack({len(rest.columns)}, {tiles}) AS (metric, value)")))
+
+
+def unmatched_trips(trips: DataFrame, stations: DataFrame, decimals: int = 3) -> DataFrame:
+    """How many trips the coordinate match of the trip mart keeps and loses."""
+    cells = stations.select(snap("latitude", decimals).alias("_lat"), snap("longitude", decimals).alias("_lon")).distinct()
+    for side in ("start", "end"):
+        here = cells.toDF(f"_{side}_lat", f"_{side}_lon").withColumn(f"_{side}", F.lit(1))
+        lat, lon = snap(f"{side}_station_latitude", decimals), snap(f"{side}_station_longitude", decimals)
+        trips = trips.join(here, (lat == here[f"_{side}_lat"]) & (lon == here[f"_{side}_lon"]), "left")
+    start, end = F.col("_start").isNotNull(), F.col("_end").isNotNull()
+    return trips.agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.count_if(start & end).alias("matched"),
+        F.count_if(~start).alias("start_unmatched"),
+        F.count_if(~end).alias("end_unmatched"),
+    )
 
 
 # --- R5-R12 on the trip mart -----------------------------------------------------
@@ -90,14 +110,18 @@ def route_busiest_month(tm: DataFrame) -> DataFrame:
 
 
 def latest_month_top_routes(tm: DataFrame, k: int = 10) -> DataFrame:
-    """R5b: the k routes with most trips in the latest month present."""
-    months = _route_months(tm)
-    latest = months.agg(F.max("trip_month").alias("trip_month"))  # one row
-    top = (
-        months.join(F.broadcast(latest), "trip_month")
-        .orderBy(F.col("trips").desc(), "start_station_name", "end_station_name")
+    """R5b: the k routes with most trips in the latest month present.
+
+    One pass over the route-months: the first k by month, then by trips. Where the
+    latest month has fewer than k routes, earlier ones follow it and are left out.
+    """
+    first = (
+        _route_months(tm)
+        .orderBy(F.col("trip_month").desc(), F.col("trips").desc(), "start_station_name", "end_station_name")
         .limit(k)
     )
+    of_first = F.max("trip_month").over(Window.partitionBy(F.lit(0)))  # over at most k rows
+    top = first.withColumn("_latest", of_first).where(F.col("trip_month") == F.col("_latest"))
     return top.select(
         F.col("trip_month").alias("latest_month"),
         "start_station_name",
@@ -127,28 +151,21 @@ def trips_by_season(tm: DataFrame) -> DataFrame:
 def start_station_map(tm: DataFrame, stations: DataFrame) -> DataFrame:
     """R9: trips per start station with the station's position."""
     counts = tm.groupBy("start_station_name").agg(F.count(F.lit(1)).alias("trips"))
-    dim = bounded_broadcast(
-        stations.select(F.col("name").alias("start_station_name"), "latitude", "longitude", "borough", "neighborhood")
-    )
+    dim = stations.select(F.col("name").alias("start_station_name"), "latitude", "longitude", "borough", "neighborhood")
     return counts.join(dim, "start_station_name", "left")
 
 
 def start_area_summary(tm: DataFrame, usertypes: Sequence[str]) -> DataFrame:
     """R10: per start borough and neighbourhood, trips and mean trip minutes
-    for each user type as columns (``trips_<type>``, ``avg_minute_<type>``)."""
-    piv = (
-        tm.groupBy("start_borough", "start_neighborhood")
-        .pivot("usertype", list(usertypes))
-        .agg(F.count(F.lit(1)).alias("trips"), M.fixed_point_mean("trip_minute", 2).alias("avg_minute"))
-    )
-    out = [F.col("start_borough"), F.col("start_neighborhood")]
-    total = None
+    for each listed user type as columns (``trips_<type>``, ``avg_minute_<type>``).
+    ``trips`` counts all rows, also those of types that are not listed."""
+    out = []
     for u in usertypes:
         key = u.lower().replace(" ", "_")
-        n = F.coalesce(F.col(f"`{u}_trips`"), F.lit(0)).cast("bigint")
-        out += [n.alias(f"trips_{key}"), F.col(f"`{u}_avg_minute`").alias(f"avg_minute_{key}")]
-        total = n if total is None else total + n
-    return piv.select(*out, total.alias("trips"))
+        own = F.col("usertype") == u
+        out.append(F.count_if(own).alias(f"trips_{key}"))
+        out.append(M.fixed_point_mean(F.when(own, F.col("trip_minute")), 2).alias(f"avg_minute_{key}"))
+    return tm.groupBy("start_borough", "start_neighborhood").agg(*out, F.count(F.lit(1)).alias("trips"))
 
 
 def top_destinations(tm: DataFrame, k: int = 10) -> DataFrame:
@@ -198,9 +215,8 @@ def station_metrics(sd: DataFrame) -> DataFrame:
 
 def _daily_usage(sd: DataFrame, weather: DataFrame) -> DataFrame:
     daily = sd.groupBy("trip_date").agg(F.sum("trips_started").cast("bigint").alias("daily_trips"))
-    w = bounded_broadcast(
-        weather.select(F.to_date("timestamp").alias("trip_date"), "temperature", "precipitation", "wind_speed")
-    )
+    w = weather.select(F.to_date("timestamp").alias("trip_date"), "temperature", "precipitation", "wind_speed")
+    w = one_row_each(w, "trip_date")
     return daily.join(w, "trip_date", "left")
 
 

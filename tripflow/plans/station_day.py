@@ -8,33 +8,7 @@ from pyspark.sql import functions as F
 from tripflow.constants import STATION_DAY_RANGE
 from tripflow.functions import metrics as M
 from tripflow.operators.flow import station_day_flow
-from tripflow.operators.joins import bounded_broadcast
-
-STATION_DAY_COLUMNS = [
-    "trip_date",
-    "station_name",
-    "borough",
-    "neighborhood",
-    "latitude",
-    "longitude",
-    "capacity",
-    "trips_started",
-    "trips_ended",
-    "net_flow",
-    "trips_per_dock",
-    "flow_stress_score",
-    "utilization_status",
-]
-
-
-def assert_unique(df: DataFrame, columns: list[str]) -> None:
-    """Raise when a key repeats (a repeated station name would multiply mart rows).
-
-    Meant for dimension tables: one aggregate, reads at most one duplicate back.
-    """
-    dup = df.groupBy(*columns).count().where("count > 1").limit(1).collect()
-    if dup:
-        raise ValueError(f"duplicate key {dict(dup[0].asDict())} in {columns}")
+from tripflow.operators.joins import one_row_each
 
 
 def station_day(
@@ -44,12 +18,12 @@ def station_day(
     method: str = "single_pass",
     unknown_label: str | None = None,
     sort: bool = False,
-    check_unique_names: bool = False,
+    check_unique_names: bool = True,
 ) -> DataFrame:
     """One row per (station, day) with a known borough, inside ``date_range``.
 
-    Stations are matched by name, so station names must be unique in
-    ``stations`` (a duplicate name would multiply rows). The date filter is
+    Stations are matched by name, so station names must be unique in ``stations``:
+    a repeated name fails the query unless ``check_unique_names`` is off. The date filter is
     applied to the trips before aggregation, on both day columns, so it prunes
     the scan; a trip whose start and stop straddle the range boundary counts
     only on its in-range side, as with a filter after the join.
@@ -66,14 +40,12 @@ def station_day(
             "starttime",
             "stoptime",
         )
-    if check_unique_names:
-        assert_unique(stations.where(F.col("borough").isNotNull()), ["name"])
     flow = station_day_flow(trips, method=method)
-    dim = bounded_broadcast(
-        stations.where(F.col("borough").isNotNull()).select(
-            F.col("name").alias("station_name"), "borough", "neighborhood", "latitude", "longitude", "capacity"
-        )
+    dim = stations.where(F.col("borough").isNotNull()).select(
+        F.col("name").alias("station_name"), "borough", "neighborhood", "latitude", "longitude", "capacity"
     )
+    if check_unique_names:
+        dim = one_row_each(dim, "station_name")
     joined = flow.join(dim, "station_name")
     rate = M.trips_per_dock("trips_started", "trips_ended", "capacity")
     out = joined.select(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tripflow.functions.cleaning import textual_null, to_whole_number
 from tripflow.operators.spatial import points_in_areas
+from tripflow.sinks.writers import save_with_schema
+from tripflow.sources.feeds import read_area_features, read_station_feed
 
 STATION_SCHEMA = StructType(
     [
@@ -73,3 +75,16 @@ def station_dimension(
     return typed.dropna(subset=list(required)).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STATION_SCHEMA.fields]
     )
+
+
+def load_stations(spark: SparkSession, feeds: str, table: str, cell_size: float = 0.01) -> DataFrame:
+    """Station job: the feeds ``information``, ``status`` and ``areas`` under one folder, to the
+    saved table with the declared schema, which is returned."""
+    stations = station_dimension(
+        read_station_feed(spark, f"{feeds}/information"),
+        read_station_feed(spark, f"{feeds}/status"),
+        read_area_features(spark, f"{feeds}/areas"),
+        cell_size=cell_size,
+    )
+    save_with_schema(stations, table, STATION_SCHEMA)
+    return spark.table(table)

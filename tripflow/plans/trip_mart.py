@@ -1,10 +1,10 @@
 """Denormalised trip mart: each trip with areas, calendar, weather, distance, speed.
 
 Plan shape: trips are filtered by a timestamp range (pushed to the scan), then
-get three lookups — start station, end station (both by 3-decimal coordinate
-cell) and the day's weather. All three lookup sides are bounded (stations,
-days) and broadcast after a size check, so the mart is a single map-only stage
-over the trips: no shuffle of the trip rows at any scale.
+get three lookups: start station, end station (both by 3-decimal coordinate
+cell) and, where asked for, the day's weather. The planner broadcasts the lookup
+sides that its statistics show to be small, which leaves one map-only stage over
+the trips, and shuffles beyond that.
 """
 
 from __future__ import annotations
@@ -18,36 +18,10 @@ from tripflow.constants import MART_YEARS
 from tripflow.functions import calendar as C
 from tripflow.functions import metrics as M
 from tripflow.functions.geo import haversine_m, point_text
-from tripflow.operators.joins import bounded_broadcast, match_stations
+from tripflow.operators.joins import match_stations, one_row_each
 
 MART_WEATHER = ("temperature", "visibility", "wind_speed", "precipitation")
 
-TRIP_MART_COLUMNS = [
-    "usertype",
-    "start_station_name",
-    "end_station_name",
-    "start_date",
-    "time_of_day",
-    "trip_minute",
-    "start_point",
-    "end_point",
-    "start_borough",
-    "start_neighborhood",
-    "end_borough",
-    "end_neighborhood",
-    "day_of_week",
-    "month",
-    "year",
-    "season",
-    *MART_WEATHER,
-    "start_lat",
-    "start_lon",
-    "end_lat",
-    "end_lon",
-    "trip_distance_km",
-    "trip_avg_speed_kmh",
-]
-
 
 def trip_mart(
     trips: DataFrame,
@@ -58,11 +32,12 @@ def trip_mart(
     weather_columns: Sequence[str] = MART_WEATHER,
     max_distance_m: float | None = None,
 ) -> DataFrame:
-    """Rows: see ``TRIP_MART_COLUMNS`` (weather columns follow ``weather_columns``).
+    """One row per trip and matched station pair; ``weather_columns`` join in when ``weather`` is given.
 
     ``years``: start years kept, as one contiguous span (None keeps all).
     ``match``: ``"cell"`` (3-decimal agreement, the reference rule) or
-    ``"nearest"`` (closest station within the neighbouring cells).
+    ``"nearest"`` (closest station within ``max_distance_m``). ``weather`` has one row per
+    day; a repeated day fails the query.
     """
     t = trips
     if years is not None:
@@ -94,11 +69,8 @@ def trip_mart(
     if weather is not None:
         w = weather.select(F.to_date("timestamp").alias("_wday"), *weather_columns)
         if years is not None:
-            # daily weather has one row per day, so within the kept years it
-            # has at most 366 rows a year: a bound known without counting
-            w = F.broadcast(w.where(C.year_range(F.col("_wday").cast("timestamp_ntz"), min(years), max(years))))
-        else:
-            w = bounded_broadcast(w)
+            w = w.where(C.year_range(F.col("_wday").cast("timestamp_ntz"), min(years), max(years)))
+        w = one_row_each(w, "_wday")
         t = t.join(w, t["start_date"] == w["_wday"], "left").drop("_wday")
         wcols = list(weather_columns)
     else:

@@ -1,8 +1,9 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
 Each query reads the driver's tables in full through the views in
-``tripflow.sources.driver_tables``; parameters that the reference fixes to its
-own years are set to the span of the driver data so every row takes part.
+``tripflow.sources.driver_tables``. Only ``station_congestion_range`` and
+``sliced_*`` keep part of the days, where that is the feature. Making a query's
+plan starts no job, except for those whose work is to write (``WRITERS``).
 """
 
 from __future__ import annotations
@@ -10,81 +11,74 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tripflow.functions.cleaning import parse_time, to_whole_number
+from tripflow.functions.geo import haversine_m
+from tripflow.operators.cleaning import drop_textual_nulls
+from tripflow.operators.flow import station_day_flow
+from tripflow.operators.joins import match_stations
+from tripflow.operators.slicing import slice_station_days, slice_trips
+from tripflow.operators.spatial import points_in_areas
 from tripflow.operators.weather import daily_weather
+from tripflow.plans import reports as R
+from tripflow.plans.ingest import header_examples, ingest_trip_files, land_as_text
 from tripflow.plans.station_day import station_day
+from tripflow.plans.stations import load_stations, station_dimension
 from tripflow.plans.trip_mart import trip_mart
-from tripflow.operators.flow import station_day_flow
+from tripflow.plans.weather import load_weather
+from tripflow.session import scratch_path
+from tripflow.sinks.writers import register_table, write_by_day, write_partitioned
 from tripflow.sources import driver_tables as dt
+from tripflow.sources.trip_files import read_trip_files
+from tripflow.sources.warehouse import read_years
 
-# The driver data spans 1995-2001; these replace the reference's 2014-2016.
-DATA_YEARS = (1995, 2001)
-DATA_RANGE = ("1995-01-01", "2001-12-31")
-
-
-def q_station_day_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return station_day_flow(dt.trips_view(spark, sf_dir))
-
+# Market segments of the driver data play the user types.
+USERTYPES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+RANGE = ("1996-03-01", "1998-10-31")
+AREA_CELL = 2.0  # plane units; an area square is 8 x 8
+NEAREST_M = 60.0  # trip coordinates lie up to 50 m off their station
 
-def q_station_congestion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return station_day(
-        dt.trips_view(spark, sf_dir), dt.stations_view(spark, sf_dir), date_range=DATA_RANGE, sort=True
-    )
+Query = Callable[[SparkSession, str], DataFrame]
 
 
 def weather_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_weather(dt.weather_raw_view(spark, sf_dir), years=DATA_YEARS)
+    return daily_weather(dt.weather_raw_view(spark, sf_dir), years=None)
 
 
-def trip_mart_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trip_mart(
-        dt.trips_view(spark, sf_dir),
-        dt.stations_view(spark, sf_dir),
-        weather_of(spark, sf_dir),
-        years=range(DATA_YEARS[0], DATA_YEARS[1] + 1),
-    )
+def trip_mart_of(spark: SparkSession, sf_dir: str, weather: bool = False) -> DataFrame:
+    days = weather_of(spark, sf_dir) if weather else None
+    return trip_mart(dt.trips_view(spark, sf_dir), dt.stations_view(spark, sf_dir), days, years=None)
 
 
-def q_daily_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_weather(dt.weather_raw_view(spark, sf_dir), years=DATA_YEARS, sort=True)
+def station_day_of(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
+    return station_day(dt.trips_view(spark, sf_dir), dt.stations_view(spark, sf_dir), **{"date_range": None, **how})
 
 
-def q_trip_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trip_mart_of(spark, sf_dir)
+def on_mart(report: Callable[..., DataFrame], **how) -> Query:
+    return lambda s, d: report(trip_mart_of(s, d), **how)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "station_day_flow": q_station_day_flow,
-    "station_congestion": q_station_congestion,
-    "daily_weather": q_daily_weather,
-    "trip_mart": q_trip_mart,
-}
+def on_station_days(report: Callable[..., DataFrame]) -> Query:
+    return lambda s, d: report(station_day_of(s, d))
 
 
-# --- reports -----------------------------------------------------------------
-
-from tripflow.functions.geo import haversine_m  # noqa: E402
-from tripflow.operators.joins import bounded_broadcast  # noqa: E402
-from tripflow.operators.slicing import slice_trips  # noqa: E402
-from tripflow.plans import reports as R  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-# Market segments of the driver data play the user types.
-USERTYPES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-
-
-def station_day_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return station_day(dt.trips_view(spark, sf_dir), dt.stations_view(spark, sf_dir), date_range=DATA_RANGE)
+def q_sliced_station_flows(spark, sf_dir):
+    wet = slice_trips(
+        trip_mart_of(spark, sf_dir, weather=True), seasons=("Summer", "Fall"), times_of_day=("Morning", "Evening"), rain=("Rain",)
+    )
+    return R.station_flows(wet)
 
 
-def q_kpi_tiles(spark, sf_dir):
-    return R.kpi_tiles(trip_mart_of(spark, sf_dir), dt.trips_view(spark, sf_dir), station_day_of(spark, sf_dir))
+def q_sliced_station_metrics(spark, sf_dir):
+    days = slice_station_days(station_day_of(spark, sf_dir), date_range=RANGE, boroughs=("ASIA", "EUROPE"))
+    return R.station_metrics(days)
 
 
 def q_route_distances(spark, sf_dir):
     """G2 over every route that occurs: great-circle km between the route's stations."""
     routes = dt.trips_view(spark, sf_dir).select("start_station_name", "end_station_name").distinct()
-    st = bounded_broadcast(dt.stations_view(spark, sf_dir).select("name", "latitude", "longitude"))
+    st = dt.stations_view(spark, sf_dir).select("name", "latitude", "longitude")
     s = st.toDF("start_station_name", "s_lat", "s_lon")
     e = st.toDF("end_station_name", "e_lat", "e_lon")
     return routes.join(s, "start_station_name").join(e, "end_station_name").select(
@@ -94,42 +88,14 @@ def q_route_distances(spark, sf_dir):
     )
 
 
-QUERIES.update(
-    {
-        "kpi_tiles": q_kpi_tiles,
-        "route_busiest_month": lambda s, d: R.route_busiest_month(trip_mart_of(s, d)),
-        "latest_month_top_routes": lambda s, d: R.latest_month_top_routes(trip_mart_of(s, d), k=10),
-        "monthly_by_usertype": lambda s, d: R.monthly_by_usertype(trip_mart_of(s, d)),
-        "time_of_day_hist": lambda s, d: R.trips_by_time_of_day(trip_mart_of(s, d)),
-        "season_hist": lambda s, d: R.trips_by_season(trip_mart_of(s, d)),
-        "start_station_map": lambda s, d: R.start_station_map(trip_mart_of(s, d), dt.stations_view(s, d)),
-        "start_area_summary": lambda s, d: R.start_area_summary(trip_mart_of(s, d), USERTYPES),
-        "top_destinations": lambda s, d: R.top_destinations(trip_mart_of(s, d), k=10),
-        "station_flows": lambda s, d: R.station_flows(trip_mart_of(s, d)),
-        "sliced_station_flows": lambda s, d: R.station_flows(
-            slice_trips(
-                trip_mart_of(s, d),
-                seasons=("Summer", "Fall"),
-                times_of_day=("Morning", "Evening"),
-                rain=("Rain",),
-            )
-        ),
-        "utilization_by_month": lambda s, d: R.utilization_by_month(station_day_of(s, d)),
-        "net_flow_map": lambda s, d: R.net_flow_map(station_day_of(s, d)),
-        "station_metrics": lambda s, d: R.station_metrics(station_day_of(s, d)),
-        "weather_usage": lambda s, d: R.weather_usage(station_day_of(s, d), weather_of(s, d)),
-        "weather_correlation": lambda s, d: R.weather_correlation(station_day_of(s, d), weather_of(s, d)),
-        "route_distances": q_route_distances,
-    }
-)
-
-
-# --- spatial -------------------------------------------------------------------
-
-from tripflow.operators.spatial import points_in_areas  # noqa: E402
-from tripflow.plans.stations import station_dimension  # noqa: E402
-
-AREA_CELL = 2.0  # plane units; an area square is 8 x 8
+def q_nearest_station(spark, sf_dir):
+    """Trips by the station nearest to where they start, within reach or none."""
+    trips = dt.trips_view(spark, sf_dir).select("start_station_latitude", "start_station_longitude")
+    near = match_stations(
+        trips, dt.stations_view(spark, sf_dir), "start_station_latitude", "start_station_longitude", "near_", ["name"],
+        how="nearest", max_distance_m=NEAREST_M, join_type="left",
+    )
+    return near.groupBy("start_station_latitude", "start_station_longitude", "near_name").agg(F.count(F.lit(1)).alias("trips"))
 
 
 def q_points_in_areas(spark, sf_dir):
@@ -143,26 +109,6 @@ def q_station_dimension(spark, sf_dir):
     return station_dimension(info, status, dt.areas_view(spark, sf_dir), cell_size=AREA_CELL)
 
 
-QUERIES.update({"points_in_areas": q_points_in_areas, "station_dimension": q_station_dimension})
-
-
-# --- ingest --------------------------------------------------------------------
-
-from tripflow.functions.cleaning import parse_time  # noqa: E402
-from tripflow.plans.ingest import ingest_trip_files, land_as_text  # noqa: E402
-from tripflow.session import scratch_path  # noqa: E402
-
-
-def q_trip_file_ingest(spark, sf_dir):
-    """Trips rendered to monthly text files in two layouts, ingested back into a
-    Parquet store, then the station-day flow computed from the store."""
-    landing = scratch_path(spark, "landing")
-    store = scratch_path(spark, "trip-store")
-    land_as_text(dt.trips_view(spark, sf_dir), landing)
-    ingest_trip_files(spark, landing, store)
-    return station_day_flow(spark.read.parquet(store))
-
-
 def q_parse_trip_times(spark, sf_dir):
     """Event times rendered in the layouts trip files use, parsed back."""
     ev = dt.load(spark, sf_dir, "events")
@@ -177,4 +123,122 @@ def q_parse_trip_times(spark, sf_dir):
     return ev.select("event_id", text.alias("time_text")).withColumn("parsed", parse_time("time_text"))
 
 
-QUERIES.update({"trip_file_ingest": q_trip_file_ingest, "parse_trip_times": q_parse_trip_times})
+def q_textual_nulls(spark, sf_dir):
+    """Events whose type survives the null policy; some are rendered as null, 'nan' or blank."""
+    k = F.col("event_id") % 7
+    text = F.when(k == 0, F.lit("nan")).when(k == 1, F.lit("  ")).when(k == 2, F.lit(" NaN ")).when(k != 3, F.col("event_type"))
+    return drop_textual_nulls(dt.load(spark, sf_dir, "events").select("event_id", text.alias("event_type")), ["event_type"])
+
+
+def q_numeric_coerce(spark, sf_dir):
+    """Event values rendered as a feed's text, coerced back to whole numbers."""
+    k, whole = F.col("event_id") % 5, F.col("user_id").cast("string")
+    text = (
+        F.when(k == 0, whole).when(k == 1, F.concat(whole, F.lit(".0"))).when(k == 2, F.concat(whole, F.lit(".75"))).when(k == 3, F.lit("x"))
+    )
+    return dt.load(spark, sf_dir, "events").select("event_id", text.alias("value_text")).withColumn("whole", to_whole_number("value_text"))
+
+
+# --- queries that write and read back
+
+
+def q_trip_file_ingest(spark, sf_dir):
+    """Trips rendered to monthly text files in two layouts and ingested back: every stored column."""
+    landing, store = scratch_path(spark, "landing"), scratch_path(spark, "trip-store")
+    land_as_text(dt.trips_view(spark, sf_dir), landing)
+    ingest_trip_files(spark, landing, store, month_from_folder=True)
+    return spark.read.parquet(store)
+
+
+def q_header_layout_union(spark, sf_dir):
+    """Order rows as files of three layouts, one with a new column and one in a folder with a space."""
+    landing = scratch_path(spark, "layouts")
+    header_examples(dt.load(spark, sf_dir, "orders"), landing)
+    return read_trip_files(spark, landing, month_from_folder=True)
+
+
+def q_month_reload(spark, sf_dir):
+    """A store of trip months, written year by year, of which one year is loaded again with other rows: those are replaced,
+    other months stay. Read back through its catalog table."""
+    store = scratch_path(spark, "months")
+    trips = dt.trips_view(spark, sf_dir).select("tripduration", "starttime", "usertype", "bikeid")
+    trips = trips.withColumn("year_month", F.date_format("starttime", "yyyy_MM"))
+    span = dt.load(spark, sf_dir, "lineitem").agg(F.year(F.min("l_shipdate")), F.year(F.max("l_shipdate"))).first()
+    for year in range(span[0] or 0, (span[1] or -1) + 1):
+        write_partitioned(trips.where(F.year("starttime") == year), store)
+    write_partitioned(trips.where("year(starttime) = 1997 AND tripduration >= 1800").withColumn("usertype", F.lit("reloaded")), store)
+    register_table(spark, "tripflow_month_reload", store)
+    return spark.table("tripflow_month_reload").groupBy("year_month", "usertype").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("tripduration").alias("seconds")
+    )
+
+
+def q_trips_by_day_store(spark, sf_dir):
+    """The day-partitioned, bike-clustered store."""
+    store = scratch_path(spark, "days")
+    trips = dt.trips_view(spark, sf_dir).select("bikeid", "tripduration", "usertype", "start_day")
+    write_by_day(trips, store)
+    return spark.read.parquet(store)
+
+
+def q_station_table_load(spark, sf_dir):
+    """Station and area feeds as JSON files, through the station job, from its saved table."""
+    folder = scratch_path(spark, "feeds")
+    info, status = dt.supplier_sites(spark, sf_dir)
+    dt.render_feeds(info, status, dt.areas_view(spark, sf_dir), folder)
+    return load_stations(spark, folder, "tripflow_stations", cell_size=AREA_CELL)
+
+
+def q_weather_table_load(spark, sf_dir):
+    """Readings stored by year, the weather job over some of them, and its saved table."""
+    readings = scratch_path(spark, "readings")
+    write_partitioned(dt.weather_raw_view(spark, sf_dir), readings, ("year",))
+    return load_weather(spark, read_years(spark, readings, 1996, 1999), "tripflow_weather")
+
+
+WRITERS: dict[str, Query] = {
+    "trip_file_ingest": q_trip_file_ingest,
+    "header_layout_union": q_header_layout_union,
+    "month_reload": q_month_reload,
+    "trips_by_day_store": q_trips_by_day_store,
+    "station_table_load": q_station_table_load,
+    "weather_table_load": q_weather_table_load,
+}
+
+QUERIES: dict[str, Query] = {
+    "station_day_flow": lambda s, d: station_day_flow(dt.trips_view(s, d)),
+    "station_congestion": lambda s, d: station_day_of(s, d, sort=True),
+    "station_congestion_range": lambda s, d: station_day_of(s, d, date_range=RANGE),
+    "daily_weather": lambda s, d: daily_weather(dt.weather_raw_view(s, d), years=None, sort=True),
+    "trip_mart": lambda s, d: trip_mart_of(s, d, weather=True),
+    "kpi_tiles": lambda s, d: R.kpi_tiles(trip_mart_of(s, d), station_day_of(s, d)),
+    "active_stations": lambda s, d: R.active_stations(dt.trips_view(s, d)),
+    "unmatched_trips": lambda s, d: R.unmatched_trips(dt.trips_view(s, d), dt.stations_view(s, d)),
+    "route_busiest_month": on_mart(R.route_busiest_month),
+    "latest_month_top_routes": on_mart(R.latest_month_top_routes, k=10),
+    "monthly_by_usertype": on_mart(R.monthly_by_usertype),
+    "time_of_day_hist": on_mart(R.trips_by_time_of_day),
+    "season_hist": on_mart(R.trips_by_season),
+    "start_station_map": lambda s, d: R.start_station_map(trip_mart_of(s, d), dt.stations_view(s, d)),
+    "start_area_summary": on_mart(R.start_area_summary, usertypes=USERTYPES[:4]),
+    "top_destinations": on_mart(R.top_destinations, k=10),
+    "station_flows": on_mart(R.station_flows),
+    "sliced_station_flows": q_sliced_station_flows,
+    "utilization_by_month": on_station_days(R.utilization_by_month),
+    "net_flow_map": on_station_days(R.net_flow_map),
+    "station_metrics": on_station_days(R.station_metrics),
+    "sliced_station_metrics": q_sliced_station_metrics,
+    "weather_usage": lambda s, d: R.weather_usage(station_day_of(s, d), weather_of(s, d)),
+    "weather_correlation": lambda s, d: R.weather_correlation(station_day_of(s, d), weather_of(s, d)),
+    "route_distances": q_route_distances,
+    "nearest_station": q_nearest_station,
+    "points_in_areas": q_points_in_areas,
+    "station_dimension": q_station_dimension,
+    "parse_trip_times": q_parse_trip_times,
+    "textual_nulls": q_textual_nulls,
+    "numeric_coerce": q_numeric_coerce,
+    **WRITERS,
+}
+
+
+q_station_congestion = QUERIES["station_congestion"]

@@ -3,10 +3,9 @@
 * ``write_partitioned``: Parquet partitioned by a tag column with *dynamic*
   overwrite, so reloading one month replaces exactly that month's folder and
   leaves the others (no stale part files, idempotent on retry).
-* ``write_by_day``: the layout the trip table is meant to have — one folder
-  per start day, rows clustered by bike inside each file. Rows are range
-  partitioned on (day, bike) first, so a very busy day is split over several
-  tasks instead of landing in one.
+* ``write_by_day``: the layout the trip table is meant to have: one folder
+  per start day, rows clustered by bike inside each file. Rows are rebalanced by
+  day, so the number of tasks follows the data and a busy day is split over several.
 * ``register_table``: a catalog table over written files (re-created, and
   partitions discovered).
 * ``save_table`` / ``save_with_schema``: managed tables, optionally cast to a
@@ -39,16 +38,9 @@ def write_partitioned(
     )
 
 
-def write_by_day(
-    df: DataFrame,
-    path: str,
-    day: str = "start_day",
-    cluster_by: str = "bikeid",
-    partitions: int | None = None,
-) -> None:
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+def write_by_day(df: DataFrame, path: str, day: str = "start_day", cluster_by: str = "bikeid") -> None:
     (
-        df.repartitionByRange(n, day, cluster_by)
+        df.hint("rebalance", day)
         .sortWithinPartitions(day, cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

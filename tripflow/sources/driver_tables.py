@@ -37,26 +37,25 @@ GRID, SIDE, HOLE_LO, HOLE_HI = 10, 8, 3, 5
 PLANE_MOD = 4900  # site coordinates are (key * mult % PLANE_MOD) / 100
 
 
-# Key to spread a table on when its files do not split into enough tasks.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey", "events": "event_id"}
+# Declared, so that making a plan reads no file.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table.
-
-    A file written as one row group is one scan task, so everything before the
-    first shuffle would run on one core. When the scan has fewer partitions
-    than the cluster's default parallelism, the table is hash-spread on its key
-    first; on real inputs (many files / row groups) the scan is already wide and
-    nothing is added.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = SPREAD_KEYS.get(name)
-    if key is not None:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            df = df.repartition(target, key)
-    return df
+    """One driver table."""
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _micro_degrees(base: int, key: Column, step: int, offset: int, jitter: Column | None) -> Column:
@@ -241,3 +240,18 @@ def supplier_sites(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     )
     status = load(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("station_id"))
     return info, status
+
+
+def render_feeds(info: DataFrame, status: DataFrame, areas: DataFrame, folder: str) -> None:
+    """Station and area feeds as JSON documents, one to a file: the stations dealt over some
+    documents, the areas as GeoJSON feature collections, one per borough."""
+    for name, rows in (("information", info), ("status", status.distinct())):
+        part = F.pmod(F.xxhash64("station_id"), F.lit(16)).alias("part")
+        stations = F.struct(F.collect_list(F.struct(*rows.columns)).alias("stations")).alias("data")
+        rows.groupBy(part).agg(stations).select("part", F.to_json(F.struct("data"))).write.partitionBy("part").text(f"{folder}/{name}")
+    feature = F.struct(
+        F.create_map(F.lit("boroname"), F.col("borough"), F.lit("ntaname"), F.col("neighborhood")).alias("properties"),
+        F.struct(F.lit("MultiPolygon").alias("type"), F.col("geometry").alias("coordinates")).alias("geometry"),
+    )
+    doc = areas.groupBy("borough").agg(F.collect_list(feature).alias("features"))
+    doc.select("borough", F.to_json(F.struct("features"))).write.partitionBy("borough").text(f"{folder}/areas")

@@ -32,24 +32,3 @@ TRIP_FIELDS = [
     StructField("birth_year", IntegerType()),
     StructField("gender", StringType()),
 ]
-
-# The cleaned trip table: the file columns plus ``start_date`` (the start
-# timestamp, kept as the reference stores it) and ``start_day`` (its date).
-TRIP_SCHEMA = StructType(
-    TRIP_FIELDS + [StructField("start_date", TimestampNTZType()), StructField("start_day", DateType())]
-)
-
-WEATHER_READING_SCHEMA = StructType(
-    [
-        StructField("stn", StringType()),
-        StructField("year", StringType()),
-        StructField("mo", StringType()),
-        StructField("da", StringType()),
-        StructField("temp", DoubleType()),
-        StructField("visib", DoubleType()),
-        StructField("wdsp", StringType()),
-        StructField("gust", DoubleType()),
-        StructField("prcp", DoubleType()),
-        StructField("sndp", DoubleType()),
-    ]
-)

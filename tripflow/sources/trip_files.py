@@ -3,21 +3,26 @@
 Reading all files in one ``spark.read.csv`` call takes the header of one file
 for every file, so columns land in the wrong place when layouts differ. Here:
 
-1. one text pass keeps only header lines (lines whose fields are mostly known
-   header names), giving each file's layout; the per-file layouts are small
-   metadata (one row per file) and are grouped by layout on the driver;
+1. the files are listed by Spark, and the first line of each is read through
+   Spark's file systems: a cost for each file, whatever its size;
 2. each layout is read once with its own all-string schema, headers are
    normalised (lower case, blanks -> ``_``) and mapped to canonical names;
 3. the layouts are combined with ``unionByName`` (missing columns -> null),
    and typed *by name* with ``try_cast`` (bad text -> null).
 
-The year-month tag comes from the file name (``YYYYMM...``); files without it
-are skipped. Spark's file listing already skips ``_``/``.``-prefixed folders.
+The year-month tag comes from the file name (``YYYYMM...``), or, where asked for,
+from the folder. ``file_report`` says of every file whether it is read and why
+not, and which columns have no canonical name; a file whose header is unknown
+stops the reading unless ``on_unknown="skip"``. Spark's file listing already
+skips ``_``/``.``-prefixed folders.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Collection, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,51 +33,31 @@ from tripflow.sources.schemas import TRIP_FIELDS
 
 CSV_GLOB = "*.{csv,CSV}"
 
-
-def normalise_header(name: str) -> str:
-    return name.strip().strip('"').strip().lower().replace(" ", "_")
-
-
-def _normalised_fields(line: Column) -> Column:
-    parts = F.split(line, ",")
-    return F.transform(parts, lambda p: F.replace(F.lower(F.trim(F.regexp_replace(p, '"', ""))), F.lit(" "), F.lit("_")))
+# a folder named YYYYMM..., or key=YYYYMM... as Spark's partitioned writers name them
+_FOLDER_MONTH = r"^(?:[^=]*=)?(\d{4})(\d{2})"
 
 
-def header_lines(spark: SparkSession, root: str, synonyms: Mapping[str, str] = HEADER_SYNONYMS) -> DataFrame:
-    """(file_path, file_name, year_month, header): the header line of every trip file."""
-    text = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", CSV_GLOB)
-        .text(root)
-        .select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"))
-    )
-    known = F.array(*[F.lit(k) for k in synonyms])
-    fields = _normalised_fields(F.col("value"))
-    hits = F.size(F.filter(fields, lambda f: F.array_contains(known, f)))
-    return (
-        text.where(hits * 2 >= F.size(fields))
-        .select(
-            "file_path",
-            "file_name",
-            month_tag("file_name", "file_path").alias("year_month"),
-            F.col("value").alias("header"),
-        )
-        .dropDuplicates(["file_path"])
-    )
+@dataclass(frozen=True)
+class TripFile:
+    """One landed file: where, for which month, in which layout, or why it is not read."""
 
+    path: str
+    year_month: str | None
+    header: str
+    names: tuple[str, ...]
+    extras: tuple[str, ...]
+    status: str  # "read", "no month", "empty", "unknown header", "ambiguous header"
 
-# a folder named YYYYMM..., or key=YYYYMM... as Spark's partitioned writers name them
-_DIR_MONTH_PATTERN = r"/(?:[^/=]*=)?(\d{4})(\d{2})[^/]*/[^/]*$"
 
+def normalise_header(name: str) -> str:
+    return name.strip().strip('"').strip().lower().replace(" ", "_")
 
-def month_tag(file_name: str, file_path: str) -> Column:
-    """``YYYY_MM`` from a file name starting with ``YYYYMM``; else from the
-    file's folder name; null when neither carries one."""
-    def tag(c: str, pattern: str) -> Column:
-        y, m = F.regexp_extract(c, pattern, 1), F.regexp_extract(c, pattern, 2)
-        return F.when(y != "", F.concat_ws("_", y, m))
 
-    return F.coalesce(tag(file_name, FILE_MONTH_PATTERN), tag(file_path, _DIR_MONTH_PATTERN))
+def month_of(path: str, from_folder: bool = False) -> str | None:
+    """``YYYY_MM`` from a file name starting with ``YYYYMM``; with ``from_folder`` else from its folder's name."""
+    *_, folder, name = ["", *path.split("/")]
+    found = re.match(FILE_MONTH_PATTERN, name) or (re.match(_FOLDER_MONTH, folder) if from_folder else None)
+    return f"{found[1]}_{found[2]}" if found else None
 
 
 def canonical_names(header: str, synonyms: Mapping[str, str] = HEADER_SYNONYMS) -> tuple[list[str], list[str]]:
@@ -95,45 +80,94 @@ def canonical_names(header: str, synonyms: Mapping[str, str] = HEADER_SYNONYMS)
     return names, extras
 
 
-def read_layout(spark: SparkSession, files: Sequence[str], names: Sequence[str]) -> DataFrame:
+def _first_line(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def trip_files(
+    spark: SparkSession, root: str, synonyms: Mapping[str, str] = HEADER_SYNONYMS, month_from_folder: bool = False
+) -> list[TripFile]:
+    """Every CSV file under ``root``: one entry per file, from its name and first line."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", CSV_GLOB).load(root)
+    paths = sorted(r["path"] for r in listed.select("path").collect())
+
+    def look(path: str) -> TripFile:
+        month = month_of(path, month_from_folder)
+        if month is None:
+            return TripFile(path, None, "", (), (), "no month")
+        header = _first_line(spark, path).lstrip("﻿")
+        try:
+            names, extras = canonical_names(header, synonyms)
+        except ValueError:
+            return TripFile(path, month, header, (), (), "ambiguous header")
+        status = "empty" if not header else "unknown header" if len(extras) * 2 > len(names) else "read"
+        return TripFile(path, month, header, tuple(names), tuple(extras), status)
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(look, paths))
+
+
+def _month_column(from_folder: bool) -> Column:
+    """:func:`month_of` of the file that a row comes from."""
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    found = []
+    for place, pattern in ((-1, FILE_MONTH_PATTERN), (-2, _FOLDER_MONTH))[: 2 if from_folder else 1]:
+        year, month = (F.regexp_extract(F.element_at(parts, place), pattern, n) for n in (1, 2))
+        found.append(F.when(year != "", F.concat_ws("_", year, month)))
+    return F.coalesce(*found)
+
+
+def read_layout(spark: SparkSession, files: Sequence[str], names: Sequence[str], month_from_folder: bool = False) -> DataFrame:
     """Read files that share one header; columns come back under canonical names."""
     schema = StructType([StructField(n, StringType()) for n in names])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .csv(list(files))
-    )
+    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(list(files))
     return df.select(
-        *[F.col(f.name) if f.name in names else F.lit(None).cast("string").alias(f.name) for f in TRIP_FIELDS],
-        month_tag("_metadata.file_name", "_metadata.file_path").alias("year_month"),
+        *[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast("string").alias(f.name) for f in TRIP_FIELDS],
+        _month_column(month_from_folder).alias("year_month"),
     )
 
 
-def read_trip_files(spark: SparkSession, root: str, synonyms: Mapping[str, str] = HEADER_SYNONYMS) -> DataFrame:
-    """All trip files under ``root`` as text columns in canonical order, plus ``year_month``.
-
-    Raw text only; :func:`tripflow.operators.cleaning.clean_trips` types it.
+def read_trip_files(
+    spark: SparkSession,
+    root: str,
+    synonyms: Mapping[str, str] = HEADER_SYNONYMS,
+    *,
+    month_from_folder: bool = False,
+    on_unknown: str = "raise",
+    months: Collection[str] | None = None,
+) -> DataFrame:
+    """All trip files under ``root`` (of ``months``, where given) as text columns in canonical
+    order, plus ``year_month``. :func:`tripflow.operators.cleaning.clean_trips` types it.
+
+    Files without a month in their name are not trip files; ``file_report`` lists
+    them. A header that is unknown or ambiguous raises, or with ``on_unknown="skip"``
+    leaves the file out.
     """
-    layouts: dict[str, list[str]] = {}
-    for row in header_lines(spark, root, synonyms).where(F.col("year_month").isNotNull()).collect():
-        layouts.setdefault(row["header"], []).append(row["file_path"])
-    if not layouts:
-        schema = StructType([StructField(f.name, StringType()) for f in TRIP_FIELDS] + [StructField("year_month", StringType())])
-        return spark.createDataFrame([], schema)
-    parts = []
-    for header, files in sorted(layouts.items()):
-        names, _ = canonical_names(header, synonyms)
-        parts.append(read_layout(spark, sorted(files), names))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def file_layouts(spark: SparkSession, root: str, synonyms: Mapping[str, str] = HEADER_SYNONYMS) -> DataFrame:
-    """One row per distinct layout: header, number of files, months — for inspection."""
-    return header_lines(spark, root, synonyms).groupBy("header").agg(
-        F.count(F.lit(1)).alias("files"),
-        F.sort_array(F.collect_set("year_month")).alias("months"),
-    )
+    found = [f for f in trip_files(spark, root, synonyms, month_from_folder) if months is None or f.year_month in months]
+    unknown = [f.path for f in found if f.status in ("unknown header", "ambiguous header")]
+    if unknown and on_unknown != "skip":
+        raise ValueError(f"{len(unknown)} files have unknown or ambiguous headers, the first is {unknown[0]}")
+    groups: dict[tuple, list[str]] = {}
+    for f in found:
+        if f.status == "read":
+            groups.setdefault(f.names, []).append(f.path)
+    schema = StructType([StructField(f.name, StringType()) for f in TRIP_FIELDS] + [StructField("year_month", StringType())])
+    out = None
+    for names, files in sorted(groups.items()):
+        part = read_layout(spark, files, names, month_from_folder)
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def file_report(
+    spark: SparkSession, root: str, synonyms: Mapping[str, str] = HEADER_SYNONYMS, month_from_folder: bool = False
+) -> DataFrame:
+    """One row per file: path, year_month, status, header, and the columns without a canonical name."""
+    rows = [(f.path, f.year_month, f.status, f.header, list(f.extras)) for f in trip_files(spark, root, synonyms, month_from_folder)]
+    return spark.createDataFrame(rows, "path string, year_month string, status string, header string, extras array<string>")

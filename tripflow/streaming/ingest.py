@@ -1,98 +1,48 @@
 """Incremental trip ingest with Structured Streaming.
 
-The year-by-year batch loop becomes a file stream: each run picks up only the
-files landed since the last run (the checkpoint remembers which were done),
-parses each file with its own header layout, cleans the rows and writes them
-to the month-partitioned store. ``trigger(availableNow=True)`` processes what
-is there and stops, so the same job serves scheduled runs.
-
-Each micro-batch is written to partitions ``(year_month, batch_id)`` with
-dynamic overwrite: a batch that is retried after a failure replaces its own
-output instead of appending it twice.
+The year-by-year batch loop becomes a file stream: each run picks up the files
+landed since the last run (the checkpoint remembers which were done). The months
+they belong to are ingested anew from all their landed files by the batch job, so
+stream and batch keep one store, with the same rows whichever ran last, and a
+batch that is retried replaces its own output. ``trigger(availableNow=True)``
+processes what is there and stops, so the same job serves scheduled runs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tripflow.constants import HEADER_SYNONYMS
-from tripflow.operators.cleaning import MART_REQUIRED, clean_trips
-from tripflow.sinks.writers import write_partitioned
-from tripflow.sources.schemas import TRIP_FIELDS
-from tripflow.sources.trip_files import CSV_GLOB, _normalised_fields, canonical_names, month_tag
-
+from tripflow.plans.ingest import ingest_trip_files
+from tripflow.sources.trip_files import CSV_GLOB, month_of
 
-def _parse_batch(lines: DataFrame, synonyms: Mapping[str, str]) -> DataFrame | None:
-    known = F.array(*[F.lit(k) for k in synonyms])
-    fields = _normalised_fields(F.col("value"))
-    is_header = F.size(F.filter(fields, lambda f: F.array_contains(known, f))) * 2 >= F.size(fields)
-    # one row per file in this batch: small metadata
-    headers = lines.where(is_header).groupBy("file_path").agg(F.first("value").alias("header")).collect()
-    by_layout: dict[str, list[str]] = {}
-    for r in headers:
-        by_layout.setdefault(r["header"], []).append(r["file_path"])
-    parts = []
-    for header, files in sorted(by_layout.items()):
-        names, _ = canonical_names(header, synonyms)
-        ddl = ", ".join(f"`{n}` STRING" for n in names)
-        rows = lines.where(F.col("file_path").isin(files) & (F.col("value") != F.lit(header)))
-        parsed = rows.select(F.from_csv("value", ddl).alias("r"), "file_path")
-        parts.append(
-            parsed.select(
-                *[
-                    (F.col(f"r.`{f.name}`") if f.name in names else F.lit(None).cast("string")).alias(f.name)
-                    for f in TRIP_FIELDS
-                ],
-                month_tag(F.regexp_extract("file_path", r"([^/]*)$", 1), "file_path").alias("year_month"),
-            )
-        )
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where(F.col("year_month").isNotNull())
+_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def start_trip_stream(
-    spark: SparkSession,
-    landing: str,
-    store: str,
-    checkpoint: str,
-    required: Sequence[str] | str = MART_REQUIRED,
-    synonyms: Mapping[str, str] = HEADER_SYNONYMS,
-    available_now: bool = True,
+    spark: SparkSession, landing: str, store: str, checkpoint: str, available_now: bool = True, month_from_folder: bool = False, **how
 ) -> StreamingQuery:
-    lines = (
-        spark.readStream.format("text")
+    """``how`` goes to :func:`ingest_trip_files`."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILE)
         .option("pathGlobFilter", CSV_GLOB)
         .option("recursiveFileLookup", True)
         .load(landing)
-        .select("value", F.col("_metadata.file_path").alias("file_path"))
+        .select("path")  # contents are not read
     )
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            raw = _parse_batch(batch, synonyms)
-            if raw is None:
-                return
-            trips = clean_trips(raw, required).withColumn("batch_id", F.lit(batch_id))
-            if not trips.isEmpty():
-                write_partitioned(trips, store, ("year_month", "batch_id"))
-        finally:
-            batch.unpersist()
+    def ingest(batch: DataFrame, _: int) -> None:
+        # one row per landed file
+        months = {month_of(r["path"], month_from_folder) for r in batch.collect()} - {None}
+        if months:
+            ingest_trip_files(batch.sparkSession, landing, store, months=months, month_from_folder=month_from_folder, **how)
 
-    writer = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = files.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def run_trip_stream_once(spark: SparkSession, landing: str, store: str, checkpoint: str, **kw) -> None:
+def run_trip_stream_once(spark: SparkSession, landing: str, store: str, checkpoint: str, **how) -> None:
     """Ingest everything landed since the last run, then return."""
-    q = start_trip_stream(spark, landing, store, checkpoint, available_now=True, **kw)
-    q.awaitTermination()
+    start_trip_stream(spark, landing, store, checkpoint, available_now=True, **how).awaitTermination()
