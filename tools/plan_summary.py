@@ -14,11 +14,10 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SKIP = {"trip_file_ingest"}  # writes its input files first
 
 
 def main(sf_dir: str) -> None:
-    import __spark_entry__ as entry
+    from tripflow.registry import QUERIES, WRITERS
     from tripflow.session import build_session
 
     spark = build_session(shuffle_partitions=16)
@@ -26,8 +25,8 @@ def main(sf_dir: str) -> None:
     print(f"Generated by `tools/plan_summary.py` on `{sf_dir}` (AQE initial plans).\n")
     print("| query | scans | exchanges | joins | aggregates | pushed filters |")
     print("| --- | --- | --- | --- | --- | --- |")
-    for name, q in sorted(entry.queries().items()):
-        if name in SKIP:
+    for name, q in sorted(QUERIES.items()):
+        if name in WRITERS:
             continue
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):

@@ -63,5 +63,10 @@ _installed: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint dir."""
-    return f"{checkpoint_dir(spark)}/tripflow/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared checkpoint dir; it goes when the session's JVM ends."""
+    home = f"{checkpoint_dir(spark)}/tripflow/{name}-{uuid.uuid4().hex[:12]}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(home)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return f"{home}/data"
