@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.functions.calendar import time_of_day
 from tripflow.functions.metrics import net_flow
 
 
@@ -25,13 +26,17 @@ def station_day_flow(
     end_station: str = "end_station_name",
     start_time: str = "starttime",
     stop_time: str = "stoptime",
+    by_time_of_day: bool = False,
 ) -> DataFrame:
-    """Rows: station_name, trip_date, trips_started, trips_ended, net_flow.
+    """Rows: station_name, trip_date, trips_started, trips_ended, net_flow; with
+    ``by_time_of_day`` (single pass) one for each time of day, which comes as a column.
 
     A trip with a null station name or time contributes nothing on that side,
     in both methods (a null key never matches in the outer join, so it is
     removed up front rather than kept as an unmatched row).
     """
+    key = ["station_name", "trip_date", *(["time_of_day"] if by_time_of_day else [])]
+    band = lambda t: [time_of_day(t).alias("time_of_day")] if by_time_of_day else []
     if method == "single_pass":
         sides = trips.select(
             F.inline(
@@ -39,23 +44,25 @@ def station_day_flow(
                     F.struct(
                         F.col(start_station).alias("station_name"),
                         F.to_date(F.col(start_time)).alias("trip_date"),
+                        *band(start_time),
                         F.lit(1).alias("s"),
                         F.lit(0).alias("e"),
                     ),
                     F.struct(
                         F.col(end_station).alias("station_name"),
                         F.to_date(F.col(stop_time)).alias("trip_date"),
+                        *band(stop_time),
                         F.lit(0).alias("s"),
                         F.lit(1).alias("e"),
                     ),
                 )
             )
         ).where(F.col("station_name").isNotNull() & F.col("trip_date").isNotNull())
-        counted = sides.groupBy("station_name", "trip_date").agg(
+        counted = sides.groupBy(*key).agg(
             F.sum("s").cast("bigint").alias("trips_started"),
             F.sum("e").cast("bigint").alias("trips_ended"),
         )
-    elif method == "full_outer":
+    elif method == "full_outer" and not by_time_of_day:
         started = (
             trips.where(F.col(start_station).isNotNull() & F.col(start_time).isNotNull())
             .groupBy(F.col(start_station).alias("station_name"), F.to_date(F.col(start_time)).alias("trip_date"))
@@ -75,8 +82,7 @@ def station_day_flow(
     else:
         raise ValueError(f"unknown method {method!r}")
     return counted.select(
-        "station_name",
-        "trip_date",
+        *key,
         "trips_started",
         "trips_ended",
         net_flow("trips_ended", "trips_started").alias("net_flow"),

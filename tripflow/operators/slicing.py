@@ -52,12 +52,15 @@ def slice_station_days(
     station_day: DataFrame,
     *,
     date_range: tuple[str, str] | None = None,
+    times_of_day: Sequence[str] | None = None,
     boroughs: Sequence[str] | None = None,
     neighborhoods: Sequence[str] | None = None,
 ) -> DataFrame:
+    """Keep station-day rows matching every given criterion; ``times_of_day`` needs rows by time of day."""
     df = station_day
     if date_range is not None:
         lo, hi = (F.lit(d).cast("date") for d in date_range)
         df = df.where(F.col("trip_date").between(lo, hi))
+    df = _among(df, "time_of_day", times_of_day)
     df = _among(df, "borough", boroughs)
     return _among(df, "neighborhood", neighborhoods)

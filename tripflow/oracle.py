@@ -287,6 +287,17 @@ FROM station_day GROUP BY station_name, latitude, longitude
 """,
     "station_metrics": STATION_DAYS + STATION_METRICS.format("TRUE"),
     "sliced_station_metrics": STATION_DAYS + STATION_METRICS.format(f"{IN_RANGE} AND borough IN ('ASIA', 'EUROPE')"),
+    "station_rush_hours": with_views(STATIONS_V, TRIPS_V) + f""",
+{_label_table("hours", _HOURS)},
+sides AS (
+  SELECT start_station_name AS place, starttime AS moment, TRUE AS leaves FROM trips_v
+  UNION ALL
+  SELECT end_station_name, stoptime, FALSE FROM trips_v
+),
+flow AS (
+  SELECT place, moment::DATE AS day, label, count_if(leaves) AS left_here, count_if(NOT leaves) AS came_here
+  FROM sides JOIN hours ON n = hour(moment) WHERE label IN ('Morning', 'Evening') GROUP BY ALL
+)""" + "," + RATES_V + STATION_METRICS.format("TRUE"),
     "weather_usage": DAYS_AND_WEATHER + """
 SELECT coalesce(if(precipitation > 0, 'Rain', if(precipitation = 0, 'No rain', NULL)), 'Unknown') AS rain_condition,
        count(*) AS days, avg(daily_trips) AS avg_daily_trips, round(avg(temperature), 6) AS avg_temperature

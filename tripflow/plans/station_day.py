@@ -19,8 +19,10 @@ def station_day(
     unknown_label: str | None = None,
     sort: bool = False,
     check_unique_names: bool = True,
+    by_time_of_day: bool = False,
 ) -> DataFrame:
-    """One row per (station, day) with a known borough, inside ``date_range``.
+    """One row per (station, day) with a known borough, inside ``date_range``; with
+    ``by_time_of_day`` one per (station, day, time of day), rates and labels included.
 
     Stations are matched by name, so station names must be unique in ``stations``:
     a repeated name fails the query unless ``check_unique_names`` is off. The date filter is
@@ -40,7 +42,7 @@ def station_day(
             "starttime",
             "stoptime",
         )
-    flow = station_day_flow(trips, method=method)
+    flow = station_day_flow(trips, method=method, by_time_of_day=by_time_of_day)
     dim = stations.where(F.col("borough").isNotNull()).select(
         F.col("name").alias("station_name"), "borough", "neighborhood", "latitude", "longitude", "capacity"
     )
@@ -50,6 +52,7 @@ def station_day(
     rate = M.trips_per_dock("trips_started", "trips_ended", "capacity")
     out = joined.select(
         "trip_date",
+        *(["time_of_day"] if by_time_of_day else []),
         "station_name",
         "borough",
         "neighborhood",

@@ -75,6 +75,12 @@ def q_sliced_station_metrics(spark, sf_dir):
     return R.station_metrics(days)
 
 
+def q_station_rush_hours(spark, sf_dir):
+    """Station metrics of mornings and evenings, from rows by time of day."""
+    hours = station_day_of(spark, sf_dir, by_time_of_day=True)
+    return R.station_metrics(slice_station_days(hours, times_of_day=("Morning", "Evening")))
+
+
 def q_route_distances(spark, sf_dir):
     """G2 over every route that occurs: great-circle km between the route's stations."""
     routes = dt.trips_view(spark, sf_dir).select("start_station_name", "end_station_name").distinct()
@@ -228,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "net_flow_map": on_station_days(R.net_flow_map),
     "station_metrics": on_station_days(R.station_metrics),
     "sliced_station_metrics": q_sliced_station_metrics,
+    "station_rush_hours": q_station_rush_hours,
     "weather_usage": lambda s, d: R.weather_usage(station_day_of(s, d), weather_of(s, d)),
     "weather_correlation": lambda s, d: R.weather_correlation(station_day_of(s, d), weather_of(s, d)),
     "route_distances": q_route_distances,

@@ -14,21 +14,22 @@ def read_source(
     query: str | None = None,
     table: str | None = None,
     path: str | None = None,
-    fmt: str = "parquet",
+    fmt: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One entry point for "load the result of a query / a table / some files".
 
-    ``query`` runs through Spark SQL over registered tables; ``fmt`` may name
-    any data source whose connector is on the classpath.
+    ``query`` runs through Spark SQL over registered tables, or, with ``fmt``, in the
+    source which that connector reaches. ``fmt`` may name any data source whose
+    connector is on the classpath; files are Parquet unless it says otherwise.
     """
     if query is not None:
-        return spark.sql(query)
+        return spark.sql(query) if fmt is None else spark.read.format(fmt).options(**(options or {})).option("query", query).load()
     if table is not None:
         return spark.table(table)
     if path is None:
         raise ValueError("give query, table or path")
-    return spark.read.format(fmt).options(**(options or {})).load(path)
+    return spark.read.format(fmt or "parquet").options(**(options or {})).load(path)
 
 
 def read_years(spark: SparkSession, path: str, first: int, last: int, year_column: str = "year", fmt: str = "parquet") -> DataFrame:
