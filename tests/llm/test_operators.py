@@ -20,7 +20,7 @@ from tripflow.llm.quality import SCORE, fit_quality, train_network
 from tripflow.llm.queries import vocabulary
 from tripflow.llm.secrets import BASE_RULES, scan_secrets, trigram_query
 from tripflow.llm.sharding import JUMP_MULTIPLIER, jump_shard, shard_documents
-from tripflow.llm.shared import shared_path
+from tripflow.llm.shared import Tables, shared_path
 from tripflow.llm.token_files import read_token_files, write_token_files
 from tripflow.llm.tokenizing import WordMemoEncoder
 from tripflow.llm.topk_search import integer_components, search_block, top_k
@@ -162,7 +162,7 @@ def test_drop_near_copies_keeps_one_of_each_group(odd, odd_rows):
 
 def test_connected_follows_chains(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 99)]
-    got = {tuple(r) for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {tuple(r) for r in connected(spark.createDataFrame(edges, "a long, b long"), Tables(spark)).collect()}
     assert got == {(i, 0) for i in range(41)} | {(i, 99) for i in (99, 100, 101)}
 
 

@@ -2,17 +2,23 @@
 
 Texts become sets of word shingles. For a threshold t, two sets of similarity t or
 more share a token among the first ``n - ceil(t * n) + 1`` of each, under any order
-of all tokens. Here every order puts frequent shingles last and permutes the rest in
-its own way. A pair is verified only if it shares a prefix token under all of them.
+of all tokens. Here every order puts shingles of common words and frequent shingles
+last, and permutes equally common ones in its own way. A pair is verified only if it shares a prefix token under all of them.
 
-Equal sets become one node first. Tokens in few prefixes give their pairs as rows.
-A token in many prefixes gives a star: its first node against the others. Those that
-the star links need no further pairs among themselves; the others meet all of the
-token's nodes in blocks, inside tasks, which write a spanning forest of the links.
+Equal sets become one node first. The nodes that have a token in their prefix are
+parted by size into ranges of which similar sets share one. A small group gives its
+pairs as rows. A large group gives a star: its first node against the others. Those
+that the star links need no further pairs among themselves; the others meet all of
+the group's nodes in blocks, inside tasks, which write a spanning forest of the links.
+
+Pairs first compare counts of their tokens by class: the counts differ by no more in
+total than the sets do, so a larger difference rules a link out before any set moves.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,15 +27,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.shared import written
-from tripflow.llm.shingles import shingle_sets
+from tripflow.llm.shared import Tables
+from tripflow.llm.shingles import CLASS_BITS, HASH_BITS, Counts, magnitudes, shingle_sets, word_hashes
 from tripflow.llm.tokenizing import runs
 from tripflow.llm.words import mix
 
 ORDERS = (21, 22, 23)  # seeds of the token orders
-FEW = 32  # a token in more prefixes than this goes the way of stars and blocks
-BLOCK = 256  # nodes of a token that meet in one task, on either side
-_FREQUENT_LOCALLY, _FREQUENT_KEPT = 4, 50_000
+FEW = 32  # a group of more nodes than this goes the way of stars and blocks
+BLOCK = 256  # nodes of a large group that meet in one task, on either side
+CLASSES = 64  # token classes whose counts a set carries
+_FREQUENT_LOCALLY, _FREQUENT_KEPT = 4, 100_000
 
 
 @dataclass(frozen=True)
@@ -45,89 +52,116 @@ class Similarity:
     def sizes(self, a: Column, b: Column) -> Column:
         return (F.lit(100) * F.least(a, b)) >= (F.lit(self.percent) * F.greatest(a, b))
 
+    def apart(self, a: Column, b: Column, both: Column) -> Column:
+        """Whether class counts ``a`` and ``b`` of sets with ``both`` tokens in all differ too much for a link."""
+        difference = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda t, d: t + d)
+        return difference * (100 + self.percent) > both * (100 - self.percent)
+
+    def ranges(self, n: Column) -> Column:
+        """Two numbers of size ranges; sets whose sizes permit a link have one in common."""
+        step = -math.log(self.percent / 100) * (1 + 1e-9)  # a little wide: rounding must not part sizes
+        low = F.floor(F.log(n.cast("double")) / F.lit(step)).cast("int")
+        return F.array(low, low + 1)
+
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, pa.StringArray]]:
     for a, b in runs(batch.column(column)):
         yield a, b, batch.column(column).slice(a, b - a)
 
 
-def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, ascending, and the magnitude of their counts over all documents.
+@dataclass(frozen=True)
+class Common:
+    """What the token orders rest on: the most frequent words and the most frequent shingles."""
+
+    words: Counts
+    shingles: Counts
+
 
-    They only shape the token orders, which are right with any table: a shingle that
-    is missing here ranks as rare. That makes the bound on the table harmless.
+def common_parts(docs: DataFrame, words: int, tables: Tables) -> Common:
+    """The most frequent words and shingles with the magnitude of their counts over all documents.
+
+    Shingles of common words, and passages that many documents share, come last in
+    all orders, so that few prefixes hold them. The orders are right with any tables,
+    as long as all documents use the same: a word or shingle that is missing here
+    ranks as rare. That makes the bound on the tables harmless.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-        found: dict[int, int] = {}
+        held: tuple[list, list] = ([], [])
+        found: tuple[dict, dict] = ({}, {})
 
         def merge() -> None:
-            token, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= _FREQUENT_LOCALLY
-            for t, c in zip(token[often].view(np.int64).tolist(), n[often].tolist()):
-                found[t] = found.get(t, 0) + c
-            if len(found) > 4 * _FREQUENT_KEPT:
-                for t in sorted(found, key=found.get)[: -2 * _FREQUENT_KEPT]:
-                    del found[t]
+            for parts, counts in zip(held, found):
+                if not parts:
+                    continue
+                token, n = np.unique(np.concatenate(parts), return_counts=True)
+                often = n >= _FREQUENT_LOCALLY
+                for t, c in zip(token[often].view(np.int64).tolist(), n[often].tolist()):
+                    counts[t] = counts.get(t, 0) + c
+                if len(counts) > 4 * _FREQUENT_KEPT:
+                    for t in sorted(counts, key=counts.get)[: -2 * _FREQUENT_KEPT]:
+                        del counts[t]
+                parts.clear()
 
+        size = 0
         for batch in batches:
             for _, _, texts in _texts(batch, 0):
-                held.append(shingle_sets(texts, words)[0])
-                size += len(held[-1])
+                held[0].append(word_hashes(texts)[0])
+                held[1].append(shingle_sets(texts, words)[0] & HASH_BITS)
+                size += len(held[0][-1])
                 if size > 3_000_000:
                     merge()
-                    held, size = [], 0
-        if size:
-            merge()
-        top = sorted(found.items(), key=lambda x: (-x[1], x[0]))[:_FREQUENT_KEPT]
-        yield pa.RecordBatch.from_pydict({"token": pa.array([t for t, _ in top], pa.int64()), "n": pa.array([c for _, c in top], pa.int64())})
-
-    rows = (
-        docs.select("text")
-        .mapInArrow(count, "token long, n long")
-        .groupBy("token")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "token")
-        .limit(_FREQUENT_KEPT)
-        .collect()
-    )
-    token = np.array([r["token"] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(token)
-    magnitude = np.array([min(63, int(r["n"]).bit_length()) for r in rows], np.uint64)
-    return token[order], magnitude[order]
+                    size = 0
+        merge()
+        for kind, counts in enumerate(found):
+            top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:_FREQUENT_KEPT]
+            for at in range(0, len(top), 10_000):
+                t, c = zip(*top[at : at + 10_000])
+                yield pa.RecordBatch.from_pydict(
+                    {"kind": pa.array([kind] * len(t), pa.int32()), "token": pa.array(t, pa.int64()), "n": pa.array(c, pa.int64())}
+                )
 
+    counts = docs.select("text").mapInArrow(count, "kind int, token long, n long").groupBy("kind", "token").agg(F.sum("n").alias("n"))
+    counts = tables.write(counts, "counts")
 
-def _rank(h: np.ndarray, seed: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """A token's place in the order of this seed: rare ones first."""
-    tokens, magnitude = frequent
-    rank = mix(h, seed) >> np.uint64(6)
-    if len(tokens):
-        at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
-        rank |= np.where(tokens[at] == h, magnitude[at], 0).astype(np.uint64) << np.uint64(58)
-    return rank
+    def top(kind: int) -> Counts:
+        rows = counts.filter(F.col("kind") == kind).orderBy(F.desc("n"), "token").limit(_FREQUENT_KEPT).select("token", "n").toArrow()
+        token = rows.column("token").to_numpy().view(np.uint64)
+        order = np.argsort(token)
+        magnitude = np.minimum(np.log2(np.maximum(rows.column("n").to_numpy(), 1)).astype(np.uint64) + np.uint64(1), np.uint64(31))
+        return token[order], magnitude[order]
+
+    common = Common(top(0), top(1))
+    tables.drop("counts")
+    return common
+
+
+def _rank(h: np.ndarray, seed: int, common: Common) -> np.ndarray:
+    """A token's place in the order of this seed: first shingles of rare words, last frequent shingles."""
+    often = magnitudes(h & HASH_BITS, common.shingles)
+    level = np.where(often > 0, often + np.uint64(32), h >> np.uint64(64 - CLASS_BITS))
+    return (mix(h, seed) >> np.uint64(6)) | (level << np.uint64(58))
 
 
 def _list(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
 
 
-def _sets(docs: DataFrame, how: Similarity, frequent) -> DataFrame:
-    """doc_id, n, key (a digest of the set) and the set's prefix under each order; later
-    orders keep half of a token's rank, as they only filter."""
+def _sets(docs: DataFrame, how: Similarity, common: Common) -> DataFrame:
+    """doc_id, n, key (a digest of the set), its counts by token class, and its prefix under
+    each order; later orders keep half of a token's rank, as they only filter."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in _texts(batch, 1):
-                h, ends = shingle_sets(texts, how.words)
+                h, ends = shingle_sets(texts, how.words, common.words)
                 n = np.diff(ends)
                 owner = np.repeat(np.arange(len(n)), n)
                 take = np.where(n > 0, how.prefix(n), 0)
                 prefix_ends = np.concatenate(([0], np.cumsum(take)))
                 columns = []
                 for k, seed in enumerate(ORDERS):
-                    rank = _rank(h, seed, frequent)
+                    rank = _rank(h, seed, common)
                     order = np.lexsort((rank, owner))
                     first = np.arange(len(h)) - ends[:-1][owner] < take[owner]
                     chosen = rank[order][first]
@@ -137,34 +171,39 @@ def _sets(docs: DataFrame, how: Similarity, frequent) -> DataFrame:
                         columns.append(_list(chosen.view(np.int64), prefix_ends, pa.int64()))
                 sums = [np.concatenate(([np.uint64(0)], np.cumsum(mix(h, s)))) for s in (31, 32)]
                 digest = np.stack([(s[ends[1:]] - s[ends[:-1]]) for s in sums], axis=1).astype("<u8")
+                classes = owner * CLASSES + (mix(h, 41) % np.uint64(CLASSES)).astype(np.int64)
+                counts = np.minimum(np.bincount(classes, minlength=len(n) * CLASSES), 32_767)
+                columns.insert(0, _list(counts, np.arange(len(n) + 1) * CLASSES, pa.int16()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array([d.tobytes() for d in digest], pa.binary()), *columns],
-                    names=["doc_id", "n", "key", "prefix", "second", "third"],
+                    names=["doc_id", "n", "key", "counts", "prefix", "second", "third"],
                 )
 
-    schema = "doc_id long, n long, key binary, prefix array<long>, second array<int>, third array<int>"
+    schema = "doc_id long, n long, key binary, counts array<smallint>, prefix array<long>, second array<int>, third array<int>"
     return docs.mapInArrow(build, schema)
 
 
-def _tokens(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """ref, n and tokens (ascending 64-bit hashes) of the wanted nodes, from the text of one document of each."""
+def _tokens(docs: DataFrame, wanted: DataFrame, how: Similarity, common: Common) -> DataFrame:
+    """ref and tokens (ascending 64-bit hashes) of the wanted nodes, from the text of one document of
+    each. Where an id repeats, ``mark`` tells the node's text from others; rows that repeat give the
+    node more than once, which adds no link."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in _texts(batch, 1):
-                h, ends = shingle_sets(texts, words)
+                h, ends = shingle_sets(texts, how.words, common.words)
                 sums = [np.concatenate(([np.uint64(0)], np.cumsum(mix(h, s)))) for s in (31, 32)]
                 digest = np.stack([(s[ends[1:]] - s[ends[:-1]]) for s in sums], axis=1).astype("<u8")
-                keys, refs = batch.column(2).slice(a, b - a).to_pylist(), batch.column(0).slice(a, b - a).to_pylist()
-                rows = [
-                    (ref, h[s:e].tobytes()) for ref, key, d, s, e in zip(refs, keys, digest, ends[:-1], ends[1:]) if d.tobytes() == key
-                ]
+                marks, refs = batch.column(2).slice(a, b - a).to_pylist(), batch.column(0).slice(a, b - a).to_pylist()
+                own = digest[:, 0].astype(">u8").view(np.int64)
+                rows = [(ref, h[s:e].tobytes()) for ref, mark, k, s, e in zip(refs, marks, own, ends[:-1], ends[1:]) if k == mark]
                 for at in range(0, len(rows), 256):
                     r, t = zip(*rows[at : at + 256])
                     yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(t, pa.binary())], names=["ref", "tokens"])
 
-    rows = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("ref", "text", "key")
-    return rows.mapInArrow(build, "ref long, tokens binary").dropDuplicates(["ref"])
+    # dealt out by id at every size; to broadcast the ids would have no bound
+    rows = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"] == wanted["rep"]).select("ref", "text", "mark")
+    return rows.mapInArrow(build, "ref long, tokens binary")
 
 
 def _linked(a: bytes, b: bytes, percent: int) -> bool:
@@ -213,7 +252,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _block_links(table: pa.Table, how: Similarity, frequent) -> pa.Table:
+def _block_links(table: pa.Table, how: Similarity, common: Common) -> pa.Table:
     """A spanning forest of the links between the two sides of a block, or inside one side."""
     refs = table.column("ref").to_numpy()
     sets = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
@@ -221,11 +260,15 @@ def _block_links(table: pa.Table, how: Similarity, frequent) -> pa.Table:
     left = np.flatnonzero(side == side.min())
     right = np.flatnonzero(side == side.max())
     n = np.array([len(s) for s in sets])
-    ok = np.ones((len(left), len(right)), bool)
+    ok = 100 * np.minimum.outer(n[left], n[right]) >= how.percent * np.maximum.outer(n[left], n[right])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    begin = np.concatenate(([0], np.cumsum(n)))
+    take = how.prefix(n)
     for seed in ORDERS[1:]:
-        heads = [np.sort(np.partition(r, p - 1)[:p]) for r, p in ((_rank(s, seed, frequent), int(how.prefix(len(s)))) for s in sets)]
+        rank = _rank(flat, seed, common)
+        order = np.lexsort((rank, owner))
+        heads = [rank[order[s : s + p]] for s, p in zip(begin, take)]
         ok &= _overlaps([heads[i] for i in left], [heads[i] for i in right]) > 0
-    ok &= 100 * np.minimum.outer(n[left], n[right]) >= how.percent * np.maximum.outer(n[left], n[right])
     both = _overlaps([sets[i] for i in left], [sets[i] for i in right])
     ok &= 100 * both >= how.percent * (n[left][:, None] + n[right][None, :] - both)
     root = {int(r): int(r) for r in refs}
@@ -243,18 +286,21 @@ def _block_links(table: pa.Table, how: Similarity, frequent) -> pa.Table:
         if ra != rb:
             root[max(ra, rb)] = min(ra, rb)
             links.append((min(a, b), max(a, b)))
+            if len(links) == len(root) - 1:  # all are connected
+                break
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, tables: Tables) -> DataFrame:
     """ref and the smallest ref it is connected with, for every end of an edge.
 
     Alternates the large and the small star: neighbours above a node, then those not
     above it, are joined to the smallest one. Each round is a written table.
     """
-    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "edges")
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct()
+    edges = tables.write(edges, "edges-0")
     before = None
-    while True:
+    for turn in itertools.count(1):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a > b").distinct()
@@ -266,7 +312,8 @@ def connected(edges: DataFrame) -> DataFrame:
             .filter("a > b")
             .distinct()
         )
-        edges = written(small, "edges")
+        edges = tables.write(small, f"edges-{turn}")
+        tables.drop(f"edges-{turn - 1}")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == before:
             break
@@ -282,30 +329,50 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity(), *, id_co
     A null text counts as empty; empty texts link with nothing. Rows that repeat and
     equal texts are one node and share a component. Null ids link with nothing and
     have a null component. Other columns are not read; an empty table gives no rows.
-    Intermediate tables lie in the shared folder.
+    Intermediate tables lie in the shared folder; those that the result reads stay
+    there until the session ends.
     """
+    return _components(docs, how, id_col, text_col, Tables(docs.sparkSession))
+
+
+def _components(docs: DataFrame, how: Similarity, id_col: str, text_col: str, tables: Tables) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    frequent = frequent_shingles(docs, how.words)
-    sets = written(_sets(docs, how, frequent), "sets")
+    common = common_parts(docs, how.words, tables)
+    sets = tables.write(_sets(docs, how, common), "sets")
 
-    nodes = written(
+    nodes = tables.write(
         sets.filter("n > 0 AND doc_id IS NOT NULL")
         .groupBy("key")
-        .agg(F.min("doc_id").alias("rep"), F.first(F.struct("n", "prefix", "second", "third")).alias("set"))
+        .agg(F.min("doc_id").alias("rep"), F.first(F.struct("n", "counts", "prefix", "second", "third")).alias("set"))
         .select(F.monotonically_increasing_id().alias("ref"), "key", "rep", "set.*"),
         "nodes",
     )
-    postings = nodes.select("ref", "n", F.explode("prefix").alias("token"))
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("ref", "n")).alias("pivot")).filter("c > 1")
-    postings = written(postings.join(shared, "token"), "postings")
+    postings = nodes.select("ref", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
+    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token")
+    postings = postings.join(shared, "token").withColumn("size", F.explode(how.ranges(F.col("n"))))
+    postings = tables.write(postings, "postings")
+    groups = postings.groupBy("token", "size").agg(
+        F.count(F.lit(1)).alias("c"), F.min("ref").alias("hub"), F.min_by("n", "ref").alias("hub_n")
+    )
+    postings = tables.write(postings.join(groups.filter("c > 1"), ["token", "size"]), "groups")
+    tables.drop("postings")
 
-    few = postings.filter(F.col("c") <= FEW).select("token", "ref", "n")
-    other = few.toDF("token", "ref_b", "n_b")
-    pairs = few.join(other, (few["token"] == other["token"]) & (few["ref"] < other["ref_b"]) & how.sizes(few["n"], other["n_b"]))
+    few = postings.filter(F.col("c") <= FEW).select("token", "size", "ref", "n")
+    other = few.toDF("token", "size", "ref_b", "n_b")
+    same = (few["token"] == other["token"]) & (few["size"] == other["size"])
+    pairs = few.join(other, same & (few["ref"] < other["ref_b"]) & how.sizes(few["n"], other["n_b"]))
     pairs = pairs.select(few["ref"].alias("a"), F.col("ref_b").alias("b"))
-    many = postings.filter(F.col("c") > FEW).select("token", "ref", "n", "c", F.col("pivot.ref").alias("hub"), F.col("pivot.n").alias("hub_n"))
+    many = postings.filter(F.col("c") > FEW).select("token", "size", "ref", "n", "hub", "hub_n")
     star = many.filter((F.col("ref") != F.col("hub")) & how.sizes(F.col("n"), F.col("hub_n"))).select(F.col("hub").alias("a"), F.col("ref").alias("b"))
     pairs = pairs.unionByName(star).distinct()
+    counts = nodes.select("ref", F.col("n").cast("int").alias("n"), "counts")
+    pairs = (
+        pairs.join(counts.toDF("a", "n_a", "counts_a"), "a")
+        .join(counts.toDF("b", "n_b", "counts_b"), "b")
+        .filter(~how.apart(F.col("counts_a"), F.col("counts_b"), F.col("n_a") + F.col("n_b")))
+        .select("a", "b")
+    )
+    pairs = tables.write(pairs, "near-pairs")
     heads = nodes.select("ref", "second", "third")
     pairs = (
         pairs.join(heads.toDF("a", "second_a", "third_a"), "a")
@@ -313,33 +380,40 @@ def jaccard_components(docs: DataFrame, how: Similarity = Similarity(), *, id_co
         .filter(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
         .select("a", "b")
     )
-    pairs = written(pairs, "pairs")
+    pairs = tables.write(pairs, "pairs")
+    tables.drop("near-pairs")
 
     wanted = (
         pairs.select(F.col("a").alias("ref")).unionByName(pairs.select(F.col("b").alias("ref"))).unionByName(many.select("ref")).distinct()
     )
-    wanted = written(nodes.select("ref", "key", "rep").join(wanted, "ref"), "wanted")
-    tokens = written(_tokens(docs, wanted, how.words), "tokens")
-    links = written(_verified(pairs, tokens, how.percent), "links")
-
-    # of a frequent token: those its hub is linked to, and the others, which still have to meet everyone
+    # eight bytes of the digest as a long
+    high, low = (F.conv(F.hex(F.substring("key", at, 4)), 16, 10).cast("long") for at in (1, 5))
+    mark = F.shiftleft(high, 32).bitwiseOR(low).alias("mark")
+    wanted = tables.write(nodes.select("ref", "rep", mark).join(wanted, "ref"), "wanted")
+    tokens = tables.write(_tokens(docs, wanted, how, common), "tokens")
+    links = tables.write(_verified(pairs, tokens, how.percent), "links")
+    tables.drop("pairs", "wanted")
+
+    # of a large group: those its hub is linked to, and the others, which still have to meet everyone
     tied = links.select(F.col("a").alias("hub"), F.col("b").alias("ref"), F.lit(True).alias("tied"))
     many = many.join(tied, ["hub", "ref"], "left").withColumn("tied", F.coalesce("tied", F.col("hub") == F.col("ref")))
-    loose = many.groupBy("token").agg(F.count_if(~F.col("tied")).alias("loose"), F.count(F.lit(1)).alias("all"))
-    many = many.join(loose.filter("loose > 0"), "token")
+    group = ["token", "size"]
+    loose = many.groupBy(*group).agg(F.count_if(~F.col("tied")).alias("loose"), F.count(F.lit(1)).alias("all"))
+    many = many.join(loose.filter("loose > 0"), group)
     loose_blocks = F.ceil(F.col("loose") / BLOCK).cast("int")
     tied_blocks = F.ceil((F.col("all") - F.col("loose")) / BLOCK).cast("int")
     own = F.when(F.col("tied"), loose_blocks + F.pmod(F.xxhash64("ref"), tied_blocks)).otherwise(F.pmod(F.xxhash64("ref"), loose_blocks)).cast("int")
     # loose blocks come first; a tied block meets loose ones only
     partners = F.when(F.col("tied"), F.sequence(F.lit(0), loose_blocks - 1)).otherwise(F.sequence(F.lit(0), loose_blocks + tied_blocks - 1))
-    met = many.select("token", "ref", own.alias("side"), partners.alias("partners")).select("token", "ref", "side", F.explode("partners").alias("partner"))
-    met = met.select("token", F.least("side", "partner").alias("one"), F.greatest("side", "partner").alias("two"), "side", "ref")
+    met = many.select(*group, "ref", own.alias("side"), F.explode(partners).alias("partner"))
+    met = met.select(*group, F.least("side", "partner").alias("one"), F.greatest("side", "partner").alias("two"), "side", "ref")
 
     def block(table: pa.Table) -> pa.Table:
-        return _block_links(table, how, frequent)
+        return _block_links(table, how, common)
 
-    more = met.join(tokens, "ref").groupBy("token", "one", "two").applyInArrow(block, "a long, b long")
-    roots = connected(links.unionByName(more))
+    more = met.join(tokens, "ref").groupBy(*group, "one", "two").applyInArrow(block, "a long, b long")
+    roots = connected(links.unionByName(more), tables)
+    tables.drop("groups", "tokens", "links")
     lowest = roots.join(nodes.select("ref", "rep"), "ref")
     lowest = lowest.join(lowest.groupBy("root").agg(F.min("rep").alias("low")), "root").select("ref", "low")
     named = nodes.select("ref", "key", "rep").join(lowest, "ref", "left").select("key", F.coalesce("low", "rep").alias("component"))
@@ -354,11 +428,14 @@ def drop_near_copies(docs: DataFrame, how: Similarity = Similarity(), *, id_col:
 
     Rows of one id stay or go together; null ids stay.
     """
+    tables = Tables(docs.sparkSession)
     gone = (
-        jaccard_components(docs, how, id_col=id_col, text_col=text_col)
+        _components(docs, how, id_col, text_col, tables)
         .filter("component_id < doc_id")
         .select(F.col("doc_id").alias("__gone"))
         .distinct()
     )
-    gone = written(gone, "gone")
+    inner = list(tables.paths)
+    gone = tables.write(gone, "gone")
+    tables.drop(*inner)
     return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti").select(*docs.columns)

@@ -23,3 +23,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Tables:
+    """The written tables of one run of an operator. Those that no later step reads are dropped at once."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.paths[name] = shared_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        for name in names or list(self.paths):
+            where = hadoop.Path(self.paths.pop(name))
+            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
