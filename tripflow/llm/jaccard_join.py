@@ -2,8 +2,8 @@
 
 Texts become sets of word shingles. For a threshold t, two sets of similarity t or
 more share a token among the first ``n - ceil(t * n) + 1`` of each, under any order
-of all tokens. Here every order puts shingles of common words and frequent shingles
-last, and permutes equally common ones in its own way. A pair is verified only if it shares a prefix token under all of them.
+of all tokens. Here every order puts frequent shingles last, the first one before them
+shingles of common words, and each permutes the rest in its own way. A pair is verified only if it shares a prefix token under all of them.
 
 Equal sets become one node first. The nodes that have a token in their prefix are
 parted by size into ranges of which similar sets share one. A small group gives its
@@ -137,9 +137,12 @@ def common_parts(docs: DataFrame, words: int, tables: Tables) -> Common:
 
 
 def _rank(h: np.ndarray, seed: int, common: Common) -> np.ndarray:
-    """A token's place in the order of this seed: first shingles of rare words, last frequent shingles."""
+    """A token's place in the order of this seed: last frequent shingles, and in the first order first
+    shingles of rare words. The other orders permute all that are not frequent: a passage of rare
+    words that two texts share would otherwise lead in every order."""
     often = magnitudes(h & HASH_BITS, common.shingles)
-    level = np.where(often > 0, often + np.uint64(32), h >> np.uint64(64 - CLASS_BITS))
+    rare = h >> np.uint64(64 - CLASS_BITS) if seed == ORDERS[0] else np.uint64(0)
+    level = np.where(often > 0, often + np.uint64(32), rare)
     return (mix(h, seed) >> np.uint64(6)) | (level << np.uint64(58))
 
 
