@@ -1,0 +1,248 @@
+"""Spelling variants, decontamination and tokenizer alignment against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tripflow.llm.alignment import Aligner, align_tokenizers
+from tripflow.llm.decontaminate import find_contamination, without_spans
+from tripflow.llm.fm_index import FMIndex
+from tripflow.llm.frequency_trie import Trie, near_pairs, one_edit
+from tripflow.llm.queries import vocabulary
+from tripflow.llm.spelling import spelling_variants
+
+# --- FM-index and trie
+
+
+def test_fm_index_finds_every_occurrence():
+    rng = np.random.default_rng(1)
+    for _ in range(150):
+        text = rng.integers(0, 4, rng.integers(1, 60))
+        text[-1] = 0
+        index = FMIndex(text, 4)
+        lengths = rng.integers(1, 4, 20)
+        phrases = np.zeros((20, 3), int)
+        for line, n in zip(phrases, lengths):
+            line[3 - n :] = rng.integers(1, 4, n)
+        low, high = index.search(phrases, lengths)
+        for line, n, a, b in zip(phrases, lengths, low, high):
+            own = [k for k in range(len(text) - n + 1) if (text[k : k + n] == line[3 - n :]).all()]
+            assert sorted(index.locate(np.arange(a, b)).tolist()) == own
+
+
+def test_fm_index_of_long_repeats():
+    text = np.tile([1, 2], 5000)
+    text[-1] = 0
+    low, high = FMIndex(text, 3).search(np.array([[1, 2, 1], [2, 1, 2]]), np.array([3, 3]))
+    assert (high - low).tolist() == [4999, 4998]
+
+
+def _one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = max(a, b, key=len), min(a, b, key=len)
+    return len(a) - len(b) == 1 and any(a[:k] + a[k + 1 :] == b for k in range(len(a)))
+
+
+def test_trie_pairs_equal_brute_force():
+    rng = random.Random(1)
+    for n in range(40):
+        sizes = [1, 2, 3, 4, 5, 39, 40, 41, 42] if n % 2 else [1, 2, 3, 4]
+        words = list({bytes(rng.choices(b"abc\xe9", k=rng.choice(sizes))) for _ in range(60)})
+        words = list(dict.fromkeys([*words, *(w[:-1] + b"z" for w in words[:10]), *(w + b"q" for w in words[:10])]))
+        levels = np.array(rng.sample(range(32), 32))
+        x, y = Trie(words[:50], levels), Trie(words[20:], levels)
+        got = Counter((x.words[i], y.words[j]) for many in near_pairs(x, y) for i, j in zip(*many))
+        assert got == Counter((a, b) for a in words[:50] for b in words[20:] if _one_edit(a, b))
+        assert all(one_edit(a, b) == _one_edit(a, b) for a in words for b in words)
+
+
+# --- spelling variants
+
+
+def _spellings(rows, slip, least, ratio=10):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if slip and h % slip == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= least:
+                counts[run] += 1
+    words = {w: n for w, n in counts.items() if n >= 2}
+    near = {w: [o for o in words if o != w and abs(len(o) - len(w)) < 2 and _one_edit(o, w)] for w in words}
+    form = {w: min(o, key=lambda x: (-words[x], x)) for w, o in near.items() if o}
+    form = {w: f for w, f in form.items() if words[f] >= ratio * words[w]}
+    out = set()
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.add((w, form.get(w), root, n, len(near[w]), words.get(form.get(w))))
+    return out
+
+
+def _misspelled(rng):
+    """Words with variants at one and two edits, in frequencies that make chains of forms."""
+    rows = []
+    for stem in ("lantern", "marmalade", "Überfluß", "ÀÉÎõüñç", "anagrams", "managars"):
+        for times, text in ((400, stem), (30, stem[:-1]), (30, stem + "s"), (2, stem[:-2] + "x"), (3, stem[:-2]), (2, "q" + stem[1:])):
+            rows += [text] * times
+    rng.shuffle(rows)
+    return [(n % 40 if n % 7 else None, " ".join(rows[n * 9 : n * 9 + 9])) for n in range(len(rows) // 9 + 1)]
+
+
+@pytest.mark.parametrize("node_words,slip", [(16_384, None), (16_384, 31), (3, 5)])
+def test_spelling_variants_equal_brute_force(spark, odd_rows, node_words, slip):
+    rows = [*_misspelled(random.Random(2)), *((r[0], r[1]) for r in odd_rows[:12])]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, word string, n int").repartition(3)
+    got = spelling_variants(docs, min_letters=5, slip_every=slip, node_words=node_words).collect()
+    own = _spellings(rows, slip, 5)
+    assert len(got) == len(own) and {tuple(r) for r in got} == own
+    assert slip or max(len({r.word, r.form, r.root}) for r in got) == 3  # a chain
+
+
+def test_more_words_of_one_path_than_a_node_holds(spark):
+    rng = random.Random(5)
+    words = {"".join(rng.sample("abcdefgh", 8)) for _ in range(150)}  # anagrams
+    words |= {w.replace(rng.choice(w), "i") for w in words}
+    docs = spark.createDataFrame([(1, " ".join(sorted(words) * 2))], "doc_id long, text string")
+    got = spelling_variants(docs, node_words=20).collect()
+    assert {tuple(r) for r in got} == _spellings([(1, " ".join(sorted(words) * 2))], None, 7)
+
+
+def test_spelling_variants_of_odd_rows(spark, odd, odd_rows, empty):
+    got = {tuple(r) for r in spelling_variants(odd, min_letters=3).collect()}
+    assert got == _spellings([(r[0], r[1]) for r in odd_rows], None, 3)
+    assert spelling_variants(empty).count() == 0
+    assert spelling_variants(odd.withColumn("text", F.lit(None).cast("string"))).count() == 0
+
+
+# --- decontamination
+
+
+def _contamination(docs, items, window):
+    cut = lambda t: re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").encode().lower())
+    held = defaultdict(set)
+    for item, text in items:
+        words = cut(text)
+        for n in range(max(1, len(words) - window + 1) if words else 0):
+            held[tuple(words[n : n + window])].add("" if item is None else str(item))
+    out = []
+    for doc_id, text in docs:
+        words, hit, found = cut(text), set(), set()
+        for size in range(1, window + 1):
+            for n in range(len(words) - size + 1):
+                if tuple(words[n : n + size]) in held:
+                    hit |= set(range(n, n + size))
+                    found |= held[tuple(words[n : n + size])]
+        out.append((doc_id, len(words), len(hit), tuple(sorted(found))))
+    return Counter(out)
+
+
+@pytest.fixture(scope="module")
+def benchmark_rows():
+    rng = random.Random(8)
+    text = lambda n: " ".join(rng.choices(["red", "Blue", "grün", "4", "five"], k=n))
+    rows = [(i, text(rng.randint(10, 25))) for i in range(12)]
+    return [*rows, (3, rows[4][1]), (50, rows[0][1]), (60, "un, DEUX  trois!"), (61, "seul"), (62, ""), (63, None), (None, "sans nom du tout"), (64, "-- !")]
+
+
+@pytest.fixture(scope="module")
+def leaky_rows(benchmark_rows):
+    rng = random.Random(9)
+    rows = [(None, None), (1, ""), (2, "..."), (3, "seul"), (4, "seulement"), (5, "UN deux — trois seul?"), (6, "sans nom du tout")]
+    for n in range(60):
+        text = " ".join(rng.choices(["red", "blue", "grün", "4", "five", "x"], k=rng.randint(0, 60)))
+        item = benchmark_rows[rng.randrange(12)][1]
+        rows.append((100 + n, text if n % 3 else f"été {text[:40]}, {item.upper() if n % 2 else item}; {text}"))
+    return [*rows, *rows[-8:], (7, (benchmark_rows[1][1] + " ") * 3000), (8, "w" * 100_000)]
+
+
+@pytest.mark.parametrize("passages_a_pass", [200_000, 40])
+def test_contamination_equals_brute_force(spark, benchmark_rows, leaky_rows, passages_a_pass):
+    docs = spark.createDataFrame([(i, t, 5, "?") for i, t in leaky_rows], "doc_id long, text string, n_words int, items string").repartition(3)
+    items = spark.createDataFrame([(i, t, "?") for i, t in benchmark_rows], "item_id long, text string, passage string")
+    got = find_contamination(docs, items, window=10, passages_a_pass=passages_a_pass).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got) == _contamination(leaky_rows, benchmark_rows, 10)
+    texts = defaultdict(set)
+    for i, t in leaky_rows:
+        texts[i].add(t)
+    for r in got:
+        words = sum(len(re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", next(iter(texts[r.doc_id]))[s.start : s.end])) for s in r.spans)
+        assert words == r.n_hit
+        assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
+
+
+def test_spans_are_cut_out(spark):
+    docs = spark.createDataFrame([(1, "Hello ün, DEUX trois! seul b"), (2, "none")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "ün deux"), (2, "seul")], "item_id long, text string")
+    found = find_contamination(docs, items).join(docs, "doc_id").withColumn("clean", without_spans("text"))
+    assert {r.doc_id: r.clean for r in found.collect()} == {1: "Hello  trois!  b", 2: "none"}
+
+
+def test_contamination_of_empty_tables(spark, odd, empty, benchmark_rows):
+    items = spark.createDataFrame(benchmark_rows, "item_id long, text string")
+    assert find_contamination(empty, items).count() == 0
+    clean = find_contamination(odd, items.limit(0))
+    assert clean.count() == odd.count() and clean.where("n_hit > 0").isEmpty()
+
+
+# --- tokenizer alignment
+
+
+def _alignment(rows):
+    """Every link of every document, one by one."""
+    one = Aligner(vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    groups = [one.groups(text) if text else None for _, text in rows]
+    links = [Counter((a, b) for g in some or () for a in g[0] for b in g[1]) for some in groups]
+    count = Counter(pair for some in links for pair in some)
+    most = defaultdict(int)
+    for (a, _), n in count.items():
+        most[a] = max(most[a], n)
+    out = []
+    for (doc_id, _), some, own in zip(rows, groups, links):
+        text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in some or ())
+        out.append(
+            (doc_id, sum(len(a) for a, _ in some or ()), sum(len(b) for _, b in some or ()), len(some or ()), sum(own.values()),
+             sum(n for p, n in own.items() if count[p] == most[p[0]]), sum(n * count[p] for p, n in own.items()),
+             hashlib.sha256(text.encode()).hexdigest() if some else "")
+        )
+    return Counter(out)
+
+
+ODD_TEXTS = [
+    "a  b", "a\nb", "x \ny", "a▁b", "\n\nabc def", "<|endoftext|> x", "é zÀ ÿ", "日本語 テキスト" * 30, " lead",
+    "trail ", "a\tb c", "don't we'll", "　 x", "\x00 a", "<0x41> <s>", " x y", "line one\nline two  \n", "\U0001f600\U0001f680 ok",
+]
+
+
+@pytest.mark.parametrize("how", [{}, {"run_bytes": 2000, "fan_in": 3}])
+def test_alignment_equals_brute_force(spark, odd_rows, how):
+    rows = [(r[0], r[1]) for r in odd_rows[:200]] + [(None, t) for t in ODD_TEXTS] + [(7, t) for t in ODD_TEXTS[:3]]
+    docs = spark.createDataFrame([(i, t, "?", 1) for i, t in rows], "doc_id long, text string, run string, radix int").repartition(3)
+    got = align_tokenizers(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), **how)
+    assert Counter(tuple(r) for r in got.collect()) == _alignment(rows)
+
+
+def test_alignment_of_documents_without_tokens(spark, empty):
+    paths = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    assert align_tokenizers(empty, *paths).count() == 0
+    docs = spark.createDataFrame([("a", None), ("a", ""), (None, "▁")], "doc_id string, text string")
+    assert [tuple(r)[1:] for r in align_tokenizers(docs, *paths).collect()] == [(0, 0, 0, 0, 0, 0, "")] * 3
+
+
+def test_groups_of_many_links():
+    one = Aligner(vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    text = "".join(random.Random(3).choices("一龥\U0001f600abé ", k=400)).replace(" ", "")
+    one.learn([text, "plain"])
+    links = Counter(a << 16 | b for g in one.groups(text) for a in g[0] for b in g[1])
+    assert dict(zip(one.pairs[: one.ends[1]], one.links[: one.ends[1]])) == dict(links)
+    assert one.texts[1] == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in one.groups("plain"))

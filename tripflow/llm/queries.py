@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.llm.alignment import align_tokenizers
+from tripflow.llm.decontaminate import find_contamination
 from tripflow.llm.exact_dedup import exact_groups
 from tripflow.llm.jaccard_join import Similarity, jaccard_components
 from tripflow.llm.mixing import EPOCH, Level, about_tokens, mix_documents
@@ -16,6 +18,7 @@ from tripflow.llm.quality import SCORE, fit_quality, held_out
 from tripflow.llm.secrets import BASE_RULES, scan_secrets
 from tripflow.llm.shared import shared_path
 from tripflow.llm.sharding import JUMP_MULTIPLIER, shard_documents
+from tripflow.llm.spelling import spelling_variants
 from tripflow.llm.token_files import read_token_files, write_token_files
 from tripflow.llm.topk_search import integer_components, top_k
 
@@ -253,3 +256,96 @@ placed AS (
 SELECT doc_id, lang, source, tokens, unnest(range(whole + (through <= rest)::INT))::BIGINT AS epoch
 FROM placed
 """
+
+
+SLIP_EVERY, FORM_RATIO = 31, 10
+
+
+def op11_trie_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spelling_variants(docs, ratio=FORM_RATIO, min_letters=7, min_count=2, slip_every=SLIP_EVERY)
+
+
+QUERIES["op11_trie_spellings"] = op11_trie_spellings
+ORACLE_SQL["op11_trie_spellings"] = """
+WITH RECURSIVE
+crc AS (  -- the table of the reflected polynomial, one entry per byte
+  SELECT v, list_reduce([v::BIGINT] || [0::BIGINT FOR i IN range(8)],
+                        lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS entry
+  FROM range(256) AS t(v)
+),
+entries AS (SELECT list(entry ORDER BY v) AS e FROM crc),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+),
+summed AS (
+  SELECT run, times,
+         xor(list_reduce([4294967295::BIGINT] || [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..')],
+                         lambda c, b: xor(c // 256, e[xor(c % 256, b) + 1])), 4294967295) AS h
+  FROM (SELECT doc_id, run, count(*) AS times FROM runs WHERE length(run) >= 7 GROUP BY ALL), entries
+),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(times)::BIGINT AS n
+  FROM summed GROUP BY 1 HAVING length(word) >= 7 AND sum(times) >= 2
+),
+cuts AS (SELECT word, n, k, left(word, k) || substr(word, k + 2) AS rest FROM words, unnest(range(length(word))) AS t(k)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word
+),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS other, max(other_n) AS other_n FROM near GROUP BY word
+),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, if(other_n >= 10 * n, other, NULL) AS form, if(other_n >= 10 * n, other_n, NULL) AS form_n
+  FROM words LEFT JOIN best USING (word)
+),
+chain AS (
+  SELECT word, word AS here FROM formed
+  UNION ALL SELECT chain.word, form FROM chain JOIN formed ON formed.word = here WHERE form IS NOT NULL
+)
+SELECT f.word, form, here AS root, n, n_near, form_n
+FROM formed f JOIN chain USING (word) WHERE here IN (SELECT word FROM formed WHERE form IS NULL)
+"""
+
+
+def op12_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES["op12_fm_decontamination"] = op12_fm_decontamination
+_WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLE_SQL["op12_fm_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS.format("text")} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS size, w[k:k + least(len(w), 10) - 1] AS win
+  FROM items, unnest(range(1, greatest(len(w) - 8, 2))) AS t(k) WHERE len(w) > 0
+),
+sizes AS (SELECT DISTINCT size FROM windows),
+placed AS (SELECT r, k, size, w[k:k + size - 1] AS win FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS t(k) WHERE len(w) >= size),
+found AS (SELECT r, k, size, item FROM placed JOIN windows USING (size, win)),
+hit AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS word FROM found) GROUP BY r),
+named AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+
+def op13_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+QUERIES["op13_spill_alignment"] = op13_spill_alignment

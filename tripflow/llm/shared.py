@@ -31,9 +31,9 @@ class Tables:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, {}
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         path = self.paths[name] = shared_path(self.spark, name)
-        df.write.parquet(path)
+        df.write.partitionBy(*(partition_by or [])).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
