@@ -341,13 +341,35 @@ WITH shown AS (
 )
 SELECT event_id, value_text, if(event_id % 5 < 3, user_id, NULL) AS whole FROM shown
 """,
+    # a month of 1997 that has reloaded rows holds nothing else
     "month_reload": with_views(TRIPS_V) + """,
-kept AS (
-  SELECT tripduration, starttime, if(year(starttime) = 1997, 'reloaded', usertype) AS usertype
-  FROM trips_v WHERE year(starttime) <> 1997 OR tripduration >= 1800 
-    OR strftime(starttime, '%Y_%m') NOT IN (SELECT strftime(starttime, '%Y_%m') FROM trips_v WHERE year(starttime) = 1997 AND tripduration >= 1800)
+tagged AS (SELECT *, strftime(starttime, '%Y_%m') AS year_month, year(starttime) = 1997 AND tripduration >= 1800 AS anew FROM trips_v),
+months AS (SELECT DISTINCT year_month FROM tagged WHERE anew)
+SELECT year_month, if(anew, 'reloaded', usertype) AS usertype, count(*) AS trips, sum(tripduration)::BIGINT AS seconds
+FROM tagged WHERE anew OR year_month NOT IN (FROM months) GROUP BY ALL
+""",
+    "weather_guarded_load": with_views(WEATHER_RAW_V, WEATHER_V) + "SELECT * FROM weather_v",
+    "flawed_trip_files": """
+SELECT (o_orderkey % 3600)::INT AS tripduration, o_orderdate::TIMESTAMP AS starttime, o_custkey::INT AS bikeid, o_orderpriority AS usertype,
+       if(o_orderkey % 13 = 0, NULL, 1940 + o_orderkey % 60)::INT AS birth_year, o_orderdate::DATE AS start_day,
+       strftime(o_orderdate, '%Y_%m') AS year_month
+FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 4 <> 0
+""",
+    "ingest_counts": """
+WITH o AS (
+  SELECT o_orderkey % 5 = 0 AS bad, o_orderkey % 5 <> 0 AND o_orderkey % 7 = 0 AS none, o_orderkey % 11 = 0 AS untimed,
+         o_orderkey % 4 = 0 AS unnumbered, o_orderkey % 13 = 0 AS unborn, o_orderkey % 2 = 0 AS coloured
+  FROM orders
 )
-SELECT strftime(starttime, '%Y_%m') AS year_month, usertype, count(*) AS trips, sum(tripduration)::BIGINT AS seconds FROM kept GROUP BY ALL
+SELECT unnest(['rows_read', 'rows_stored', 'rows_rejected', 'missing_tripduration', 'unreadable_tripduration', 'missing_starttime',
+               'unreadable_starttime', 'missing_bikeid', 'unreadable_bikeid', 'unreadable_birth_year', 'extra_cells',
+               'unreadable_stoptime', 'unreadable_start_station_id', 'unreadable_start_station_latitude', 'unreadable_start_station_longitude',
+               'unreadable_end_station_id', 'unreadable_end_station_latitude', 'unreadable_end_station_longitude',
+               'files: no month', 'files: unknown header']) AS measure,
+       unnest([count(*), count_if(NOT (bad OR none OR untimed OR unnumbered)), count_if(bad OR none OR untimed OR unnumbered), count_if(none),
+               count_if(bad), 0, count_if(untimed), count_if(unnumbered), 0, count_if(unborn), count_if(coloured),
+               0, 0, 0, 0, 0, 0, 0, 1, 1]) AS n
+FROM o
 """,
     "trips_by_day_store": with_views(TRIPS_V) + "SELECT bikeid, tripduration, usertype, start_day FROM trips_v",
     "weather_table_load": with_views(WEATHER_RAW_V, WEATHER_V) + "SELECT * FROM weather_v WHERE year(timestamp) BETWEEN 1996 AND 1999",

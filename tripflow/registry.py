@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.calendar import year_range
 from tripflow.functions.cleaning import parse_time, to_whole_number
 from tripflow.functions.geo import haversine_m
 from tripflow.operators.cleaning import drop_textual_nulls
@@ -22,13 +23,14 @@ from tripflow.operators.slicing import slice_station_days, slice_trips
 from tripflow.operators.spatial import points_in_areas
 from tripflow.operators.weather import daily_weather
 from tripflow.plans import reports as R
-from tripflow.plans.ingest import header_examples, ingest_trip_files, land_as_text
+from tripflow.plans.ingest import flawed_examples, header_examples, ingest_report, ingest_trip_files, land_as_text
 from tripflow.plans.station_day import station_day
 from tripflow.plans.stations import load_stations, station_dimension
 from tripflow.plans.trip_mart import trip_mart
 from tripflow.plans.weather import load_weather
 from tripflow.session import scratch_path
-from tripflow.sinks.writers import register_table, write_by_day, write_partitioned
+from tripflow.sinks.publish import publish_partitions
+from tripflow.sinks.writers import write_by_day, write_partitioned
 from tripflow.sources import driver_tables as dt
 from tripflow.sources.trip_files import read_trip_files
 from tripflow.sources.warehouse import read_years
@@ -164,19 +166,16 @@ def q_header_layout_union(spark, sf_dir):
 
 
 def q_month_reload(spark, sf_dir):
-    """A store of trip months, written year by year, of which one year is loaded again with other rows: those are replaced,
-    other months stay. Read back through its catalog table."""
-    store = scratch_path(spark, "months")
+    """Trip months published through a catalog table, of which one year is loaded again with other rows: its months are
+    replaced, each in one step, other months stay."""
+    store, table = scratch_path(spark, "months"), "tripflow_month_reload"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     trips = dt.trips_view(spark, sf_dir).select("tripduration", "starttime", "usertype", "bikeid")
     trips = trips.withColumn("year_month", F.date_format("starttime", "yyyy_MM"))
-    span = dt.load(spark, sf_dir, "lineitem").agg(F.year(F.min("l_shipdate")), F.year(F.max("l_shipdate"))).first()
-    for year in range(span[0] or 0, (span[1] or -1) + 1):
-        write_partitioned(trips.where(F.year("starttime") == year), store)
-    write_partitioned(trips.where("year(starttime) = 1997 AND tripduration >= 1800").withColumn("usertype", F.lit("reloaded")), store)
-    register_table(spark, "tripflow_month_reload", store)
-    return spark.table("tripflow_month_reload").groupBy("year_month", "usertype").agg(
-        F.count(F.lit(1)).alias("trips"), F.sum("tripduration").alias("seconds")
-    )
+    publish_partitions(trips, table, store)
+    again = trips.where(year_range("starttime", 1997, 1997) & (F.col("tripduration") >= 1800))
+    publish_partitions(again.withColumn("usertype", F.lit("reloaded")), table, store)
+    return spark.table(table).groupBy("year_month", "usertype").agg(F.count(F.lit(1)).alias("trips"), F.sum("tripduration").alias("seconds"))
 
 
 def q_trips_by_day_store(spark, sf_dir):
@@ -199,7 +198,42 @@ def q_weather_table_load(spark, sf_dir):
     """Readings stored by year, the weather job over some of them, and its saved table."""
     readings = scratch_path(spark, "readings")
     write_partitioned(dt.weather_raw_view(spark, sf_dir), readings, ("year",))
-    return load_weather(spark, read_years(spark, readings, 1996, 1999), "tripflow_weather")
+    return load_weather(
+        spark, read_years(spark, readings, 1996, 1999), "tripflow_weather", store=scratch_path(spark, "weather"), reload=True
+    )
+
+
+def q_weather_guarded_load(spark, sf_dir):
+    """A weather table that is loaded once: a second load of other readings is skipped, and a reload of
+    readings without rows leaves the table as it is."""
+    table, store = "tripflow_weather_once", scratch_path(spark, "weather")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    readings = dt.weather_raw_view(spark, sf_dir)
+    load_weather(spark, readings, table, store=store)
+    load_weather(spark, lambda: readings.where("mo = '01'"), table, store=store)
+    return load_weather(spark, readings.where("stn = 'none'"), table, store=store, reload=True)
+
+
+NEEDED = ("tripduration", "starttime", "bikeid")
+
+
+def _flawed_ingest(spark, sf_dir):
+    landing, store, table = scratch_path(spark, "flawed"), scratch_path(spark, "trips"), "tripflow_flawed_trips"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    flawed_examples(dt.load(spark, sf_dir, "orders"), landing)
+    return ingest_report(spark, landing, store, NEEDED, publish=table, on_unknown="skip"), spark.table(table)
+
+
+def q_flawed_trip_files(spark, sf_dir):
+    """Order rows as trip files with bad and missing cells, the month in the files' names: the typed rows that were kept."""
+    _, stored = _flawed_ingest(spark, sf_dir)
+    return stored.select("tripduration", "starttime", "bikeid", "usertype", "birth_year", "start_day", "year_month")
+
+
+def q_ingest_counts(spark, sf_dir):
+    """What the ingest of those files counted while it wrote: rows and cells by what was wrong, files not read by why."""
+    report, _ = _flawed_ingest(spark, sf_dir)
+    return report.frame(spark).where("measure <> 'files: read'")  # how many files months have is the writer's choice
 
 
 WRITERS: dict[str, Query] = {
@@ -209,6 +243,9 @@ WRITERS: dict[str, Query] = {
     "trips_by_day_store": q_trips_by_day_store,
     "station_table_load": q_station_table_load,
     "weather_table_load": q_weather_table_load,
+    "weather_guarded_load": q_weather_guarded_load,
+    "flawed_trip_files": q_flawed_trip_files,
+    "ingest_counts": q_ingest_counts,
 }
 
 QUERIES: dict[str, Query] = {

@@ -10,8 +10,10 @@
   partitions discovered).
 * ``save_table`` / ``save_with_schema``: managed tables, optionally cast to a
   declared schema by column name.
-* ``write_if_rows``: skip the write for an empty input, counting the rows
-  during the write itself (``observe``) rather than in a separate job.
+* ``publish_if_rows``: publish a staged write only if it has rows, which are counted
+  during the write itself (``observe``); ``write_if_rows``: the same for any writer, with a probe.
+
+``sinks.publish`` has the loads that readers see whole or not at all.
 """
 
 from __future__ import annotations
@@ -22,10 +24,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tripflow.sinks.publish import home_of, home_of_path, remove, stage
+
 
 def write_partitioned(
     df: DataFrame, path: str, partition_by: Sequence[str] = ("year_month",), fmt: str = "parquet"
-) -> None:
+) -> int:
+    """Returns the rows written, counted while they are; an empty input touches no folder."""
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("n"))
     (
         # rows of a partition value go to one task (AQE splits a heavy one), so
         # each folder gets a few files instead of one per input task
@@ -36,6 +43,7 @@ def write_partitioned(
         .partitionBy(*partition_by)
         .save(path)
     )
+    return int(seen.get["n"])
 
 
 def write_by_day(df: DataFrame, path: str, day: str = "start_day", cluster_by: str = "bikeid") -> None:
@@ -50,8 +58,10 @@ def write_by_day(df: DataFrame, path: str, day: str = "start_day", cluster_by: s
 
 
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = True, fmt: str = "parquet") -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+    """A table over written files. One that lies there already only learns of new partitions; it is never away."""
+    if not spark.catalog.tableExists(name) or home_of(spark, name) != home_of_path(spark, path):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
@@ -77,11 +87,25 @@ def save_with_schema(df: DataFrame, name: str, schema: StructType) -> None:
     conform(df, schema).write.mode("overwrite").saveAsTable(name)
 
 
+def publish_if_rows(df: DataFrame, root: str, publish: Callable[[str], None], partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
+    """Writes ``df`` once to a fresh folder under ``root`` and calls ``publish`` with it if it has rows; a folder without rows is
+    removed. Returns the number of rows.
+
+    The count comes from the write itself: the input is read once, and not probed before.
+    """
+    folder, n = stage(df, root, partition_by, fmt)
+    if n:
+        publish(folder)
+    else:
+        remove(df.sparkSession, folder)
+    return n
+
+
 def write_if_rows(df: DataFrame, write: Callable[[DataFrame], None], name: str = "rows") -> int:
-    """Run ``write`` unless ``df`` is empty; returns the number of rows written.
+    """Run ``write``, which writes where it likes, unless ``df`` is empty; returns the number of rows written.
 
-    Emptiness is probed with ``isEmpty`` (stops at the first row); the count
-    comes from an observation on the write job, not a second pass.
+    Nothing is staged, so emptiness is probed first (``isEmpty``, which stops at the first row);
+    where a fresh folder will do, ``publish_if_rows`` reads the input only once.
     """
     if df.isEmpty():
         return 0

@@ -11,10 +11,11 @@ processes what is there and stops, so the same job serves scheduled runs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.plans.ingest import ingest_trip_files
-from tripflow.sources.trip_files import CSV_GLOB, month_of
+from tripflow.sources.trip_files import CSV_GLOB, month_column
 
 _FILE = "path string, modificationTime timestamp, length long, content binary"
 
@@ -33,8 +34,8 @@ def start_trip_stream(
     )
 
     def ingest(batch: DataFrame, _: int) -> None:
-        # one row per landed file
-        months = {month_of(r["path"], month_from_folder) for r in batch.collect()} - {None}
+        # one row per month
+        months = {r[0] for r in batch.select(month_column(F.col("path"), month_from_folder)).distinct().collect()} - {None}
         if months:
             ingest_trip_files(batch.sparkSession, landing, store, months=months, month_from_folder=month_from_folder, **how)
 
