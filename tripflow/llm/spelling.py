@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from tripflow.llm.frequency_trie import GROUPS, Trie, near_pairs, paths
 from tripflow.llm.shared import Tables
 
-NODE_WORDS = 16_384
-DEPTHS = (2, 4, 6, 8, 12, 16, 24, GROUPS)  # where the trie may be cut
+NODE_WORDS = 65_536
+DEPTHS = (1, 2, 3, 4, 5, 6, 8, 10, 13, 16, 24, GROUPS)  # where the trie may be cut
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -160,7 +160,7 @@ def near_words(words: DataFrame, node_words: int = NODE_WORDS, tables: Tables |
     levels = _level_order(words)
     words = tables.write(_with_path(words, levels), "paths")
     nodes = tables.write(_nodes(words, node_words, tables), "nodes")
-    pairs = tables.write(_node_pairs(nodes), "node-pairs")
+    pairs = tables.write(_node_pairs(nodes).withColumn("pair", F.monotonically_increasing_id()), "node-pairs")
     start = F.explode(F.array(*(_start(d) for d in DEPTHS))).alias("node")
     placed = words.select("word", "n", start).join(nodes, "node")
     placed = tables.write(placed.select("node", F.pmod(F.xxhash64("word"), "chunks").cast("int").alias("chunk"), "word", "n"), "placed")
@@ -168,10 +168,9 @@ def near_words(words: DataFrame, node_words: int = NODE_WORDS, tables: Tables |
     for side, name in enumerate(("a", "b")):
         here = pairs if side == 0 else pairs.where("a <> b OR a_chunk <> b_chunk")
         met = (F.col("node") == F.col(name)) & (F.col("chunk") == F.col(f"{name}_chunk"))
-        sides.append(placed.join(here, met).select("a", "b", "a_chunk", "b_chunk", F.lit(side).alias("side"), "word", "n"))
+        sides.append(placed.join(here, met).select("pair", F.lit(side).cast("byte").alias("side"), "word", "n"))
     schema = pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("best", pa.string()), ("best_n", pa.int64())])
-    found = sides[0].unionByName(sides[1]).groupBy("a", "b", "a_chunk", "b_chunk")
-    found = found.applyInArrow(lambda table: _compare(table, levels, schema), "word string, n_near long, best string, best_n long")
+    found = sides[0].unionByName(sides[1]).groupBy("pair").applyInArrow(lambda table: _compare(table, levels, schema), "word string, n_near long, best string, best_n long")
     best = F.min(F.struct((-F.col("best_n")).alias("n"), F.col("best").alias("word")))
     found = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("top"))
     return found.select("word", "n_near", F.col("top.word").alias("best"), (-F.col("top.n")).alias("best_n"))
