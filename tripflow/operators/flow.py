@@ -12,6 +12,8 @@ Two plans give the same rows:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,15 +29,17 @@ def station_day_flow(
     start_time: str = "starttime",
     stop_time: str = "stoptime",
     by_time_of_day: bool = False,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Rows: station_name, trip_date, trips_started, trips_ended, net_flow; with
-    ``by_time_of_day`` (single pass) one for each time of day, which comes as a column.
+    ``by_time_of_day`` (single pass) one for each time of day, which comes as a column,
+    and likewise for each value of the trip columns ``also``.
 
     A trip with a null station name or time contributes nothing on that side,
     in both methods (a null key never matches in the outer join, so it is
     removed up front rather than kept as an unmatched row).
     """
-    key = ["station_name", "trip_date", *(["time_of_day"] if by_time_of_day else [])]
+    key = ["station_name", "trip_date", *(["time_of_day"] if by_time_of_day else []), *also]
     band = lambda t: [time_of_day(t).alias("time_of_day")] if by_time_of_day else []
     if method == "single_pass":
         sides = trips.select(
@@ -45,6 +49,7 @@ def station_day_flow(
                         F.col(start_station).alias("station_name"),
                         F.to_date(F.col(start_time)).alias("trip_date"),
                         *band(start_time),
+                        *also,
                         F.lit(1).alias("s"),
                         F.lit(0).alias("e"),
                     ),
@@ -52,6 +57,7 @@ def station_day_flow(
                         F.col(end_station).alias("station_name"),
                         F.to_date(F.col(stop_time)).alias("trip_date"),
                         *band(stop_time),
+                        *also,
                         F.lit(0).alias("s"),
                         F.lit(1).alias("e"),
                     ),
@@ -62,7 +68,7 @@ def station_day_flow(
             F.sum("s").cast("bigint").alias("trips_started"),
             F.sum("e").cast("bigint").alias("trips_ended"),
         )
-    elif method == "full_outer" and not by_time_of_day:
+    elif method == "full_outer" and not by_time_of_day and not also:
         started = (
             trips.where(F.col(start_station).isNotNull() & F.col(start_time).isNotNull())
             .groupBy(F.col(start_station).alias("station_name"), F.to_date(F.col(start_time)).alias("trip_date"))

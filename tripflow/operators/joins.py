@@ -14,11 +14,12 @@ from tripflow.functions.geo import haversine_m, snap, valid_point
 def one_row_each(df: DataFrame, key: str) -> DataFrame:
     """``df`` with a check, made while the rows are read, that ``key`` does not repeat.
 
-    A repeated key fails the query instead of multiplying the rows joined to it.
+    A repeated key fails the query instead of multiplying the rows joined to it. Rows without a key
+    match nothing and are left out.
     """
     rest = [c for c in df.columns if c != key]
-    grouped = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
-    message = F.concat(F.lit(f"{key} repeats: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    grouped = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
+    message = F.concat(F.lit(f"{key} repeats: "), F.col(key).cast("string"))
     checked = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(message))
     return grouped.select(key, checked.alias("_row")).select(key, "_row.*")
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tripflow.constants import WEATHER_OUTPUTS, WEATHER_SENTINELS, WEATHER_STATIONS, WEATHER_YEARS
 from tripflow.functions.calendar import day_start
@@ -25,12 +26,14 @@ def daily_weather(
     ``readings`` has ``stn``, ``year``, ``mo``, ``da`` (text) and one column
     per key of ``outputs``. A reading equal to its column's missing-value code
     is ignored by the mean (a text-typed column is compared as text, then cast).
-    Station and year filters run before the aggregate so they reach the scan.
+    Station and year filters run before the aggregate and reach the scan: years that are text
+    are compared with the years' names, as a cast column would not be pushed down.
     """
     df = readings
     if years is not None:
-        y = F.col("year").try_cast("int")
-        df = df.where(y.between(*years))
+        first, last = years
+        is_text = isinstance(df.schema["year"].dataType, StringType)
+        df = df.where(F.col("year").isin([str(y) for y in range(first, last + 1)]) if is_text else F.col("year").between(first, last))
     if stations is not None:
         df = df.where(F.col("stn").isin(*stations))
     ts = day_start("year", "mo", "da").alias("timestamp")

@@ -460,6 +460,51 @@ WHERE station_id IS NOT NULL AND name IS NOT NULL AND short_name IS NOT NULL AND
     }
 )
 
+# tiles of a slice: station-days of the sides that the slice lets through
+_SLICES = {
+    "all": "TRUE",
+    "autumn mornings and evenings": "day BETWEEN DATE '1996-09-01' AND DATE '1996-11-30' AND (hour BETWEEN 5 AND 11 OR hour BETWEEN 17 AND 20)",
+    "two segments in asia": "usertype IN ('BUILDING', 'MACHINERY') AND borough = 'ASIA'",
+    "northern nights": "(hour < 5 OR hour > 20) AND usertype = 'FURNITURE' AND neighborhood IN ('EUROPE North', 'AMERICA North')",
+}
+_TILES = " UNION ALL ".join(
+    f"""
+SELECT '{name}' AS slice, sum(s)::BIGINT AS total_trips, count(DISTINCT place) AS active_stations,
+       round(avg((s + e) / nullif(capacity, 0)), 6) AS utilization_rate, avg(e - s) AS avg_net_flow
+FROM (SELECT place, day, capacity, count_if(leaves) AS s, count_if(NOT leaves) AS e FROM sides WHERE {where} GROUP BY ALL) HAVING count(*) > 0"""
+    for name, where in _SLICES.items()
+)
+
+ORACLE_SQL.update(
+    {
+        "sliced_tiles": with_views(STATIONS_V, TRIPS_V) + """,
+ends AS (
+  SELECT start_station_name AS place, starttime AS moment, usertype, TRUE AS leaves FROM trips_v
+  UNION ALL SELECT end_station_name, stoptime, usertype, FALSE FROM trips_v
+),
+sides AS (
+  SELECT place, moment::DATE AS day, hour(moment) AS hour, usertype, leaves, borough, neighborhood, capacity
+  FROM ends JOIN stations_v ON name = place
+)""" + _TILES,
+        "distinct_bikes_sketched": with_views(TRIPS_V) + """
+SELECT start_station_name, count(DISTINCT bikeid) AS bikes, TRUE AS within_error FROM trips_v GROUP BY ALL
+""",
+        "bike_usage": with_views(TRIPS_V) + """
+SELECT bikeid, count(*) AS trips, sum(tripduration)::BIGINT AS seconds, count(DISTINCT start_day) AS days FROM trips_v GROUP BY ALL
+""",
+        "weather_sibling_tables": ORACLE_SQL["weather_table_load"],
+        "weather_by_connector": ORACLE_SQL["weather_table_load"],
+        "station_status_rows": ORACLE_SQL["station_dimension"].replace(
+            "SELECT * FROM placed", "SELECT p.station_id, p.name, p.neighborhood, count(*) AS rows FROM placed p JOIN lineitem l ON l.l_suppkey::VARCHAR = p.station_id"
+        ).replace("WHERE station_id IS NOT NULL AND name", "WHERE p.station_id IS NOT NULL AND name") + " GROUP BY ALL",
+        "point_parts": with_views(TRIPS_V) + """
+SELECT count(*) AS points, count_if(bikeid % 5 <> 0) AS latitudes, count_if(bikeid % 5 <> 0 AND bikeid % 7 <> 0) AS longitudes,
+       count_if(bikeid % 5 <> 0 AND bikeid % 7 <> 0) AS same
+FROM trips_v
+""",
+    }
+)
+
 # the station job reads the same feeds from files and writes the same rows to its table
 ORACLE_SQL["station_table_load"] = ORACLE_SQL["station_dimension"]
 

@@ -239,3 +239,10 @@ def weather_correlation(sd: DataFrame, weather: DataFrame) -> DataFrame:
         F.round(F.corr("daily_trips", "wind_speed"), RATIO_DECIMALS).alias("corr_wind_speed"),
         F.count(F.lit(1)).alias("days"),
     )
+
+
+def bike_usage(trips: DataFrame) -> DataFrame:
+    """Trips, seconds and days of use of each bike; over a table dealt into buckets by bike, without an exchange."""
+    return trips.groupBy("bikeid").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("tripduration").alias("seconds"), F.size(F.collect_set("start_day")).cast("long").alias("days")
+    )

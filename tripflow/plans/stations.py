@@ -35,12 +35,14 @@ def station_dimension(
     areas: DataFrame,
     cell_size: float = 0.01,
     required: Sequence[str] = REQUIRED,
+    status_join: str = "semi",
 ) -> DataFrame:
     """Typed station table (``STATION_SCHEMA``).
 
-    * only stations that appear in ``status`` are kept; status only filters,
-      so a repeated status id does not repeat the station (its keys are
-      de-duplicated map-side before the semi join);
+    * only stations that appear in ``status`` are kept; with ``status_join="semi"`` status only
+      filters, so a repeated status id does not repeat the station (its keys are
+      de-duplicated map-side before the semi join); with ``"inner"`` a station appears once
+      for each of its status rows, which are counted before the join;
     * ``lat``/``lon`` become ``latitude``/``longitude``;
     * borough and neighbourhood come from the area containing the station
       (``areas``: ``area_id``, ``borough``, ``neighborhood``, ``geometry``);
@@ -48,8 +50,15 @@ def station_dimension(
     * ``region_id`` and ``capacity`` are coerced to integers (bad text -> null);
     * rows with a null (or textual-null area name) in ``required`` are dropped.
     """
-    ids = status.select(F.col("station_id").cast("string").alias("station_id")).distinct()
-    s = information.join(ids, "station_id", "left_semi").select(
+    if status_join not in ("semi", "inner"):
+        raise ValueError(f"status is joined semi or inner, not {status_join!r}")
+    ids = status.select(F.col("station_id").cast("string").alias("station_id"))
+    if status_join == "semi":
+        met = information.join(ids.distinct(), "station_id", "left_semi")
+    else:
+        times = ids.groupBy("station_id").agg(F.count(F.lit(1)).cast("int").alias("_times"))
+        met = information.join(times, "station_id").withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    s = met.select(
         F.col("station_id").cast("string").alias("station_id"),
         "name",
         "short_name",

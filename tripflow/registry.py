@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.calendar import year_range
 from tripflow.functions.cleaning import parse_time, to_whole_number
-from tripflow.functions.geo import haversine_m
+from tripflow.functions.geo import haversine_m, point_part, point_text
+from tripflow.functions.sketches import distinct_sketches, merged_distinct, relative_error
 from tripflow.operators.cleaning import drop_textual_nulls
 from tripflow.operators.flow import station_day_flow
 from tripflow.operators.joins import match_stations
@@ -26,19 +27,22 @@ from tripflow.plans import reports as R
 from tripflow.plans.ingest import flawed_examples, header_examples, ingest_report, ingest_trip_files, land_as_text
 from tripflow.plans.station_day import station_day
 from tripflow.plans.stations import load_stations, station_dimension
+from tripflow.plans.tiles import Slice, tile_store, tiles
 from tripflow.plans.trip_mart import trip_mart
 from tripflow.plans.weather import load_weather
 from tripflow.session import scratch_path
 from tripflow.sinks.publish import publish_partitions
-from tripflow.sinks.writers import write_by_day, write_partitioned
+from tripflow.sinks.writers import save_bucketed, write_by_day, write_partitioned
 from tripflow.sources import driver_tables as dt
 from tripflow.sources.trip_files import read_trip_files
-from tripflow.sources.warehouse import read_years
+from tripflow.sources.folder_source import register as register_folder_source
+from tripflow.sources.warehouse import read_source, read_wildcard, read_years
 
 # Market segments of the driver data play the user types.
 USERTYPES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 RANGE = ("1996-03-01", "1998-10-31")
 AREA_CELL = 2.0  # plane units; an area square is 8 x 8
+BIKE_BUCKETS = 16
 NEAREST_M = 60.0  # trip coordinates lie up to 50 m off their station
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,7 +240,86 @@ def q_ingest_counts(spark, sf_dir):
     return report.frame(spark).where("measure <> 'files: read'")  # how many files months have is the writer's choice
 
 
+def q_weather_sibling_tables(spark, sf_dir):
+    """Readings as one table a year, read by a pattern of names within bounds: other years' tables are not opened."""
+    root = scratch_path(spark, "siblings")
+    write_partitioned(dt.weather_raw_view(spark, sf_dir), root, ("year",))
+    first = dt.load(spark, sf_dir, "lineitem").agg(F.year(F.min("l_shipdate")), F.year(F.max("l_shipdate"))).first()
+    for year in range(first[0] or 0, (first[1] or -1) + 1):
+        spark.sql(f"DROP TABLE IF EXISTS tripflow_gsod{year}")
+        spark.catalog.createTable(f"tripflow_gsod{year}", f"{root}/year={year}", "parquet")
+    return daily_weather(read_wildcard(spark, "tripflow_gsod*", "1996", "1999", suffix_column="year"), years=None)
+
+
+def q_weather_by_connector(spark, sf_dir):
+    """Readings through a connector that runs a query on its side and takes the year filter too."""
+    root = scratch_path(spark, "warehouse")
+    dt.weather_raw_view(spark, sf_dir).write.parquet(root)
+    query = "SELECT stn, year, mo, da, temp, visib, wdsp, gust, prcp, sndp FROM source WHERE stn <> '725053'"
+    return daily_weather(read_source(spark, query=query, fmt=register_folder_source(spark), options={"path": root}), years=(1996, 1999))
+
+
+SLICES = {
+    "all": Slice(),
+    "autumn mornings and evenings": Slice(date_range=("1996-09-01", "1996-11-30"), times_of_day=("Morning", "Evening")),
+    "two segments in asia": Slice(usertypes=("BUILDING", "MACHINERY"), boroughs=("ASIA",)),
+    "northern nights": Slice(times_of_day=("Night",), neighborhoods=("EUROPE North", "AMERICA North"), usertypes=("FURNITURE",)),
+}
+
+
+def q_sliced_tiles(spark, sf_dir):
+    """The tiles R1-R4 of several slices, all from a store of station-day counts that is made once."""
+    store = scratch_path(spark, "tiles")
+    write_partitioned(tile_store(dt.trips_view(spark, sf_dir)).withColumn("year", F.year("trip_date")), store, ("year",))
+    return tiles(spark.read.parquet(store), dt.stations_view(spark, sf_dir), SLICES)
+
+
+def q_distinct_bikes_sketched(spark, sf_dir):
+    """Bikes seen at each start station: exact, and whether the estimate from monthly sketches lies within its stated error."""
+    store = scratch_path(spark, "sketches")
+    trips = dt.trips_view(spark, sf_dir).select("start_station_name", F.date_format("starttime", "yyyy_MM").alias("year_month"), "bikeid")
+    write_partitioned(distinct_sketches(trips, ["start_station_name", "year_month"], "bikeid"), store)
+    about = merged_distinct(spark.read.parquet(store), ["start_station_name"])
+    exact = trips.groupBy("start_station_name").agg(F.count_distinct("bikeid").alias("bikes"))
+    off = F.abs(F.col("about") - F.col("bikes"))
+    return exact.join(about, "start_station_name").select("start_station_name", "bikes", (off <= F.col("bikes") * relative_error()).alias("within_error"))
+
+
+def q_bike_usage(spark, sf_dir):
+    """Trips, seconds and days of each bike, from a table dealt into buckets by bike: no exchange."""
+    table = "tripflow_trips_by_bike"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    trips = dt.trips_view(spark, sf_dir).select("bikeid", "tripduration", "start_day")
+    save_bucketed(trips, table, "bikeid", BIKE_BUCKETS, scratch_path(spark, "bikes"))
+    return R.bike_usage(spark.table(table))
+
+
+def q_station_status_rows(spark, sf_dir):
+    """Stations of the dimension job with how many rows each has when it appears once for each of its status rows."""
+    info, status = dt.supplier_sites(spark, sf_dir)
+    rows = station_dimension(info, status, dt.areas_view(spark, sf_dir), cell_size=AREA_CELL, status_join="inner")
+    return rows.groupBy("station_id", "name", "neighborhood").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_point_parts(spark, sf_dir):
+    """Trip starts as point text and taken apart again; text without two numbers gives nulls."""
+    trips = dt.trips_view(spark, sf_dir).select("start_station_latitude", "start_station_longitude", "bikeid")
+    text = F.when(F.col("bikeid") % 5 == 0, "none").when(F.col("bikeid") % 7 == 0, F.col("start_station_latitude").cast("string"))
+    text = text.otherwise(point_text("start_station_latitude", "start_station_longitude"))
+    points = trips.select(text.alias("point"), "start_station_latitude", "start_station_longitude")
+    lat, lon = point_part("point", 0), point_part("point", 1)
+    same = (lat == F.col("start_station_latitude")) & (lon == F.col("start_station_longitude"))
+    return points.agg(
+        F.count(F.lit(1)).alias("points"), F.count(lat).alias("latitudes"), F.count(lon).alias("longitudes"), F.count_if(same).alias("same")
+    )
+
+
 WRITERS: dict[str, Query] = {
+    "weather_sibling_tables": q_weather_sibling_tables,
+    "weather_by_connector": q_weather_by_connector,
+    "sliced_tiles": q_sliced_tiles,
+    "distinct_bikes_sketched": q_distinct_bikes_sketched,
+    "bike_usage": q_bike_usage,
     "trip_file_ingest": q_trip_file_ingest,
     "header_layout_union": q_header_layout_union,
     "month_reload": q_month_reload,
@@ -278,6 +361,8 @@ QUERIES: dict[str, Query] = {
     "nearest_station": q_nearest_station,
     "points_in_areas": q_points_in_areas,
     "station_dimension": q_station_dimension,
+    "station_status_rows": q_station_status_rows,
+    "point_parts": q_point_parts,
     "parse_trip_times": q_parse_trip_times,
     "textual_nulls": q_textual_nulls,
     "numeric_coerce": q_numeric_coerce,

@@ -7,7 +7,9 @@ is for tests, the bench and local runs only.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +72,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     files.mkdirs(where)
     files.deleteOnExit(where)
     return f"{home}/data"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session, for Python that runs in tasks. Where it is installed there
+    already, that is the same code."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    home = tempfile.mkdtemp(prefix="tripflow-")
+    archive = f"{home}/{os.path.basename(here)}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(here)))
+    sc.addPyFile(archive)  # served to the executors by Spark
+    _shipped.add(sc.applicationId)

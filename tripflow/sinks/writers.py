@@ -57,6 +57,16 @@ def write_by_day(df: DataFrame, path: str, day: str = "start_day", cluster_by: s
     )
 
 
+def save_bucketed(df: DataFrame, name: str, by: str, buckets: int, path: str | None = None) -> None:
+    """A table whose rows are dealt into ``buckets`` files by a hash of ``by``, each sorted by it.
+
+    Aggregates and joins on ``by`` need no exchange, joins to another table of as many buckets neither, and a
+    lookup of one value opens one file. A file is written by one task: choose ``buckets`` so that one holds what a task can sort.
+    """
+    writer = df.repartition(buckets, by).write.mode("overwrite").bucketBy(buckets, by).sortBy(by)
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
+
+
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = True, fmt: str = "parquet") -> None:
     """A table over written files. One that lies there already only learns of new partitions; it is never away."""
     if not spark.catalog.tableExists(name) or home_of(spark, name) != home_of_path(spark, path):

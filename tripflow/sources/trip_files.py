@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.constants import FILE_MONTH_PATTERN, HEADER_SYNONYMS
-from tripflow.session import scratch_path
+from tripflow.session import scratch_path, ship_package
 from tripflow.sources.schemas import TRIP_FIELDS
 
 CSV_GLOB = "*.{csv,CSV}"
@@ -123,6 +123,7 @@ def trip_files(
     for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         alone.conf.set(setting, str(1 << 40))
     known = dict(synonyms)
+    ship_package(spark)
 
     def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n, batch in enumerate(batches):

@@ -39,6 +39,32 @@ def read_years(spark: SparkSession, path: str, first: int, last: int, year_colum
     return df.where(F.col(year_column).cast("int").between(first, last))
 
 
+def read_wildcard(
+    spark: SparkSession, pattern: str, first: str | None = None, last: str | None = None, suffix_column: str = "table_suffix"
+) -> DataFrame:
+    """Sibling tables as one: all catalog tables whose name is ``pattern`` with something for its one ``*``, which
+    becomes the column ``suffix_column``. ``first`` and ``last`` bound the suffixes (as text, both included): other tables are not
+    opened, so their files are not even listed. A column that a table lacks is null there.
+
+    A later filter on ``suffix_column`` also leaves tables out, as it is a constant in each.
+    """
+    before, star, after = pattern.rpartition(".")[2].partition("*")
+    if star != "*" or "*" in after:
+        raise ValueError(f"{pattern!r} needs one * in the table's name")
+    database = pattern.rpartition(".")[0]
+    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES {'IN ' + database if database else ''} LIKE '{before}*{after}'").collect()]
+    suffixes = sorted(n[len(before) : len(n) - len(after)] for n in names if len(n) > len(before) + len(after))
+    wanted = [s for s in suffixes if (first is None or s >= first) and (last is None or s <= last)]
+    if not wanted:
+        raise ValueError(f"no table is named {pattern} between {first} and {last}")
+    out = None
+    for suffix in wanted:
+        name = f"`{before}{suffix}{after}`"
+        part = spark.table(f"{database}.{name}" if database else name).withColumn(suffix_column, F.lit(suffix))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def table_has_rows(spark: SparkSession, name: str) -> bool:
     """True when ``name`` exists and holds at least one row (reads one row at most)."""
     return spark.catalog.tableExists(name) and not spark.table(name).isEmpty()
