@@ -148,7 +148,7 @@ def pack_documents(
         packer = _Packer(TaskContext.get().partitionId(), capacity, piece, block_windows, fill)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a, b in runs(texts):
+            for a, b in runs(texts, 3_000_000):
                 ids, counts = tokens.encode(texts.slice(a, b - a).to_pylist())
                 ends = np.cumsum(counts)
                 for doc_id, end, count in zip(doc_ids[a:b], ends.tolist(), counts.tolist()):

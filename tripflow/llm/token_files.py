@@ -108,7 +108,7 @@ def write_token_files(
 
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a, b in runs(texts):
+            for a, b in runs(texts, 3_000_000):
                 ids, n = tokens.encode(texts.slice(a, b - a).to_pylist())
                 if len(ids) and int(ids.max()) >> (8 * width):
                     raise ValueError(f"an id of {int(ids.max())} does not fit into {width} bytes")

@@ -3,10 +3,9 @@
 Both public byte-pair vocabularies used here pre-tokenise a text before they
 merge bytes, and a pre-token never reaches over a change from a visible
 character to a space. The ids of a text are therefore the ids of its
-space-led words, one after the other, so each distinct word is encoded once per
-worker and looked up afterwards. A word of letters and closing punctuation, or
-one with a line break inside, is put together from the ids of its parts, which
-are pre-tokens of their own.
+space-led words, one after the other. The distinct words of a run of texts are looked up,
+and new ones encoded: letters by the model alone, letters and closing punctuation from the
+ids of both, which are pre-tokens of their own, others by the library as a batch.
 Texts in which a space touches other white space have pre-tokens that span it;
 those are encoded whole.
 """
@@ -16,8 +15,10 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 
 # No apostrophe: the vocabularies split contractions off at it.
@@ -40,45 +41,32 @@ class _Letters(dict):
         return self[code]
 
 
-class _Memo(dict):
-    """Word to its row in the encoder's store; a new word is encoded when first looked up."""
-
-    def __init__(self, owner: "WordMemoEncoder"):
-        super().__init__()
-        self.owner = owner
-
-    def __missing__(self, word: str) -> int:
-        row = self.owner._store(self.owner._word_ids(word))
-        if len(word) <= self.owner.max_word_chars:
-            self[word] = row
-        return row
-
-
 class WordMemoEncoder:
     """Encodes lists of texts to one flat id array and the length of each text.
 
-    ``max_words`` bounds the memo of a worker process; it is emptied when full.
-    Words over ``max_word_chars`` are encoded anew each time.
+    ``max_words`` and ``max_bytes``, about, bound what a worker process remembers; it forgets all of it when one
+    is reached. Words over ``max_word_chars`` are encoded anew each time.
     """
 
-    def __init__(self, path: str, end_id: int | None = None, max_words: int = 1_100_000, max_word_chars: int = 48):
+    def __init__(self, path: str, end_id: int | None = None, max_words: int = 1_000_000, max_bytes: int = 160_000_000, max_word_chars: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         self.end_id = end_id
-        self.max_words, self.max_word_chars = max_words, max_word_chars
+        self.max_words, self.max_bytes, self.max_word_chars = max_words, max_bytes, max_word_chars
 
         self.letters = _Letters()
-        self.lead = self.letters[ord(" ")] if self.tokenizer.normalizer is None else ""
-        self.line_break = self._encode("\n")
+        self.lead = self.letters[ord(" ")] if self.normalizer is None else ""
         self._forget()
 
     def _forget(self) -> None:
-        self.memo = _Memo(self)
+        self.memo: dict[str, int] = {}  # word to its row in the store
         self.tails: dict[str, list[int]] = {}
         self.flat, self.starts, self.lens = array("I"), array("q"), array("i")
+        self.held = 0
         self.end_row = self._store([] if self.end_id is None else [self.end_id])
 
     def _encode(self, text: str) -> list[int]:
@@ -90,61 +78,86 @@ class WordMemoEncoder:
         self.flat.extend(ids)
         return len(self.lens) - 1
 
-    def _word_ids(self, word: str) -> list[int]:
-        """Ids of a word after a space, or, if it begins with a line break, without one."""
-        if "\n\n" in word or len(word) > self.max_word_chars:
-            return self._encode(word if word[0] == "\n" else " " + word)
-        if (at := word.find("\n", 1)) > 0:
-            return [*self._ids_at(self.memo[word[:at]]), *self._ids_at(self.memo[word[at:]])]
-        body, lead, before = (word[1:], "", self.line_break) if word[0] == "\n" else (word, self.lead, [])
-        stem = body.rstrip(CLOSING)
-        plain = self._plain(stem) if stem.isalpha() else ""
-        if not plain.isalpha():
-            return self._encode(word if word[0] == "\n" else " " + word)
-        if len(stem) < len(body):
-            return [*self._ids_at(self.memo[word[: len(word) - len(body) + len(stem)]]), *self._tail(body[len(stem) :])]
-        return [*before, *(t.id for t in self.tokenizer.model.tokenize(lead + plain.translate(self.letters)))]
-
-    def _plain(self, stem: str) -> str:
-        """The normalised word; if still of letters only, it is one pre-token and needs no splitting."""
-        if self.tokenizer.normalizer is None:
-            return stem
-        return stem.lower() if stem.isascii() else self.tokenizer.normalizer.normalize_str(stem)
+    def _learn(self, words: list[str]) -> None:
+        """Encodes new words and remembers where the store has their ids."""
+        known = self.memo
+        stems = {w: w.rstrip(CLOSING) for w in words}
+        lettered = [w for w in {*stems.values(), *words} if w not in known and w.isalpha() and len(w) <= self.max_word_chars]
+        if self.normalizer is None:
+            plain = lettered
+        else:  # a letter may be normalised to more than letters
+            shown = {w: w.lower() if w.isascii() else self.normalizer.normalize_str(w) for w in lettered}
+            lettered = [w for w, own in shown.items() if own.isalpha()]
+            plain = [shown[w] for w in lettered]
+        tokenize, lead, letters = self.model.tokenize, self.lead, self.letters
+        # the byte alphabet writes ASCII letters as they are
+        ids = [[t.id for t in tokenize(lead + (w if w.isascii() else w.translate(letters)))] for w in plain]
+        self._store_all(lettered, ids)
+        parted = [w for w in words if w not in known and stems[w] in known]
+        self._store_all(parted, [[*self._ids_at(known[stems[w]]), *self._tail(w[len(stems[w]) :])] for w in parted])
+        # a word after a space, or, if it begins with a line break, without one
+        whole = [w for w in words if w not in known]
+        encoded = self.tokenizer.encode_batch([w if w[0] == "\n" else " " + w for w in whole], add_special_tokens=False)
+        self._store_all(whole, [e.ids for e in encoded])
+
+    def _store_all(self, words: list[str], ids: list) -> None:
+        lens = array("i", map(len, ids))
+        self.memo.update(zip(words, range(len(self.lens), len(self.lens) + len(lens))))
+        self.starts.extend(accumulate(lens[:-1], initial=len(self.flat)) if lens else ())
+        self.lens.extend(lens)
+        self.flat.extend(chain.from_iterable(ids))
+        self.held += 200 * len(lens) + sum(map(len, words)) + 4 * sum(lens)
 
     def _ids_at(self, row: int) -> array:
         return self.flat[self.starts[row] : self.starts[row] + self.lens[row]]
 
     def _tail(self, tail: str) -> list[int]:
+        if not tail:
+            return []
         if tail not in self.tails:
             if len(tail) > self.max_word_chars:
                 return self._encode(tail)
             self.tails[tail] = self._encode(tail)
         return self.tails[tail]
 
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Where the store has the ids of each of these distinct words."""
+        rows = list(map(self.memo.get, words))
+        new = [n for n, row in enumerate(rows) if row is None]
+        self._learn([words[n] for n in new])
+        for n in new:
+            rows[n] = self.memo[words[n]]
+            if len(words[n]) > self.max_word_chars:
+                del self.memo[words[n]]
+        return np.array(rows, np.int64)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts as one uint32 array, and how many belong to each text."""
-        if len(self.memo) > self.max_words or len(self.flat) > 8 * self.max_words:
+        if len(self.memo) > self.max_words or self.held > self.max_bytes:
             self._forget()
-        rows: list[int] = []  # for every unit of every text, where the store has its ids
-        counts = np.zeros(len(texts) + 1, np.int64)
-        look_up = self.memo.__getitem__
-        for n, text in enumerate(texts):
-            head = len(rows)
-            first, *words = text.split(" ")
-            if words and self._apart(text):
-                rows.append(self._store(self._encode(first)))
-                rows.extend(map(look_up, words))
-            elif text:
-                rows.append(self._store(self._encode(text)))
-            rows.append(self.end_row)
-            counts[n + 1] = len(rows) - head
-        index = np.fromiter(rows, np.int64, len(rows))
+        # what begins a text, or all of it, is encoded as it is; the words after it are looked up, each distinct one once
+        heads, rests = [], []
+        for text in texts:
+            first, blank, rest = text.partition(" ")
+            apart = bool(blank) and self._apart(text)
+            heads.append(first if apart else text)
+            rests.append(rest if apart else None)
+        begin = np.array([self._store(e.ids) for e in self.tokenizer.encode_batch(heads, add_special_tokens=False)], np.int64)
+        words = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        coded = pc.list_flatten(words).dictionary_encode()
+        counts = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 2
+        index = np.empty(int(counts.sum()), np.int64)  # for every unit of every text, where the store has its ids
+        last = np.cumsum(counts) - 1
+        between = np.ones(len(index), bool)
+        between[last] = between[last - counts + 1] = False
+        index[between] = self._rows(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        index[last], index[last - counts + 1] = self.end_row, begin
         flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)
         lens = np.frombuffer(self.lens, np.int32)[index].astype(np.int64)
         ends = np.concatenate(([0], np.cumsum(lens)))
         starts = np.frombuffer(self.starts, np.int64)[index]
         ids = flat[np.repeat(starts - ends[:-1], lens) + np.arange(ends[-1])]
-        return ids, np.diff(ends[np.cumsum(counts)])
+        return ids, np.diff(ends[np.concatenate(([0], np.cumsum(counts)))])
 
     @staticmethod
     def _apart(text: str) -> bool:
