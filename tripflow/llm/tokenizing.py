@@ -48,7 +48,7 @@ class WordMemoEncoder:
     is reached. Words over ``max_word_chars`` are encoded anew each time.
     """
 
-    def __init__(self, path: str, end_id: int | None = None, max_words: int = 1_000_000, max_bytes: int = 160_000_000, max_word_chars: int = 48):
+    def __init__(self, path: str, end_id: int | None = None, max_words: int = 1_000_000, max_bytes: int = 100_000_000, max_word_chars: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -93,7 +93,7 @@ class WordMemoEncoder:
         # the byte alphabet writes ASCII letters as they are
         ids = [[t.id for t in tokenize(lead + (w if w.isascii() else w.translate(letters)))] for w in plain]
         self._store_all(lettered, ids)
-        parted = [w for w in words if w not in known and stems[w] in known]
+        parted = [w for w in words if w not in known and stems[w] in known and self._lettered(stems[w])]
         self._store_all(parted, [[*self._ids_at(known[stems[w]]), *self._tail(w[len(stems[w]) :])] for w in parted])
         # a word after a space, or, if it begins with a line break, without one
         whole = [w for w in words if w not in known]
@@ -108,6 +108,10 @@ class WordMemoEncoder:
         self.flat.extend(chain.from_iterable(ids))
         self.held += 200 * len(lens) + sum(map(len, words)) + 4 * sum(lens)
 
+    def _lettered(self, word: str) -> bool:
+        """Whether a word is one of letters, also as the vocabulary sees it: closing punctuation is then parted from it."""
+        return word.isalpha() and (word.isascii() or self.normalizer is None or self.normalizer.normalize_str(word).isalpha())
+
     def _ids_at(self, row: int) -> array:
         return self.flat[self.starts[row] : self.starts[row] + self.lens[row]]
 
