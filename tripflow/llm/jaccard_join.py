@@ -7,7 +7,8 @@ shingles of common words, and each permutes the rest in its own way. A pair is v
 
 Equal sets become one node first. The nodes that have a token in their prefix are
 parted by size into ranges of which similar sets share one. A small group gives its
-pairs as rows. A large group gives a star: its first node against the others. Those
+pairs as rows. Of large groups of the same nodes (by count, first node and 128 bits of hashes) one is kept.
+A large group gives a star: its first node against the others. Those
 that the star links need no further pairs among themselves; the others meet all of
 the group's nodes in blocks, inside tasks, which write a spanning forest of the links.
 
@@ -204,8 +205,8 @@ def _tokens(docs: DataFrame, wanted: DataFrame, how: Similarity, common: Common)
                     r, t = zip(*rows[at : at + 256])
                     yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(t, pa.binary())], names=["ref", "tokens"])
 
-    # dealt out by id at every size; to broadcast the ids would have no bound
-    rows = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"] == wanted["rep"]).select("ref", "text", "mark")
+    # the planner broadcasts the ids if their table is small, else texts are dealt out by id
+    rows = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("ref", "text", "mark")
     return rows.mapInArrow(build, "ref long, tokens binary")
 
 
@@ -354,10 +355,15 @@ def _components(docs: DataFrame, how: Similarity, id_col: str, text_col: str, ta
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token")
     postings = postings.join(shared, "token").withColumn("size", F.explode(how.ranges(F.col("n"))))
     postings = tables.write(postings, "postings")
+    marks = [F.bit_xor(F.xxhash64("ref", F.lit(seed))).alias(f"mark_{seed}") for seed in (1, 2)]
     groups = postings.groupBy("token", "size").agg(
-        F.count(F.lit(1)).alias("c"), F.min("ref").alias("hub"), F.min_by("n", "ref").alias("hub_n")
+        F.count(F.lit(1)).alias("c"), F.min("ref").alias("hub"), F.min_by("n", "ref").alias("hub_n"), *marks
     )
-    postings = tables.write(postings.join(groups.filter("c > 1"), ["token", "size"]), "groups")
+    # a passage gives one large group of the same nodes for each of its shingles: one of them is compared
+    same = ["c", "hub", "hub_n", "mark_1", "mark_2"]
+    large = groups.filter(F.col("c") > FEW).groupBy(*same).agg(F.min(F.struct("token", "size")).alias("first")).select("first.*", *same)
+    kept = groups.filter((F.col("c") > 1) & (F.col("c") <= FEW)).unionByName(large).drop("mark_1", "mark_2")
+    postings = tables.write(postings.join(kept, ["token", "size"]), "groups")
     tables.drop("postings")
 
     few = postings.filter(F.col("c") <= FEW).select("token", "size", "ref", "n")
