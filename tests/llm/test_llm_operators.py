@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tripflow.llm import jaccard_join
 from tripflow.llm.exact_dedup import drop_exact_copies, exact_groups
 from tripflow.llm.jaccard_join import Similarity, connected, drop_near_copies, jaccard_components
-from tripflow.llm.mixing import EPOCH, Level, mix_documents
+from tripflow.llm.mixing import EPOCH, Level, about_tokens, mix_documents
 from tripflow.llm.packing import difference, pack_documents, windows_for
 from tripflow.llm.pii import find_personal_data
 from tripflow.llm.quality import SCORE, fit_quality, train_network
@@ -306,21 +306,54 @@ def test_mixture(odd, odd_rows, share, epochs):
         for p in supply:
             below[p[:depth]].add(p[: depth + 1])
         budgets |= {k: v for parent, kids in below.items() for k, v in fill(budgets[parent], {k: cap(k) for k in kids}, {k: weight[depth](k) for k in kids}).items()}
-    want = Counter()
+    want, lack, following = Counter(), {}, {}
     for path, n in supply.items():
         whole, rest = divmod(budgets[path], n)
         order = sorted((hashlib.md5(f"17:{whole}:{d}".encode()).hexdigest(), d) for d, p in leaf.items() if p == path)
-        used = 0
+        used = given = 0
         for _, d in order:
             want.update({(d, e): 1 for e in range(whole)})
             used += tokens[d]
             if used <= rest:
                 want[d, whole] += 1
+                given = used
+            elif path not in following and whole < epochs:
+                following[path] = (tokens[d], d, whole)
+        lack[path] = rest - given
+    # what whole documents leave of the budgets pays for the next ones of siblings, then of the level above
+    won = set()
+    for depth in (2, 1, 0):
+        for parent in {p[:depth] for p in supply}:
+            pool = sum(lack[p] for p in supply if p[:depth] == parent) - sum(following[p][0] for p in won if p[:depth] == parent)
+            offers = {}
+            for p in sorted(following, key=lambda p: (following[p][0], p), reverse=True):
+                if p[:depth] == parent and p not in won:
+                    offers[p[: depth + 1]] = p  # the last one put here is the shortest
+            paid = 0
+            for p in sorted(offers.values(), key=lambda p: (following[p][0], p[depth])):
+                paid += following[p][0]
+                if paid <= pool:
+                    won.add(p)
+    for p in won:
+        want[following[p][1], following[p][2]] += 1
+    asked, got = sum(budgets[p] for p in supply), sum(tokens[d] * n for (d, _), n in want.items())
+    assert got <= asked
     mixed = mix_documents(odd, levels(), share=share, max_epochs=epochs)
     assert mixed.columns == [*odd.columns, EPOCH]
     assert Counter((r.doc_id, r[EPOCH]) for r in mixed.select("doc_id", EPOCH).collect()) == want
 
 
+def test_mixture_meets_its_budget(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plain = [Level("lang", F.col("lang"), F.lit(1)), Level("source", F.col("source"), F.lit(1))]
+    counted = docs.withColumn("t", about_tokens(F.col("text")))
+    asked = int(counted.agg(F.sum("t")).first()[0] * 0.5)
+    mixed = mix_documents(counted, plain, share=0.5)
+    got = {r["lang"]: r.t for r in mixed.groupBy("lang").agg(F.sum("t").alias("t")).collect()}
+    assert 0.98 * asked < sum(got.values()) <= asked
+    assert all(abs(t - asked / len(got)) < 0.06 * asked for t in got.values())  # equal weights
+
+
 def jump(key, shards):
     at, to = -1, 0
     while to < shards:

@@ -73,6 +73,31 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[Level], total: int, max_epo
     return dealt.select(*names, "supply", "budget")
 
 
+def _settle(leaves: DataFrame, names: list[str]) -> DataFrame:
+    """Which leaves give one document more, as a column ``more``.
+
+    Whole documents rarely end where a budget does. What leaves lack (``shortage``) is pooled among siblings, and of these the ones whose
+    next document (``extra`` tokens, null without one) is shortest take it, as long as the pool pays for it. What is left
+    falls to the level above, whose nodes each offer their shortest next document, and so on up to the root.
+    """
+    leaves = leaves.withColumn("more", F.lit(False))
+    siblings = Window.partitionBy(*names[:-1]) if names[:-1] else Window.partitionBy(F.lit(0))
+    paid = F.sum("extra").over(siblings.orderBy("extra", names[-1])) <= F.sum("shortage").over(siblings)
+    leaves = leaves.withColumn("more", F.coalesce(F.col("extra").isNotNull() & paid, F.lit(False)))
+    for depth in range(len(names) - 2, -1, -1):
+        path, parent = names[: depth + 1], names[:depth]
+        offer = F.when(~F.col("more") & F.col("extra").isNotNull(), F.struct("extra", *names[depth + 1 :]))
+        nodes = leaves.groupBy(*path).agg(
+            F.sum(F.col("shortage") - F.when(F.col("more"), F.col("extra")).otherwise(0)).alias("pool"), F.min(offer).alias("offer")
+        )
+        over = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))  # one row for each child of a node
+        paid = F.sum("offer.extra").over(over.orderBy("offer.extra", *path[-1:])) <= F.sum("pool").over(over)
+        won = nodes.withColumn("paid", paid).filter("offer IS NOT NULL AND paid")
+        won = won.select(*path, *(F.col(f"offer.{n}").alias(n) for n in names[depth + 1 :]), F.lit(True).alias("won"))
+        leaves = leaves.join(won, names, "left").withColumn("more", F.col("more") | F.coalesce("won", F.lit(False))).drop("won")
+    return leaves
+
+
 def mix_documents(
     docs: DataFrame,
     levels: Sequence[Level],
@@ -88,7 +113,8 @@ def mix_documents(
 
     The total budget is ``share`` of all tokens. A leaf whose budget is ``e`` times
     its supply and more gives ``e`` whole epochs, and of the next one the longest
-    prefix of whole documents within the rest. An epoch's order is that of a digest
+    prefix of whole documents within the rest; what these lack of the rest pays for the next document of
+    a sibling, then of the level above (see ``_settle``), and no leaf goes beyond ``max_epochs``. An epoch's order is that of a digest
     of seed, epoch and id, so rows that repeat an id come together. Null names are
     the empty string, null ids share one place, a null text has one token (its end),
     a node of weight 0 gives nothing, an empty table gives no rows.
@@ -119,14 +145,23 @@ def mix_documents(
         .select(*names, F.col(f"last.{_CHUNK}").alias(_CHUNK), F.col("last.before").alias("before"))
     )
     inside = Window.partitionBy(*names, _CHUNK).orderBy(_KEY)  # equal keys count together
+    fits = F.col("through") <= F.col("rest")
     ends = (
         keyed.join(last, [*names, _CHUNK])
         .withColumn("through", F.col("before") + F.sum(_TOKENS).over(inside))
         .groupBy(*names, _CHUNK)
-        .agg(F.max(F.when(F.col("through") <= F.col("rest"), F.col(_KEY))).alias("cut"))
-        .select(*names, F.coalesce("cut", _CHUNK).alias("cut"))
+        .agg(
+            F.max(F.when(fits, F.col(_KEY))).alias("cut"),
+            F.coalesce(F.max(F.when(fits, F.col("through"))), F.first("before")).alias("given"),
+            F.min(F.when(~fits, F.struct("through", _KEY))).alias("next"),
+        )
+        .select(*names, F.coalesce("cut", _CHUNK).alias("cut"), "given", "next")
     )
-    plan = written(plan.join(ends, names, "left").select(*names, "whole", F.coalesce("cut", F.lit("")).alias("cut")), "cuts")
+    plan = plan.join(ends, names, "left").withColumn("shortage", F.coalesce(F.col("rest") - F.col("given"), F.lit(0)))
+    plan = plan.withColumn("extra", F.when(F.col("whole") < max_epochs, F.col("next.through") - F.col("given")))
+    plan = _settle(written(plan, "ends"), names)
+    cut = F.when(F.col("more"), F.col(f"next.{_KEY}")).otherwise(F.coalesce("cut", F.lit("")))
+    plan = written(plan.select(*names, "whole", cut.alias("cut")), "cuts")
 
     taken = docs.select("*", *leaf).join(plan, names)
     copies = F.col("whole") + (key_of(F.col("whole")) <= F.col("cut")).cast("int")

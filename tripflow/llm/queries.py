@@ -252,9 +252,37 @@ plan AS (SELECT m, l, s, budget // supply AS whole, budget % supply AS rest FROM
 placed AS (
   SELECT d.*, whole, rest, sum(tokens) OVER (PARTITION BY m, l, s ORDER BY md5('{MIX_SEED}:' || whole || ':' || doc_id)) AS through
   FROM d JOIN plan USING (m, l, s)
+),
+lacks AS (  -- what whole documents leave of a leaf's rest, and how long its next one is
+  SELECT m, l, s, any_value(rest) - coalesce(max(through) FILTER (through <= rest), 0) AS lack,
+         if(any_value(whole) < {MIX_EPOCHS}, min(through) FILTER (through > rest) - coalesce(max(through) FILTER (through <= rest), 0), NULL) AS extra
+  FROM placed GROUP BY ALL
+),
+by_source AS (
+  SELECT *, coalesce(sum(extra) OVER (PARTITION BY m, l ORDER BY extra, s) <= sum(lack) OVER (PARTITION BY m, l) AND extra IS NOT NULL, FALSE) AS won FROM lacks
+),
+langs AS (
+  SELECT m, l, sum(lack - if(won, extra, 0)) AS pool, min((extra, s)) FILTER (NOT won AND extra IS NOT NULL) AS offer FROM by_source GROUP BY ALL
+),
+lang_won AS (
+  SELECT m, l, offer[2] AS s FROM langs WHERE offer IS NOT NULL
+  QUALIFY sum(offer[1]) OVER (PARTITION BY m ORDER BY offer[1], l) <= (SELECT sum(pool) FROM langs AS all_langs WHERE all_langs.m = langs.m)
+),
+by_lang AS (SELECT * REPLACE (won OR (m, l, s) IN (SELECT m, l, s FROM lang_won) AS won) FROM by_source),
+domains AS (
+  SELECT m, sum(lack - if(won, extra, 0)) AS pool, min((extra, l, s)) FILTER (NOT won AND extra IS NOT NULL) AS offer FROM by_lang GROUP BY ALL
+),
+domain_won AS (
+  SELECT m, offer[2] AS l, offer[3] AS s FROM domains WHERE offer IS NOT NULL
+  QUALIFY sum(offer[1]) OVER (ORDER BY offer[1], m) <= (SELECT sum(pool) FROM domains)
+),
+settled AS (SELECT * REPLACE (won OR (m, l, s) IN (SELECT m, l, s FROM domain_won) AS won) FROM by_lang),
+ends AS (
+  SELECT placed.*, won AND through = min(through) FILTER (through > rest) OVER (PARTITION BY m, l, s) AS next
+  FROM placed JOIN settled USING (m, l, s)
 )
-SELECT doc_id, lang, source, tokens, unnest(range(whole + (through <= rest)::INT))::BIGINT AS epoch
-FROM placed
+SELECT doc_id, lang, source, tokens, unnest(range(whole + (through <= rest OR next)::INT))::BIGINT AS epoch
+FROM ends
 """
 
 
