@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tripflow.llm import jaccard_join
 from tripflow.llm.exact_dedup import drop_exact_copies, exact_groups
 from tripflow.llm.jaccard_join import Similarity, connected, drop_near_copies, jaccard_components
-from tripflow.llm.mixing import EPOCH, Level, about_tokens, mix_documents
+from tripflow.llm.mixing import EPOCH, Level, about_tokens, leaf_budgets, mix_documents
 from tripflow.llm.packing import difference, pack_documents, windows_for
 from tripflow.llm.pii import find_personal_data
 from tripflow.llm.quality import SCORE, fit_quality, train_network
@@ -344,14 +344,16 @@ def test_mixture(odd, odd_rows, share, epochs):
 
 
 def test_mixture_meets_its_budget(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     plain = [Level("lang", F.col("lang"), F.lit(1)), Level("source", F.col("source"), F.lit(1))]
     counted = docs.withColumn("t", about_tokens(F.col("text")))
     asked = int(counted.agg(F.sum("t")).first()[0] * 0.5)
     mixed = mix_documents(counted, plain, share=0.5)
     got = {r["lang"]: r.t for r in mixed.groupBy("lang").agg(F.sum("t").alias("t")).collect()}
     assert 0.98 * asked < sum(got.values()) <= asked
-    assert all(abs(t - asked / len(got)) < 0.06 * asked for t in got.values())  # equal weights
+    leaves = counted.groupBy(F.col("lang").alias("__mix_lang"), F.col("source").alias("__mix_source")).agg(F.sum("t").alias("supply"))
+    budgets = leaf_budgets(leaves, plain, asked, 1).groupBy("__mix_lang").agg(F.sum("budget").alias("budget")).collect()
+    assert len(budgets) == len(got) and all(abs(got[r[0]] - r.budget) < 0.02 * asked for r in budgets)
 
 
 def jump(key, shards):
