@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.shared import Tables
+from tripflow.llm.shared import Tables, tidy
 from tripflow.llm.shingles import CLASS_BITS, HASH_BITS, Counts, magnitudes, shingle_sets, word_hashes
 from tripflow.llm.tokenizing import runs
 from tripflow.llm.words import mix
@@ -36,6 +36,7 @@ from tripflow.llm.words import mix
 ORDERS = (21, 22, 23)  # seeds of the token orders
 FEW = 32  # a group of more nodes than this goes the way of stars and blocks
 BLOCK = 256  # nodes of a large group that meet in one task, on either side
+FILTER_BITS = 27  # as a power of two: the most bits of the filter of wanted ids, 16 MB
 CLASSES = 64  # token classes whose counts a set carries
 _FREQUENT_LOCALLY, _FREQUENT_KEPT = 4, 100_000
 
@@ -87,6 +88,7 @@ def common_parts(docs: DataFrame, words: int, tables: Tables) -> Common:
     ranks as rare. That makes the bound on the tables harmless.
     """
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[list, list] = ([], [])
         found: tuple[dict, dict] = ({}, {})
@@ -155,6 +157,7 @@ def _sets(docs: DataFrame, how: Similarity, common: Common) -> DataFrame:
     """doc_id, n, key (a digest of the set), its counts by token class, and its prefix under
     each order; later orders keep half of a token's rank, as they only filter."""
 
+    @tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in _texts(batch, 1):
@@ -187,27 +190,47 @@ def _sets(docs: DataFrame, how: Similarity, common: Common) -> DataFrame:
     return docs.mapInArrow(build, schema)
 
 
+def _id_filter(wanted: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits that are set at the hashes of the wanted ids, and how many bits there are: 16 an id, at most ``FILTER_BITS``.
+    With more ids the filter lets more texts through, which the join after it sorts out."""
+    bits = 1 << min(FILTER_BITS, max(15, (16 * wanted.count()).bit_length()))
+    at = _filter_place(F.col("rep"), bits) + 1
+    rows = wanted.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    for row in rows.collect():  # at most bits / 2**15 rows of 4 KB
+        begin = (row["bucket"] - 1) * 4096
+        out[begin : begin + 4096] = np.frombuffer(row["bits"], np.uint8)
+    return out, bits
+
+
+def _filter_place(doc_id: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(bits))
+
+
 def _tokens(docs: DataFrame, wanted: DataFrame, how: Similarity, common: Common) -> DataFrame:
     """ref and tokens (ascending 64-bit hashes) of the wanted nodes, from the text of one document of
     each. Where an id repeats, ``mark`` tells the node's text from others; rows that repeat give the
-    node more than once, which adds no link."""
+    node more than once, which adds no link. Texts do not move: sets are made where they are read, of those documents
+    that a filter of bounded size lets through."""
+    held, bits = _id_filter(wanted)
+    held = docs.sparkSession.sparkContext.broadcast(held)
 
+    @tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            place = batch.column(2).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array((held.value[place >> 3] >> (place & 7)) & 1 == 1))
             for a, b, texts in _texts(batch, 1):
                 h, ends = shingle_sets(texts, how.words, common.words)
-                sums = [np.concatenate(([np.uint64(0)], np.cumsum(mix(h, s)))) for s in (31, 32)]
-                digest = np.stack([(s[ends[1:]] - s[ends[:-1]]) for s in sums], axis=1).astype("<u8")
-                marks, refs = batch.column(2).slice(a, b - a).to_pylist(), batch.column(0).slice(a, b - a).to_pylist()
-                own = digest[:, 0].astype(">u8").view(np.int64)
-                rows = [(ref, h[s:e].tobytes()) for ref, mark, k, s, e in zip(refs, marks, own, ends[:-1], ends[1:]) if k == mark]
+                sums = np.concatenate(([np.uint64(0)], np.cumsum(mix(h, 31))))
+                own = (sums[ends[1:]] - sums[ends[:-1]]).astype("<u8").view(">i8").astype(np.int64)
+                rows = [(doc, k, h[s:e].tobytes()) for doc, k, s, e in zip(batch.column(0)[a:b].to_pylist(), own.tolist(), ends[:-1], ends[1:])]
                 for at in range(0, len(rows), 256):
-                    r, t = zip(*rows[at : at + 256])
-                    yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(t, pa.binary())], names=["ref", "tokens"])
+                    columns = zip(*rows[at : at + 256])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))], names=["rep", "mark", "tokens"])
 
-    # the planner broadcasts the ids if their table is small, else texts are dealt out by id
-    rows = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("ref", "text", "mark")
-    return rows.mapInArrow(build, "ref long, tokens binary")
+    some = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", _filter_place(F.col("doc_id"), bits).alias("place"))
+    return some.mapInArrow(build, "rep long, mark long, tokens binary").join(wanted, ["rep", "mark"]).select("ref", "tokens")
 
 
 def _linked(a: bytes, b: bytes, percent: int) -> bool:
@@ -217,6 +240,7 @@ def _linked(a: bytes, b: bytes, percent: int) -> bool:
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    @tidy
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, x, y = (c.to_pylist() for c in batch.columns)

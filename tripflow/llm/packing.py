@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.llm.shared import tidy
 from tripflow.llm.tokenizing import encoder, runs
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -143,6 +144,7 @@ def pack_documents(
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
+    @tidy
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer_path, end_id)
         packer = _Packer(TaskContext.get().partitionId(), capacity, piece, block_windows, fill)

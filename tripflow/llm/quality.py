@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from tripflow.llm.shared import tidy
 from tripflow.llm.tokenizing import runs
 from tripflow.llm.words import bytes_of, hashes, mix, stretches
 
@@ -64,6 +65,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     of fixed size, whatever the corpus.
     """
 
+    @tidy
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -82,6 +84,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             }
         )
 
+    @tidy
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, np.ndarray] = {}
         for batch in batches:
@@ -214,6 +217,7 @@ class QualityModel:
         at = docs.columns.index(text_col)
         model = self
 
+        @tidy
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = batch.column(at).fill_null("")
@@ -244,6 +248,7 @@ def fit_quality(
     rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     taught = rows.join(F.broadcast(chosen), "label_id").select("label_id", "label", "text")
 
+    @tidy
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in runs(batch.column(2)):

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.session import checkpoint_dir, scratch_path
@@ -41,3 +46,21 @@ class Tables:
         for name in names or list(self.paths):
             where = hadoop.Path(self.paths.pop(name))
             where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def tidy(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A task's function that gives the memory it no longer uses back to the system when it ends. The worker process
+    waits for other tasks, of later stages too, and would keep it."""
+
+    @functools.wraps(work)
+    def tidied(*args, **how):
+        try:
+            yield from work(*args, **how)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return tidied
