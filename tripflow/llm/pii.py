@@ -94,40 +94,57 @@ KINDS: tuple[Kind, ...] = (
 ACCOUNT = Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])", mod97, 0.8, ("iban", "account", "bank"))
 
 _CONTEXT_BEFORE, _CONTEXT_BONUS = 40, 0.2
+_TOGETHER = 256  # hits whose spans are gathered in one array before they join the others
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _score(kind: Kind, before: Column) -> Column:
+    near = F.lower(before)
+    hinted = F.lit(False)
+    for word in kind.context:
+        hinted = hinted | F.contains(near, F.lit(word))
+    return F.when(hinted, kind.score + _CONTEXT_BONUS).otherwise(F.lit(kind.score))
 
 
 def _spans(kind: Kind, text: Column, hits: Column) -> Column:
+    """(kind, start, end, score) of the confirmed hits.
+
+    One walk over the pieces between hits: it carries the place, and the characters before it that a score looks at, and
+    never goes back into the text. Spans gather in arrays of ``_TOGETHER``, so the work is in proportion to the hits.
+    """
     pieces = F.split(text, kind.pattern, -1)
-    none = F.array().cast("array<struct<start:int,end:int>>")
-
-    def step(state: Column, i: Column) -> Column:
-        hit = F.get(hits, i)
-        start = state["at"] + F.length(F.get(state["pieces"], i))
-        end = start + F.length(hit)
-        more = F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"))))
-        out = more if kind.confirm is None else F.when(kind.confirm(hit), more).otherwise(state["out"])
-        return F.struct(end.alias("at"), state["pieces"].alias("pieces"), out.alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), pieces.alias("pieces"), none.alias("out"))
-    found = F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), start, step, lambda state: state["out"])
-    return F.when(F.size(hits) > 0, found).otherwise(none)
-
-
-def _scored(kind: Kind, text: Column, spans: Column) -> Column:
-    def score(span: Column) -> Column:
-        begin = F.greatest(F.lit(0), span["start"] - _CONTEXT_BEFORE)
-        near = F.lower(F.substring(text, begin + 1, span["start"] - begin))
-        hinted = F.lit(False)
-        for word in kind.context:
-            hinted = hinted | F.contains(near, F.lit(word))
-        return F.struct(
-            F.lit(kind.name).alias("kind"),
-            span["start"].alias("start"),
-            span["end"].alias("end"),
-            F.when(hinted, kind.score + _CONTEXT_BONUS).otherwise(F.lit(kind.score)).alias("score"),
-        )
-
-    return F.transform(spans, score)
+    none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
+    ending = lambda text: F.substring(text, -_CONTEXT_BEFORE, _CONTEXT_BEFORE)
+
+    def step(state: Column, i: Column, pieces: Column) -> Column:
+        hit, piece = F.get(hits, i), F.get(pieces, i)
+
+        def place(known: Column) -> Column:
+            start, end = known["start"], known["start"] + F.length(hit)
+            span = lambda: F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), _score(kind, known["before"]).alias("score"))
+            more = F.concat(state["out"], F.array(span()))
+            out = more if kind.confirm is None else F.when(kind.confirm(hit), more).otherwise(state["out"])
+            return F.struct(end.alias("at"), ending(F.concat(known["before"], hit)).alias("before"), out.alias("out"))
+
+        here = F.struct((state["at"] + F.length(piece)).alias("start"), ending(F.concat(state["before"], piece)).alias("before"))
+        return _with(here, place)
+
+    def stretch(state: Column, first: Column, pieces: Column) -> Column:
+        start = F.struct(state["at"].alias("at"), state["before"].alias("before"), none.alias("out"))
+        each = F.sequence(first, F.least(first + _TOGETHER, F.size(hits)) - 1)
+        walked = F.aggregate(each, start, lambda inner, i: step(inner, i, pieces))
+        return _with(walked, lambda w: F.struct(w["at"].alias("at"), w["before"].alias("before"), F.concat(state["out"], F.array(w["out"])).alias("out")))
+
+    def walk(pieces: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.array().cast("array<array<struct<kind:string,start:int,end:int,score:double>>>").alias("out"))
+        firsts = F.sequence(F.lit(0), F.size(hits) - 1, F.lit(_TOGETHER))
+        return F.aggregate(firsts, start, lambda state, first: stretch(state, first, pieces), lambda state: F.flatten(state["out"]))
+
+    return F.when(F.size(hits) > 0, _with(pieces, walk)).otherwise(none)
 
 
 def find_personal_data(
@@ -137,13 +154,11 @@ def find_personal_data(
 
     Starts and ends are code points, the end exclusive. Spans come by kind as listed,
     then by start. A null text counts as empty and has no spans; null ids and rows
-    that repeat pass through; other columns are not read. Each row is worked on
+    that repeat pass through; other columns are not read; an empty table gives no rows. Each row is worked on
     alone: no shuffle, and no group meets in one task.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.select(
         "doc_id", "text", *(F.regexp_extract_all("text", F.lit(k.pattern), F.lit(0)).alias(f"hits_{k.name}") for k in kinds)
     )
-    text = F.col("text")
-    rows = rows.select("doc_id", "text", *(_spans(k, text, F.col(f"hits_{k.name}")).alias(f"found_{k.name}") for k in kinds))
-    return rows.select("doc_id", F.concat(*(_scored(k, text, F.col(f"found_{k.name}")) for k in kinds)).alias("spans"))
+    return rows.select("doc_id", F.concat(*(_spans(k, F.col("text"), F.col(f"hits_{k.name}")) for k in kinds)).alias("spans"))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.tokenizing import runs
+from tripflow.llm.words import bytes_of
 
 
 @dataclass(frozen=True)
@@ -159,10 +160,7 @@ class SegmentIndex:
 
     def build(self, texts: pa.StringArray) -> None:
         self.size = len(texts)
-        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
-        data = texts.buffers()[2]
-        raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)
-        ends = ends - ends[0]
+        raw, ends = bytes_of(texts)
         folded = _FOLD[raw].astype(np.uint32)
         found = self.table[(folded[:-2] << 16) | (folded[1:-1] << 8) | folded[2:]] if len(folded) > 2 else np.zeros(0, np.uint16)
         at = np.flatnonzero(found)

@@ -18,7 +18,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 def bytes_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     """The texts' bytes one after the other, and where each begins, with the end."""
-    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32  # of Spark's useLargeVarTypes, or not
+    ends = np.frombuffer(texts.buffers()[1], width)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, width)
     data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)
     return raw, (ends - ends[0]).astype(np.int64)
