@@ -258,8 +258,8 @@ def fit_quality(
                     names=["id", "label", "x"],
                 )
 
-    # as many rows as labels where ids are unique; repeated ids cannot go beyond twice that
-    got = taught.limit(2 * train_rows).mapInArrow(features, "id long, label int, x binary").collect()
-    got.sort(key=lambda r: (r["id"], r["label"], bytes(r["x"])))
+    # as many rows as labels where ids are unique; where they repeat, the first by id, label and features
+    made = taught.mapInArrow(features, "id long, label int, x binary")
+    got = made.orderBy("id", "label", "x").limit(2 * train_rows).collect()
     x = np.array([np.frombuffer(r["x"], "<f4") for r in got], np.float32).reshape(-1, POOLED)
     return QualityModel(vectors, train_network(x, np.array([r["label"] for r in got])))
