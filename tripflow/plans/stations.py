@@ -13,6 +13,7 @@ from tripflow.operators.spatial import points_in_areas
 from tripflow.sinks.writers import save_with_schema
 from tripflow.sources.feeds import read_area_features, read_station_feed
 
+# The columns of the station table
 STATION_SCHEMA = StructType(
     [
         StructField("station_id", StringType()),

@@ -12,7 +12,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-# Trip file columns in canonical order, with their target types. Coordinates
+# Trip file columns in canonical order, with their target types. Coordinates
 # are double: a float32 reading rounds into a different 3-decimal cell than the
 # same reading widened to double.
 TRIP_FIELDS = [
