@@ -274,3 +274,78 @@ def test_large_arrow_strings_are_read_alike(spark, odd):
         found.append((secrets, Counter(tuple(r) for r in jaccard_components(odd, Similarity(3, 90)).collect())))
     spark.conf.set(setting, "false")
     assert found[0] == found[1] and all("assign" in s for _, s in found[0][0])
+
+
+def test_long_words_made_to_collide_differ():
+    import pyarrow as pa
+
+    from tripflow.llm.shingles import word_hashes
+
+    word = "a"
+    while len(word) < 4096:  # the Thue-Morse word and its mirror
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = pa.array([word, word.translate(str.maketrans("ab", "ba")), word])
+    one, two, again = word_hashes(texts)[0]
+    assert one != two and one == again
+
+
+# --- the classifier's features, in plain Python
+
+
+def _plain_words(text):
+    from tripflow.llm.quality import word_buckets
+
+    import pyarrow as pa
+
+    found = re.findall(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+", text.encode().replace(b"\x1c", b"!"))
+    return [int(word_buckets(pa.array([w.decode()]))[0][0]) for w in found]
+
+
+def test_word_vectors_and_pooling_equal_plain_python(spark):
+    import pyarrow as pa
+
+    from tripflow.llm.quality import BUCKETS, MARKS, SIZE, WINDOW, index_vectors, pooled, word_vectors
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["sea", "été", "12", "&&", "land", "ßx", "a1b"], k=rng.randint(0, 30))) for _ in range(40)] + ["", None, "one", "x" * 5000, "same same"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    got = word_vectors(docs)
+    places, signs = index_vectors()
+    sums = defaultdict(lambda: [0] * SIZE)
+    for text in texts:
+        words = _plain_words(text or "")
+        for n, word in enumerate(words):
+            for other in words[max(0, n - WINDOW) : n] + words[n + 1 : n + 1 + WINDOW]:
+                for k in range(MARKS):
+                    sums[word][places[other][k]] += signs[other][k]
+    own = np.zeros((BUCKETS, SIZE))
+    for word, total in sums.items():
+        norm = sum(x * x for x in total) ** 0.5
+        own[word] = [x / norm if norm else 0.0 for x in total]
+    assert np.allclose(got, own, atol=1e-6)
+    for text, features in zip(texts, pooled(pa.array([t or "" for t in texts]), got)):
+        vectors = [own[w] for w in _plain_words(text or "")]
+        if not vectors:
+            assert not features.any()
+            continue
+        mean = [sum(v[k] for v in vectors) / len(vectors) for k in range(SIZE)]
+        spread = [max(0.0, sum(v[k] ** 2 for v in vectors) / len(vectors) - mean[k] ** 2) ** 0.5 for k in range(SIZE)]
+        step = [sum(abs(b[k] - a[k]) for a, b in zip(vectors, vectors[1:])) / max(1, len(vectors) - 1) for k in range(SIZE)]
+        assert np.allclose(features, [*mean, *spread, *step], atol=2e-3)
+
+
+def test_temperature_has_the_least_loss_on_held_rows():
+    from tripflow.llm.quality import train_network
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 12))
+    y = (rng.random(600) < 1 / (1 + np.exp(-x[:, 0]))).astype(float)
+    net = train_network(x, y, epochs=15)
+    held = np.split(np.random.default_rng(11).permutation(600), [120])[0]
+
+    def loss(temperature):
+        p = 1 / (1 + np.exp(-net.logit(x[held]) / temperature))
+        return -np.mean(y[held] * np.log(p) + (1 - y[held]) * np.log(1 - p))
+
+    assert all(loss(net.temperature) <= loss(t) + 1e-12 for t in np.geomspace(0.25, 8, 61))
+    assert abs(net.score(x[held]).mean() - y[held].mean()) < 0.1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -13,6 +15,7 @@ BLANK[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+_LONG = 256  # bytes
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -74,4 +77,8 @@ def hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     up, down = _POWERS.get(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-    return mix((sums[end] - sums[begin]) * down[begin], 1) ^ mix((end - begin).astype(np.uint64), 2)
+    out = mix((sums[end] - sums[begin]) * down[begin], 1) ^ mix((end - begin).astype(np.uint64), 2)
+    # long stretches can be made to collide under any such sum
+    for n in np.flatnonzero(end - begin > _LONG).tolist():
+        out[n] = int.from_bytes(hashlib.blake2b(raw[begin[n] : end[n]].tobytes(), digest_size=8).digest(), "little")
+    return out
