@@ -48,7 +48,7 @@ class WordMemoEncoder:
     is reached. Words over ``max_word_chars`` are encoded anew each time.
     """
 
-    def __init__(self, path: str, end_id: int | None = None, max_words: int = 1_000_000, max_bytes: int = 100_000_000, max_word_chars: int = 48):
+    def __init__(self, path: str, end_id: int | None = None, max_words: int = 1_000_000, max_bytes: int = 64_000_000, max_word_chars: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
