@@ -2,14 +2,12 @@
 
 Written from the definitions of the results, not from any plan: the flow of a
 station is the sum over the sides of its trips, labels of hours, months and rates
-come from tables made of the fixed values, distances are computed once for each pair
+come from tables of values written out here, so that a wrong constant of the library shows, distances are computed once for each pair
 of positions. Views over the driver tables repeat ``sources.driver_tables``.
 """
 
 from __future__ import annotations
 
-from tripflow import constants as K
-
 STATIONS_V = """
 stations_v AS (
   SELECT CAST(n.n_nationkey AS VARCHAR) AS station_id,
@@ -73,8 +71,10 @@ weather_raw AS (
 )"""
 
 # what a missing-value code stands for is no reading
-_MEANS = ", ".join(f"avg(nullif({raw}::DOUBLE, {K.WEATHER_SENTINELS[raw]})) AS {out}" for raw, out in K.WEATHER_OUTPUTS.items())
-_PLACES = ", ".join(f"'{s}'" for s in K.WEATHER_STATIONS)
+_MEANS = """
+  avg(nullif(temp::DOUBLE, 9999.9)) AS temperature, avg(nullif(visib::DOUBLE, 999.9)) AS visibility, avg(nullif(wdsp::DOUBLE, 999.9)) AS wind_speed,
+  avg(nullif(gust::DOUBLE, 999.9)) AS wind_gust, avg(nullif(prcp::DOUBLE, 99.99)) AS precipitation, avg(nullif(sndp::DOUBLE, 999.9)) AS snow_depth"""
+_PLACES = "'725030', '744860'"
 
 WEATHER_V = f"""
 weather_v AS (
@@ -91,8 +91,8 @@ def _label_table(name: str, labels: dict[int, str]) -> str:
     return f"{name}(n, label) AS (VALUES " + ", ".join(f"({n}, '{v}')" for n, v in labels.items()) + ")"
 
 
-_HOURS = {h: K.TIME_OF_DAY_OTHER for h in range(24)} | {h: name for name, lo, hi in K.TIME_OF_DAY_BANDS for h in range(lo, hi + 1)}
-_MONTHS = {m: K.SEASON_OTHER for m in range(1, 13)} | {m: name for name, months in K.SEASON_MONTHS for m in months}
+_HOURS = {h: "Morning" if 5 <= h <= 11 else "Afternoon" if 12 <= h <= 16 else "Evening" if 17 <= h <= 20 else "Night" for h in range(24)}
+_MONTHS = {m: "Spring" if m in (3, 4, 5) else "Summer" if m in (6, 7, 8) else "Fall" if m in (9, 10, 11) else "Winter" for m in range(1, 13)}
 
 # every trip has two sides: it leaves a station on one day and reaches one on another or the same
 FLOW_V = """
@@ -106,7 +106,7 @@ flow AS (
   FROM sides WHERE place IS NOT NULL AND day IS NOT NULL GROUP BY ALL
 )"""
 
-RATES_V = f"""
+RATES_V = """
 rates AS (
   SELECT f.*, s.*, (left_here + came_here) / nullif(s.capacity, 0) AS rate, abs(came_here - left_here) / nullif(s.capacity, 0) AS stress
   FROM flow f JOIN stations_v s ON s.name = f.place
@@ -116,7 +116,7 @@ station_day AS (
   SELECT day AS trip_date, place AS station_name, borough, neighborhood, latitude, longitude, capacity,
          left_here::BIGINT AS trips_started, came_here::BIGINT AS trips_ended, (came_here - left_here)::BIGINT AS net_flow,
          rate AS trips_per_dock, stress AS flow_stress_score,
-         if(rate > {K.OVERUSED_ABOVE}, '{K.OVERUSED}', if(rate < {K.UNDERUSED_BELOW}, '{K.UNDERUSED}', '{K.EFFICIENT}')) AS utilization_status
+         if(rate > 15, 'Overused', if(rate < 6, 'Underused', 'Efficient')) AS utilization_status
   FROM rates
 )"""
 
@@ -127,7 +127,7 @@ def _great_circle_km(a: str, b: str) -> str:
     haversine = (
         half.format(f"{a}lat", f"{b}lat") + f" + cos(radians({a}lat)) * cos(radians({b}lat)) * " + half.format(f"{a}lon", f"{b}lon")
     )
-    return f"{2 * K.EARTH_RADIUS_M}::DOUBLE * asin(sqrt(least({haversine}, 1.0))) / 1000"
+    return f"{2 * 6371010.0}::DOUBLE * asin(sqrt(least({haversine}, 1.0))) / 1000"
 
 
 # a position belongs to the stations that it agrees with at three decimals
