@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.shared import tidy
-from tripflow.llm.tokenizing import encoder, runs
+from tripflow.llm.tokenizing import MEMO_BYTES, encoder, runs
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _PIECES = pa.schema(
@@ -125,6 +125,7 @@ def pack_documents(
     piece: int = 512,
     block_windows: int = 64,
     fill: float = 0.999,
+    memo_bytes: int = MEMO_BYTES,
 ) -> DataFrame:
     """Tokenises whole texts and packs them into sequences of at most ``capacity`` ids.
 
@@ -135,6 +136,8 @@ def pack_documents(
     piece: doc_id, start, length, doc_tokens, sequence_id, offset and the ids as
     little-endian unsigned 32-bit integers.
 
+    A worker remembers the ids of about ``memo_bytes`` of words.
+
     Every scan partition packs its own rows and holds one block of them, so nothing
     is shuffled and no group meets in one task; a partition's last block pads at
     most one window. Sequence ids carry the partition's number, so a task that runs
@@ -146,7 +149,7 @@ def pack_documents(
 
     @tidy
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(tokenizer_path, end_id)
+        tokens = encoder(tokenizer_path, end_id, memo_bytes)
         packer = _Packer(TaskContext.get().partitionId(), capacity, piece, block_windows, fill)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)

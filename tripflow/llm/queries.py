@@ -37,8 +37,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+OP1_MEMO_BYTES = 256_000_000
+
+
 def op1_pack_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
+    pieces = pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1, memo_bytes=OP1_MEMO_BYTES)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

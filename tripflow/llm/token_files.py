@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.tokenizing import encoder, runs
 
+_MEMO_BYTES = 256_000_000  # of words and their ids, about, in a worker that writes
 BLOCKS = (
     "shard int, block int, first_id long, last_id long, before long, doc_ids array<long>, n_tokens array<int>, "
     "offsets array<long>, payload binary, dictionary_sha256 string"
@@ -89,7 +90,7 @@ def write_token_files(
     spark.createDataFrame([(sha, width, dictionary)], _DICTIONARY).coalesce(1).write.parquet(f"{path}/dictionary")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(tokenizer_path, end_id)
+        tokens = encoder(tokenizer_path, end_id, _MEMO_BYTES)
         frames = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(dictionary))
         shard, block, before = TaskContext.get().partitionId(), 0, 0
         doc_ids: list[int | None] = []

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+MEMO_BYTES = 64_000_000
 # No apostrophe: the vocabularies split contractions off at it.
 CLOSING = '.,;:!?#$%&*()"-'
 
@@ -48,7 +49,7 @@ class WordMemoEncoder:
     is reached. Words over ``max_word_chars`` are encoded anew each time.
     """
 
-    def __init__(self, path: str, end_id: int | None = None, max_words: int = 1_000_000, max_bytes: int = 64_000_000, max_word_chars: int = 48):
+    def __init__(self, path: str, end_id: int | None = None, max_words: int = 2_000_000, max_bytes: int = MEMO_BYTES, max_word_chars: int = 48):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -176,10 +177,11 @@ class WordMemoEncoder:
         return all(x.isprintable() for x in lines)
 
 
-def encoder(path: str, end_id: int | None = None) -> WordMemoEncoder:
-    """The worker's encoder of this vocabulary; later tasks of the process reuse it."""
+def encoder(path: str, end_id: int | None = None, memo_bytes: int = MEMO_BYTES) -> WordMemoEncoder:
+    """The worker's encoder of this vocabulary, which may remember so much; later tasks of the process reuse it."""
     if (path, end_id) not in _ENCODERS:
         _ENCODERS[path, end_id] = WordMemoEncoder(path, end_id)
+    _ENCODERS[path, end_id].max_bytes = memo_bytes
     return _ENCODERS[path, end_id]
 
 
