@@ -17,7 +17,7 @@ def test_query(spark, name):
     if name not in ORACLE_SQL:
         return
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     own = con.sql(ORACLE_SQL[name])
     assert sorted(own.columns) == columns
