@@ -21,14 +21,21 @@ from tripflow.llm.quality import SCORE, fit_quality
 from tripflow.llm.queries import KEEP_SCORE, MIX_SEED, document_levels, table, vocabulary
 from tripflow.llm.shared import Tables
 
+# Documents are long rows: Arrow batches of thousands of them would take a task's memory several times over.
+BATCH_ROWS = 1000
 MIX_SHARE = 0.9  # of all tokens, each document at most once
 
 
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores ``KEEP_SCORE`` or more; it learns from the table ``labels``.
 
     Empty and very long texts get a score as any other, null ids too; they only lack a label to learn from. A score
     of exactly ``KEEP_SCORE`` stays. Without any label all documents have one score."""
+    _small_batches(spark)
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     return model.score(docs).filter(F.col(SCORE) >= KEEP_SCORE).select(*docs.columns)
 
@@ -42,6 +49,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 the one with the smallest id. Texts without words and
     null ids link with nothing and stay; rows of one id stay or go together."""
+    _small_batches(spark)
     return drop_near_copies(docs, Similarity(words=5, percent=80))
 
 
@@ -54,6 +62,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 token ids, one row per piece of a document. A text without tokens is one
     piece, its end id; a null id stays null; every row is packed once."""
+    _small_batches(spark)
     return pack_documents(docs, vocabulary("word_bpe_49k.json"), end_id=1)
 
 
