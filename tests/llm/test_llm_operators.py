@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on odd rows and on an empty table."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -21,6 +22,7 @@ from tripflow.llm.queries import vocabulary
 from tripflow.llm.secrets import BASE_RULES, scan_secrets, trigram_query
 from tripflow.llm.sharding import JUMP_MULTIPLIER, jump_shard, shard_documents
 from tripflow.llm.shared import Tables, shared_path
+from tripflow.llm.shingles import NO_COUNTS
 from tripflow.llm.token_files import read_token_files, write_token_files
 from tripflow.llm.tokenizing import WordMemoEncoder
 from tripflow.llm.topk_search import integer_components, search_block, top_k
@@ -408,3 +410,32 @@ def test_null_ids(spark):
     write_token_files(docs, path, vocabulary(BYTES))
     assert sorted(r.n_tokens for r in read_token_files(spark, path).collect())[0] == 1
     assert len(drop_near_copies(docs).collect()) == 3
+
+
+def test_jaccard_rows_are_dealt_once_by_slot(spark):
+    """What is joined after the token prefixes: groups as brute force finds them, from one exchange of the rows by slot; and
+    sets that carry the first order's prefix only."""
+    how = jaccard_join.Similarity(words=3, percent=90)
+    rows = [(ref, 10 + ref % 3, [ref % 4, 100 + ref]) for ref in range(60)] + [(60, 500, [0]), (61, 10, [999])]
+    nodes = spark.createDataFrame(rows, "ref long, n long, prefix array<long>")
+    tables = Tables(spark)
+    groups = jaccard_join._groups(nodes, how, tables)
+    range_of = {n: r for n, r in nodes.select("n", how.ranges(F.col("n")).alias("r")).distinct().collect()}
+    want = {}
+    for ref, n, prefix in rows:
+        for key in itertools.product(prefix, range_of[n]):
+            want.setdefault(key, set()).add((ref, n))
+    want = sorted(sorted(g) for g in want.values() if len(g) > 1)
+    found = {}
+    for r in groups.collect():
+        found.setdefault((r["slot"], r["c"], r["hub"], r["hub_n"]), set()).add((r["ref"], r["n"]))
+    assert sorted(sorted(g) for g in found.values()) == want
+    assert all(c == len(g) and (hub, hub_n) == min(g) for (_, c, hub, hub_n), g in found.items())
+    with_pairs = {(min(a, b), max(a, b)) for g in want for (a, n), (b, m) in itertools.permutations(g, 2) if 100 * min(n, m) >= 90 * max(n, m)}
+    pairs = jaccard_join._pairs(groups, how).distinct()
+    assert {tuple(r) for r in pairs.collect()} == with_pairs
+    groups.collect()
+    assert "ReusedExchange" in groups._jdf.queryExecution().executedPlan().toString()
+    sets = jaccard_join._sets(spark.createDataFrame([(1, "a b c d")], "doc_id long, text string"), how, jaccard_join.Common(NO_COUNTS, NO_COUNTS))
+    assert sets.columns == ["doc_id", "n", "key", "counts", "prefix"]
+    tables.drop()

@@ -154,8 +154,8 @@ def _list(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.ListArr
 
 
 def _sets(docs: DataFrame, how: Similarity, common: Common) -> DataFrame:
-    """doc_id, n, key (a digest of the set), its counts by token class, and its prefix under
-    each order; later orders keep half of a token's rank, as they only filter."""
+    """doc_id, n, key (a digest of the set), its counts by token class, and its prefix under the
+    first order. The prefixes under later orders are taken where a pair's whole sets meet."""
 
     @tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,28 +166,21 @@ def _sets(docs: DataFrame, how: Similarity, common: Common) -> DataFrame:
                 owner = np.repeat(np.arange(len(n)), n)
                 take = np.where(n > 0, how.prefix(n), 0)
                 prefix_ends = np.concatenate(([0], np.cumsum(take)))
-                columns = []
-                for k, seed in enumerate(ORDERS):
-                    rank = _rank(h, seed, common)
-                    order = np.lexsort((rank, owner))
-                    first = np.arange(len(h)) - ends[:-1][owner] < take[owner]
-                    chosen = rank[order][first]
-                    if k:
-                        columns.append(_list(mix(chosen).astype(np.uint32).view(np.int32), prefix_ends, pa.int32()))
-                    else:
-                        columns.append(_list(chosen.view(np.int64), prefix_ends, pa.int64()))
+                rank = _rank(h, ORDERS[0], common)
+                order = np.lexsort((rank, owner))
+                first = np.arange(len(h)) - ends[:-1][owner] < take[owner]
+                prefix = _list(rank[order][first].view(np.int64), prefix_ends, pa.int64())
                 sums = [np.concatenate(([np.uint64(0)], np.cumsum(mix(h, s)))) for s in (31, 32)]
                 digest = np.stack([(s[ends[1:]] - s[ends[:-1]]) for s in sums], axis=1).astype("<u8")
                 classes = owner * CLASSES + (mix(h, 41) % np.uint64(CLASSES)).astype(np.int64)
                 counts = np.minimum(np.bincount(classes, minlength=len(n) * CLASSES), 32_767)
-                columns.insert(0, _list(counts, np.arange(len(n) + 1) * CLASSES, pa.int16()))
+                counts = _list(counts, np.arange(len(n) + 1) * CLASSES, pa.int16())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array([d.tobytes() for d in digest], pa.binary()), *columns],
-                    names=["doc_id", "n", "key", "counts", "prefix", "second", "third"],
+                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array([d.tobytes() for d in digest], pa.binary()), counts, prefix],
+                    names=["doc_id", "n", "key", "counts", "prefix"],
                 )
 
-    schema = "doc_id long, n long, key binary, counts array<smallint>, prefix array<long>, second array<int>, third array<int>"
-    return docs.mapInArrow(build, schema)
+    return docs.mapInArrow(build, "doc_id long, n long, key binary, counts array<smallint>, prefix array<long>")
 
 
 def _id_filter(wanted: DataFrame) -> tuple[np.ndarray, int]:
@@ -233,26 +226,59 @@ def _tokens(docs: DataFrame, wanted: DataFrame, how: Similarity, common: Common)
     return some.mapInArrow(build, "rep long, mark long, tokens binary").join(wanted, ["rep", "mark"]).select("ref", "tokens")
 
 
-def _linked(a: bytes, b: bytes, percent: int) -> bool:
+def _heads(tokens: np.ndarray, how: Similarity, common: Common) -> list[np.ndarray]:
+    """A set's prefix under each order after the first."""
+    take = how.prefix(len(tokens))
+    return [np.sort(_rank(tokens, seed, common))[:take] for seed in ORDERS[1:]]
+
+
+def _linked(a: bytes, b: bytes, how: Similarity, common: Common) -> bool:
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if not all(len(np.intersect1d(p, q)) for p, q in zip(_heads(x, how, common), _heads(y, how, common))):
+        return False
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= percent * (len(x) + len(y) - both)
+    return 100 * both >= how.percent * (len(x) + len(y) - both)
+
 
+def _verified(pairs: DataFrame, tokens: DataFrame, how: Similarity, common: Common) -> DataFrame:
+    """Of the pairs, those that share a token of their prefixes under the later orders too and are alike enough."""
 
-def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     @tidy
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, x, y = (c.to_pylist() for c in batch.columns)
-            keep = [i for i in range(len(a)) if _linked(x[i], y[i], percent)]
+            keep = [i for i in range(len(a)) if _linked(x[i], y[i], how, common)]
             yield pa.RecordBatch.from_pydict({"a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64())})
 
-    return (
-        pairs.join(tokens.toDF("a", "tokens_a"), "a")
-        .join(tokens.toDF("b", "tokens_b"), "b")
-        .select("a", "b", "tokens_a", "tokens_b")
-        .mapInArrow(verify, "a long, b long")
-    )
+    # both joins read the same columns under the same names of the same exchange, so Spark deals the sets once
+    tokens = tokens.repartition("ref")
+    first = pairs.join(tokens, F.col("a") == F.col("ref")).select("a", "b", F.col("tokens").alias("tokens_a"))
+    both = first.join(tokens, F.col("b") == F.col("ref")).select("a", "b", "tokens_a", "tokens")
+    return both.mapInArrow(verify, "a long, b long")
+
+
+def _groups(nodes: DataFrame, how: Similarity, tables: Tables) -> DataFrame:
+    """slot, ref, n of the nodes that share a prefix token and a range of sizes, beside their group's count c, its first
+    node ``hub`` of ``hub_n`` tokens and two marks of its nodes. A slot is the hash of token and range: should two
+    of them fall together, their nodes are compared in vain.
+
+    Rows are dealt by token, and those of shared tokens by slot; groups and their rows are read from the same exchange.
+    """
+    postings = nodes.select("ref", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token")).repartition("token")
+    shared = postings.join(postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "token")
+    slots = shared.select(F.explode(how.ranges(F.col("n"))).alias("size"), "token", "ref", "n")
+    postings = tables.write(slots.select(F.xxhash64("token", "size").alias("slot"), "ref", "n"), "postings").repartition("slot")
+    marks = [F.bit_xor(F.xxhash64("ref", F.lit(seed))).alias(f"mark_{seed}") for seed in (1, 2)]
+    groups = postings.groupBy("slot").agg(F.count(F.lit(1)).alias("c"), F.min("ref").alias("hub"), F.min_by("n", "ref").alias("hub_n"), *marks)
+    return postings.join(groups.filter("c > 1"), "slot")
+
+
+def _pairs(few: DataFrame, how: Similarity) -> DataFrame:
+    """a and b, the smaller ref first, of nodes that are together in a group of at most ``FEW`` and whose sizes permit a link."""
+    met = few.groupBy("slot").agg(F.collect_list(F.struct("ref", "n")).alias("x"))
+    met = met.select(F.explode("x").alias("x"), F.col("x").alias("ys")).select("x", F.explode("ys").alias("y"))
+    met = met.filter((F.col("x.ref") < F.col("y.ref")) & how.sizes(F.col("x.n"), F.col("y.n")))
+    return met.select(F.col("x.ref").alias("a"), F.col("y.ref").alias("b"))
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -371,33 +397,20 @@ def _components(docs: DataFrame, how: Similarity, id_col: str, text_col: str, ta
     nodes = tables.write(
         sets.filter("n > 0 AND doc_id IS NOT NULL")
         .groupBy("key")
-        .agg(F.min("doc_id").alias("rep"), F.first(F.struct("n", "counts", "prefix", "second", "third")).alias("set"))
+        .agg(F.min("doc_id").alias("rep"), F.first(F.struct("n", "counts", "prefix")).alias("set"))
         .select(F.monotonically_increasing_id().alias("ref"), "key", "rep", "set.*"),
         "nodes",
     )
-    postings = nodes.select("ref", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token"))
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token")
-    postings = postings.join(shared, "token").withColumn("size", F.explode(how.ranges(F.col("n"))))
-    postings = tables.write(postings, "postings")
-    marks = [F.bit_xor(F.xxhash64("ref", F.lit(seed))).alias(f"mark_{seed}") for seed in (1, 2)]
-    groups = postings.groupBy("token", "size").agg(
-        F.count(F.lit(1)).alias("c"), F.min("ref").alias("hub"), F.min_by("n", "ref").alias("hub_n"), *marks
-    )
+    groups = tables.write(_groups(nodes, how, tables), "groups")
+    tables.drop("postings")
     # a passage gives one large group of the same nodes for each of its shingles: one of them is compared
     same = ["c", "hub", "hub_n", "mark_1", "mark_2"]
-    large = groups.filter(F.col("c") > FEW).groupBy(*same).agg(F.min(F.struct("token", "size")).alias("first")).select("first.*", *same)
-    kept = groups.filter((F.col("c") > 1) & (F.col("c") <= FEW)).unionByName(large).drop("mark_1", "mark_2")
-    postings = tables.write(postings.join(kept, ["token", "size"]), "groups")
-    tables.drop("postings")
+    many = groups.filter((F.col("c") > FEW) & (F.col("ref") == F.col("hub"))).groupBy(*same).agg(F.min("slot").alias("slot")).select("slot")
+    many = groups.filter(F.col("c") > FEW).select("slot", "ref", "n", "hub", "hub_n").join(many, "slot", "left_semi")
+    many = tables.write(many, "many")
 
-    few = postings.filter(F.col("c") <= FEW).select("token", "size", "ref", "n")
-    other = few.toDF("token", "size", "ref_b", "n_b")
-    same = (few["token"] == other["token"]) & (few["size"] == other["size"])
-    pairs = few.join(other, same & (few["ref"] < other["ref_b"]) & how.sizes(few["n"], other["n_b"]))
-    pairs = pairs.select(few["ref"].alias("a"), F.col("ref_b").alias("b"))
-    many = postings.filter(F.col("c") > FEW).select("token", "size", "ref", "n", "hub", "hub_n")
     star = many.filter((F.col("ref") != F.col("hub")) & how.sizes(F.col("n"), F.col("hub_n"))).select(F.col("hub").alias("a"), F.col("ref").alias("b"))
-    pairs = pairs.unionByName(star).distinct()
+    pairs = _pairs(groups.filter(F.col("c") <= FEW), how).unionByName(star).distinct()
     counts = nodes.select("ref", F.col("n").cast("int").alias("n"), "counts")
     pairs = (
         pairs.join(counts.toDF("a", "n_a", "counts_a"), "a")
@@ -405,16 +418,8 @@ def _components(docs: DataFrame, how: Similarity, id_col: str, text_col: str, ta
         .filter(~how.apart(F.col("counts_a"), F.col("counts_b"), F.col("n_a") + F.col("n_b")))
         .select("a", "b")
     )
-    pairs = tables.write(pairs, "near-pairs")
-    heads = nodes.select("ref", "second", "third")
-    pairs = (
-        pairs.join(heads.toDF("a", "second_a", "third_a"), "a")
-        .join(heads.toDF("b", "second_b", "third_b"), "b")
-        .filter(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
-        .select("a", "b")
-    )
     pairs = tables.write(pairs, "pairs")
-    tables.drop("near-pairs")
+    tables.drop("groups")
 
     wanted = (
         pairs.select(F.col("a").alias("ref")).unionByName(pairs.select(F.col("b").alias("ref"))).unionByName(many.select("ref")).distinct()
@@ -424,29 +429,29 @@ def _components(docs: DataFrame, how: Similarity, id_col: str, text_col: str, ta
     mark = F.shiftleft(high, 32).bitwiseOR(low).alias("mark")
     wanted = tables.write(nodes.select("ref", "rep", mark).join(wanted, "ref"), "wanted")
     tokens = tables.write(_tokens(docs, wanted, how, common), "tokens")
-    links = tables.write(_verified(pairs, tokens, how.percent), "links")
+    links = tables.write(_verified(pairs, tokens, how, common), "links")
     tables.drop("pairs", "wanted")
 
     # of a large group: those its hub is linked to, and the others, which still have to meet everyone
     tied = links.select(F.col("a").alias("hub"), F.col("b").alias("ref"), F.lit(True).alias("tied"))
     many = many.join(tied, ["hub", "ref"], "left").withColumn("tied", F.coalesce("tied", F.col("hub") == F.col("ref")))
-    group = ["token", "size"]
-    loose = many.groupBy(*group).agg(F.count_if(~F.col("tied")).alias("loose"), F.count(F.lit(1)).alias("all"))
-    many = many.join(loose.filter("loose > 0"), group)
+    loose = many.groupBy("slot").agg(F.count_if(~F.col("tied")).alias("loose"), F.count(F.lit(1)).alias("all"))
+    many = many.join(loose.filter("loose > 0"), "slot")
     loose_blocks = F.ceil(F.col("loose") / BLOCK).cast("int")
     tied_blocks = F.ceil((F.col("all") - F.col("loose")) / BLOCK).cast("int")
-    own = F.when(F.col("tied"), loose_blocks + F.pmod(F.xxhash64("ref"), tied_blocks)).otherwise(F.pmod(F.xxhash64("ref"), loose_blocks)).cast("int")
+    whole = F.col("all") <= BLOCK  # such a group is one block, and each of its sets moves once
+    own = F.when(whole, 0).when(F.col("tied"), loose_blocks + F.pmod(F.xxhash64("ref"), tied_blocks)).otherwise(F.pmod(F.xxhash64("ref"), loose_blocks)).cast("int")
     # loose blocks come first; a tied block meets loose ones only
-    partners = F.when(F.col("tied"), F.sequence(F.lit(0), loose_blocks - 1)).otherwise(F.sequence(F.lit(0), loose_blocks + tied_blocks - 1))
-    met = many.select(*group, "ref", own.alias("side"), F.explode(partners).alias("partner"))
-    met = met.select(*group, F.least("side", "partner").alias("one"), F.greatest("side", "partner").alias("two"), "side", "ref")
+    partners = F.when(whole, F.array(F.lit(0))).when(F.col("tied"), F.sequence(F.lit(0), loose_blocks - 1)).otherwise(F.sequence(F.lit(0), loose_blocks + tied_blocks - 1))
+    met = many.select("slot", "ref", own.alias("side"), F.explode(partners).alias("partner"))
+    met = met.select("slot", F.least("side", "partner").alias("one"), F.greatest("side", "partner").alias("two"), "side", "ref")
 
     def block(table: pa.Table) -> pa.Table:
         return _block_links(table, how, common)
 
-    more = met.join(tokens, "ref").groupBy(*group, "one", "two").applyInArrow(block, "a long, b long")
+    more = met.join(tokens, "ref").groupBy("slot", "one", "two").applyInArrow(block, "a long, b long")
     roots = connected(links.unionByName(more), tables)
-    tables.drop("groups", "tokens", "links")
+    tables.drop("many", "tokens", "links")
     lowest = roots.join(nodes.select("ref", "rep"), "ref")
     lowest = lowest.join(lowest.groupBy("root").agg(F.min("rep").alias("low")), "root").select("ref", "low")
     named = nodes.select("ref", "key", "rep").join(lowest, "ref", "left").select("key", F.coalesce("low", "rep").alias("component"))
