@@ -1,14 +1,17 @@
 import datetime as dt
 import json
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from tripflow.operators.cleaning import clean_trips
+from tripflow.plans import ingest
 from tripflow.plans.ingest import ingest_trip_files
 from tripflow.plans.stations import station_dimension
 from tripflow.sinks.writers import register_table, save_with_schema, write_by_day, write_if_rows, write_partitioned
+from tripflow.sources import driver_tables, trip_files
 from tripflow.sources.feeds import read_area_features, read_station_feed
 from tripflow.sources.trip_files import canonical_names, file_report, read_trip_files
 from tripflow.sources.warehouse import table_has_rows
@@ -204,3 +207,59 @@ def test_generic_sources(spark, tmp_dir):
     assert read_source(spark, query="SELECT count(*) AS n FROM gsod_view").first().n == 9
     assert read_source(spark, table="gsod_view").count() == 9
     assert read_source(spark, path=f"{tmp_dir}/gsod").count() == 9
+
+
+def test_rows_of_files_that_hold_a_month_are_not_moved(spark, tmp_dir, monkeypatch):
+    """A store's files come from the landed ones, part by part; only months in many small files are gathered. The rows are the same."""
+    cells = "2015-03-01 10:00:00.250,2015-03-01 10:10:00.250,{},60"
+    for n in range(6):
+        for folder, month in (("few", n + 1), ("many", 3)):
+            os.makedirs(f"{tmp_dir}/{folder}", exist_ok=True)
+            with open(f"{tmp_dir}/{folder}/2015{month:02d}-{n}.csv", "w") as f:
+                f.write("\n".join(["starttime,stoptime,bikeid,tripduration", *(cells.format(10 * n + k) for k in range(3))]) + "\n")
+    moved = []
+    write = ingest.write_partitioned
+
+    def seen(df, path, **how):
+        moved.append(how["gather"])
+        return write(df, path, **how)
+
+    monkeypatch.setattr(ingest, "write_partitioned", seen)
+    for folder in ("few", "many"):
+        store = f"{tmp_dir}/{folder}-store"
+        assert ingest_trip_files(spark, f"{tmp_dir}/{folder}", store, ["starttime"]) == 18
+        rows = spark.read.parquet(store)
+        assert sorted(r[0] for r in rows.select("bikeid").collect()) == sorted(10 * n + k for n in range(6) for k in range(3))
+        assert rows.select("year_month").distinct().count() == (6 if folder == "few" else 1)
+    assert moved == [False, True]
+    monkeypatch.setattr(trip_files, "LARGE_FILE", 8)  # files of over 8 bytes are large
+    ingest_trip_files(spark, f"{tmp_dir}/many", f"{tmp_dir}/large-store", ["starttime"])
+    assert moved[2:] == [False] and spark.read.parquet(f"{tmp_dir}/large-store").count() == 18
+    publish = [ingest.ingest_report(spark, f"{tmp_dir}/few", f"{tmp_dir}/loads", ["starttime"], publish="few_trips").rows, spark.table("few_trips").count()]
+    assert publish == [18, 18]
+    spark.sql("DROP TABLE few_trips")
+
+
+def test_trips_by_month_move_as_keys(spark, tmp_dir):
+    """The trips that are landed as text: the same rows, dealt by month before names, places and texts are added."""
+    home = f"{tmp_dir}/tables"
+    day = dt.datetime(1996, 1, 31)
+    tables = {
+        "nation": [(0, "A", 0), (1, "B", 0)],
+        "customer": [(k, "c", k % 2, 0.0, "BUILDING" if k else None) for k in range(3)],
+        "supplier": [(k, "s", k % 2, 0.0) for k in range(2)],
+        "orders": [(k, k % 3, "O", 1.0, day, "1-URGENT") for k in range(8)],
+        "lineitem": [(k, 7 * k, k % 2, 1, 1.0, 1.0, 0.0, 0.0, "A", "F", None if k == 5 else day + dt.timedelta(days=20 * k)) for k in range(8)] * 2,
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, driver_tables.SCHEMAS[name]).write.parquet(f"{home}/{name}.parquet")
+    plain, by_month = driver_tables.trips_view(spark, home), driver_tables.trips_view(spark, home, by_month=True)
+    count = lambda df: Counter(df.collect())
+    assert count(by_month.drop("month")) == count(plain) and plain.count() == 16
+    plan = by_month._jdf.queryExecution().optimizedPlan().toString()
+    assert "n_name" not in plan[plan.index("RebalancePartitions") :].split("Relation")[0]
+    for name, trips in (("plain", plain), ("dealt", by_month)):
+        ingest.land_as_text(trips, f"{tmp_dir}/{name}")
+    texts = [sorted(spark.read.text(f"{tmp_dir}/{n}", recursiveFileLookup=True).distinct().collect()) for n in ("plain", "dealt")]
+    assert texts[0] == texts[1]
+    assert sorted(os.listdir(f"{tmp_dir}/plain/title")) == sorted(os.listdir(f"{tmp_dir}/dealt/title"))

@@ -12,7 +12,7 @@ from tripflow.operators.cleaning import MART_REQUIRED, clean_trips
 from tripflow.sinks.publish import publish_partitions
 from tripflow.sinks.writers import register_table, write_partitioned
 from tripflow.sources.schemas import TRIP_FIELDS
-from tripflow.sources.trip_files import EXTRA_CELLS, read_files, trip_files
+from tripflow.sources.trip_files import EXTRA_CELLS, in_small_files, read_files, trip_files
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,8 @@ def ingest_report(
 ) -> IngestReport:
     """Reads every trip file under ``landing`` (of ``months``, where given), cleans it and stores it by ``year_month``. Months
     present in the input replace those stored; other months stay. Without rows nothing is touched. One pass over
-    the lines: all counts come from the write itself.
+    the lines: all counts come from the write itself. A file holds rows of one month, so no row is moved, unless months
+    lie in many small files.
 
     With ``publish``, a table's name, each load is a new folder under ``store``, and each of its months is published in one
     step: readers of the table see the old or the new month. Else ``store`` is the store itself, where
@@ -53,10 +54,11 @@ def ingest_report(
     raw = read_files(spark, landing, files, month_from_folder=month_from_folder, on_unknown=on_unknown, months=months)
     seen = Observation()
     trips = clean_trips(raw, required, seen, EXTRA_CELLS)
+    gather = in_small_files(files, months)
     if publish is not None:
-        n = publish_partitions(trips, publish, store)
+        n = publish_partitions(trips, publish, store, gather=gather)
     else:
-        n = write_partitioned(trips, store)
+        n = write_partitioned(trips, store, gather=gather)
         if table is not None and n:
             register_table(spark, table, store)
     wanted = files if months is None else files.where(F.col("year_month").isin(*months))
@@ -83,20 +85,22 @@ def land_as_text(trips: DataFrame, landing: str) -> None:
     lower-case headers and ISO times carrying fractional seconds, odd months
     with title-case headers, the columns in reverse order and US times without
     seconds. Folder names carry the month (``month=YYYYMM-x``). One write, so the
-    trips are computed once for each layout's files only."""
-    month = F.date_format("starttime", "yyyyMM")
+    trips are computed once for each layout's files only. Rows that have a ``month`` (``YYYYMM``) are
+    dealt by it already; others are dealt here, before they are text."""
+    if "month" not in trips.columns:
+        # one task per month folder (AQE splits a heavy month), not every task into every folder
+        trips = trips.withColumn("month", F.date_format("starttime", "yyyyMM")).hint("rebalance", "month")
     even = F.month("starttime") % 2 == 0
     iso = lambda c: F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit(".250"))
     us = lambda c: F.date_format(c, "M/d/yyyy H:mm")
     names = [f.name for f in TRIP_FIELDS]
     text = lambda c, time: time(c) if c in ("starttime", "stoptime") else F.col(c).cast("string")
-    lower = trips.where(even).select(*[text(c, iso).alias(c) for c in names], F.concat(month, F.lit("-a")).alias("month"))
-    title = trips.where(~even).select(
-        *[text(c, us).alias(title_header(c)) for c in reversed(names)], F.concat(month, F.lit("-b")).alias("month")
-    )
-    for part, df in (("lower", lower), ("title", title)):
-        # one task per month folder (AQE splits a heavy month), not every task into every folder
-        df.hint("rebalance", "month").write.mode("overwrite").option("header", True).partitionBy("month").csv(f"{landing}/{part}")
+    lower = [text(c, iso).alias(c) for c in names]
+    title = [text(c, us).alias(title_header(c)) for c in reversed(names)]
+    for part, own, suffix, columns in (("lower", even, "-a", lower), ("title", ~even, "-b", title)):
+        # the writer wants rows by folder; sorting them before they are text takes less memory
+        df = trips.where(own).withColumn("month", F.concat("month", F.lit(suffix))).sortWithinPartitions("month")
+        df.select(*columns, "month").write.mode("overwrite").option("header", True).partitionBy("month").csv(f"{landing}/{part}")
 
 
 def header_examples(orders: DataFrame, landing: str) -> None:

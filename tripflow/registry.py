@@ -157,7 +157,7 @@ def q_numeric_coerce(spark, sf_dir):
 def q_trip_file_ingest(spark, sf_dir):
     """Trips rendered to monthly text files in two layouts and ingested back: every stored column."""
     landing, store = scratch_path(spark, "landing"), scratch_path(spark, "trip-store")
-    land_as_text(dt.trips_view(spark, sf_dir), landing)
+    land_as_text(dt.trips_view(spark, sf_dir, by_month=True), landing)
     ingest_trip_files(spark, landing, store, month_from_folder=True)
     return spark.read.parquet(store)
 

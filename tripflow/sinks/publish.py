@@ -41,16 +41,17 @@ def _columns(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def stage(df: DataFrame, root: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> tuple[str, int]:
+def stage(df: DataFrame, root: str, partition_by: Sequence[str] = (), fmt: str = "parquet", gather: bool = True) -> tuple[str, int]:
     """Writes ``df`` to a fresh folder under ``root`` and returns the folder and the rows in it.
 
     One pass: the rows are counted while they are written. With ``partition_by``, rows of a value go to
-    few tasks (AQE splits a heavy one). A failed write leaves no folder.
+    few tasks (AQE splits a heavy one), unless ``gather`` is False: for an input whose tasks hold few values each. A failed
+    write leaves no folder.
     """
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/{_LOAD}{int(time.time())}-{uuid.uuid4().hex[:12]}"
     seen = Observation()
-    out = df.hint("rebalance", *partition_by) if partition_by else df
+    out = df.hint("rebalance", *partition_by) if partition_by and gather else df
     try:
         out.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).partitionBy(*partition_by).save(folder)
     except BaseException:
@@ -99,9 +100,10 @@ def _spec(path: str) -> str:
 
 
 def publish_partitions(
-    df: DataFrame, table: str, root: str, partition_by: Sequence[str] = ("year_month",), fmt: str = "parquet"
+    df: DataFrame, table: str, root: str, partition_by: Sequence[str] = ("year_month",), fmt: str = "parquet", gather: bool = True
 ) -> int:
     """Replaces those partitions of ``table`` that ``df`` has rows for, each in one catalog step; others stay. Returns the rows written.
+    ``gather`` is :func:`stage`'s.
 
     A reader has the old or the new rows of a partition. Several partitions change one after the other.
     """
@@ -111,7 +113,7 @@ def publish_partitions(
     exists = spark.catalog.tableExists(table)
     if exists and _columns(spark.table(table).schema) != _columns(df.schema):
         raise ValueError(f"{table} has the columns {_columns(spark.table(table).schema)}, the load {_columns(df.schema)}")
-    folder, n = stage(df, root, partition_by, fmt)
+    folder, n = stage(df, root, partition_by, fmt, gather)
     if n == 0:
         remove(spark, folder)
         return 0

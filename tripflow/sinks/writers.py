@@ -28,15 +28,16 @@ from tripflow.sinks.publish import home_of, home_of_path, remove, stage
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: Sequence[str] = ("year_month",), fmt: str = "parquet"
+    df: DataFrame, path: str, partition_by: Sequence[str] = ("year_month",), fmt: str = "parquet", gather: bool = True
 ) -> int:
-    """Returns the rows written, counted while they are; an empty input touches no folder."""
+    """Returns the rows written, counted while they are; an empty input touches no folder. ``gather=False`` moves no rows: for an
+    input whose tasks hold few partition values each, as each writes a file for every value that it has."""
     seen = Observation()
     df = df.observe(seen, F.count(F.lit(1)).alias("n"))
     (
         # rows of a partition value go to one task (AQE splits a heavy one), so
         # each folder gets a few files instead of one per input task
-        df.hint("rebalance", *partition_by)
+        (df.hint("rebalance", *partition_by) if gather else df)
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

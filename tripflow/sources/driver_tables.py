@@ -92,8 +92,9 @@ def stations_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned trip table (canonical trip schema plus ``start_day``)."""
+def trips_view(spark: SparkSession, sf_dir: str, by_month: bool = False) -> DataFrame:
+    """Cleaned trip table (canonical trip schema plus ``start_day``). With ``by_month`` rows are dealt by the month of their
+    start (AQE splits a heavy one), a column ``month`` (``YYYYMM``); they move while they hold keys only."""
     li = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
     )
@@ -108,12 +109,18 @@ def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (
         li.join(buyers, li.l_orderkey == buyers.o_orderkey)
         .join(supplier, li.l_suppkey == supplier.s_suppkey)
-        .join(start_nation, F.col("s_nationkey") == F.col("s_nk"))
-        .join(end_nation, F.col("c_nationkey") == F.col("c_nk"))
     )
     offset_s = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 1440) * 60 + F.col("l_partkey") % 60
-    duration = ((F.col("l_partkey") * 31 + F.col("l_suppkey") * 17 + F.col("l_linenumber")) % 3600).cast("int")
     start = F.timestamp_add("SECOND", offset_s, F.col("l_shipdate"))
+    month = ["month"] if by_month else []
+    if by_month:
+        keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "s_suppkey", "s_nationkey", "c_custkey", "c_nationkey", "c_mktsegment"]
+        joined = joined.select(*keys, F.date_format(start, "yyyyMM").alias("month")).hint("rebalance", "month")
+    joined = (
+        joined.join(start_nation, F.col("s_nationkey") == F.col("s_nk"))
+        .join(end_nation, F.col("c_nationkey") == F.col("c_nk"))
+    )
+    duration = ((F.col("l_partkey") * 31 + F.col("l_suppkey") * 17 + F.col("l_linenumber")) % 3600).cast("int")
     s_jit = F.col("s_suppkey") % 5 - 2
     c_jit = F.col("c_custkey") % 5 - 2
     return joined.select(
@@ -134,6 +141,7 @@ def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_custkey") % 3).cast("string").alias("gender"),
         start.alias("start_date"),
         F.to_date(start).alias("start_day"),
+        *month,
     )
 
 

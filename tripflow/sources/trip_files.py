@@ -42,12 +42,14 @@ _FOLDER_MONTH = r"^(?:[^=]*=)?(\d{4})(\d{2})"
 _FILE = pa.schema(
     [("file", pa.string()), ("path", pa.string()), ("year_month", pa.string()), ("status", pa.string()), ("header", pa.string())]
     + [("extras", pa.list_(pa.string())), ("places", pa.list_(pa.int32())), ("extra_places", pa.list_(pa.int32())), ("width", pa.int32())]
+    + [("size", pa.int64())]
 )
 _FILE_DDL = (
     "file string, path string, year_month string, status string, header string, extras array<string>, "
-    "places array<int>, extra_places array<int>, width int"
+    "places array<int>, extra_places array<int>, width int, size long"
 )
 EXTRA_CELLS = "extra_cells"
+FEW_FILES, LARGE_FILE = 4, 32 << 20  # so few files of a month, or files of so many bytes, are stored one by one
 READ_ON = 16  # batches of a file that are passed over before its task stops
 
 
@@ -111,7 +113,7 @@ def look_at(file: str, header: str, synonyms: Mapping[str, str], month_from_fold
 
 def _lines(spark: SparkSession, root: str) -> DataFrame:
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", CSV_GLOB).text(root)
-    return text.select("value", F.col("_metadata.file_path").alias("file"))
+    return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
 
 
 def trip_files(
@@ -128,14 +130,14 @@ def trip_files(
     def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n, batch in enumerate(batches):
             if n == 0 and batch.num_rows:
-                header, file = batch["value"][0].as_py(), batch["file"][0].as_py()
-                yield pa.RecordBatch.from_pylist([look_at(file, header, known, month_from_folder)], _FILE)
+                header, file, size = (batch[c][0].as_py() for c in ("value", "file", "size"))
+                yield pa.RecordBatch.from_pylist([{**look_at(file, header, known, month_from_folder), "size": size}], _FILE)
             elif n == READ_ON:  # a worker that leaves input unread is not used again, which costs more than a short file
                 return
 
     # only the first line of each file leaves the JVM
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
-    heads = _lines(alone, root).select(*(F.when(first, F.col(c)).alias(c) for c in ("value", "file")))
+    heads = _lines(alone, root).select(*(F.when(first, F.col(c)).alias(c) for c in ("value", "file", "size")))
     path = scratch_path(spark, "trip-files")
     heads.mapInArrow(first_line, _FILE_DDL).hint("rebalance").write.parquet(path)
     return spark.read.schema(_FILE_DDL).parquet(path)
@@ -161,7 +163,7 @@ def read_files(
     width = max(1, by_status["read"]["width"] if "read" in by_status else 1)
 
     month = month_column(F.col("file"), month_from_folder)
-    lines = _lines(spark, root).where(month.isin(*months) if months is not None else month.isNotNull())
+    lines = _lines(spark, root).drop("size").where(month.isin(*months) if months is not None else month.isNotNull())
     read = wanted.where(F.col("status") == "read").select("file", "header", "places", "extra_places", "year_month")
     # a blank line is no row, nor is the header, wherever it stands
     rows = lines.join(read, "file").where((F.trim("value") != "") & (F.col("value") != F.col("header")))
@@ -174,6 +176,15 @@ def read_files(
     )
 
 
+def in_small_files(files: DataFrame, months: Collection[str] | None = None) -> bool:
+    """Whether some month (of ``months``, where given) lies in many small ones of ``files`` (of :func:`trip_files`). Rows of
+    such a month are worth dealing to one task; else each task that reads a part of a file may store it."""
+    read = files.where("status = 'read'")
+    by_month = (read if months is None else read.where(F.col("year_month").isin(*months))).groupBy("year_month")
+    small = by_month.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).where((F.col("n") > FEW_FILES) & (F.col("bytes") < F.col("n") * LARGE_FILE))
+    return not small.isEmpty()
+
+
 def read_trip_files(
     spark: SparkSession,
     root: str,
