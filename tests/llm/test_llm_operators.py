@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -439,3 +440,61 @@ def test_jaccard_rows_are_dealt_once_by_slot(spark):
     sets = jaccard_join._sets(spark.createDataFrame([(1, "a b c d")], "doc_id long, text string"), how, jaccard_join.Common(NO_COUNTS, NO_COUNTS))
     assert sets.columns == ["doc_id", "n", "key", "counts", "prefix"]
     tables.drop()
+
+
+def test_jaccard_long_texts_with_a_passage_in_common_are_told_apart_by_counts(spark, monkeypatch):
+    """Long texts share rare tokens by chance: class counts rule them out before their sets are made, and links stay, also
+    where two sets have different numbers of classes."""
+    rng, write, seen = random.Random(7), Tables.write, {}
+
+    def words(n):
+        return ["".join(rng.choices(string.ascii_lowercase, k=9)) for _ in range(n)]
+
+    rows = []
+    for i in range(0, 24, 2):
+        passage = words(60)
+        rows += [(i + k, " ".join(words(1500) + passage + words(1500))) for k in (0, 1)]
+    for n in (510, 1020, 4090):  # one more class or twice as many for the longer one
+        base = words(n)
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(base + words(20))), (len(rows) + 2, " ".join(base[: n // 2]))]
+
+    def kept(self, df, name, partition_by=None):
+        seen[name] = (out := write(self, df, name, partition_by)).count()
+        return out
+
+    monkeypatch.setattr(Tables, "write", kept)
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), Similarity(5, 80)).collect()
+    assert {tuple(r) for r in got} == components(rows, 5, 80)
+    assert seen["pairs"] == 3 and seen["tokens"] == 6
+    how = Similarity(5, 80)
+    assert not how.apart(np.full(128, 100, np.int8), np.full(64, jaccard_join.COUNT_MAX, np.int8), 2 * 64 * 200)
+    assert how.apart(np.full(128, 3, np.int8), np.full(64, 1, np.int8), 7 * 64)
+
+
+def test_jaccard_sets_are_made_where_texts_are_read(spark):
+    """Neither texts nor sets are dealt to find those of the wanted ids, and few others get through."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some words of text"), "id").alias("text"))
+    wanted = docs.filter("doc_id % 10 = 0").select(F.col("doc_id").alias("ref"), F.col("doc_id").alias("rep"), F.lit(0).cast("long").alias("mark"))
+    tokens = jaccard_join._tokens(docs, wanted, Similarity(3, 90), jaccard_join.Common(NO_COUNTS, NO_COUNTS))
+    ids = {r.rep for r in tokens.collect()}
+    assert ids >= set(range(0, 3000, 10)) and len(ids) < 330
+    plan = tokens._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_jaccard_prefix_tokens_are_dealt_once(spark, monkeypatch):
+    """The rows by token and the count of each token come from one exchange."""
+    write, plans = Tables.write, {}
+
+    def kept(self, df, name, partition_by=None):
+        df.collect()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, df, name, partition_by)
+
+    monkeypatch.setattr(Tables, "write", kept)
+    nodes = spark.createDataFrame([(ref, 10, [ref % 4, 100 + ref]) for ref in range(60)], "ref long, n long, prefix array<long>")
+    tables = Tables(spark)
+    assert jaccard_join._groups(nodes, Similarity(3, 90), tables).count() == 120
+    final = plans["postings"].split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("hashpartitioning(token") <= 2
+    tables.drop()

@@ -14,6 +14,8 @@ the group's nodes in blocks, inside tasks, which write a spanning forest of the
 
 Pairs first compare counts of their tokens by class: the counts differ by no more in
 total than the sets do, so a larger difference rules a link out before any set moves.
+Longer sets have more classes: with a fixed number of them the counts of two long sets are
+alike by the law of large numbers, and long sets are those that share a rare token by chance.
 """
 
 from __future__ import annotations
@@ -37,7 +39,10 @@ ORDERS = (21, 22, 23)  # seeds of the token orders
 FEW = 32  # a group of more nodes than this goes the way of stars and blocks
 BLOCK = 256  # nodes of a large group that meet in one task, on either side
 FILTER_BITS = 27  # as a power of two: the most bits of the filter of wanted ids, 16 MB
-CLASSES = 64  # token classes whose counts a set carries
+CLASSES = 64  # token classes whose counts a set carries, at least
+CLASS_TOKENS = 8  # a set has a class for so many tokens at most
+COUNT_MAX = 127  # counts end here; capped counts differ by no more than the counts
+FILTER_PLACES = 4  # bits that an id sets in the filter
 _FREQUENT_LOCALLY, _FREQUENT_KEPT = 4, 100_000
 
 
@@ -54,9 +59,10 @@ class Similarity:
     def sizes(self, a: Column, b: Column) -> Column:
         return (F.lit(100) * F.least(a, b)) >= (F.lit(self.percent) * F.greatest(a, b))
 
-    def apart(self, a: Column, b: Column, both: Column) -> Column:
+    def apart(self, a: np.ndarray, b: np.ndarray, both: int) -> bool:
         """Whether class counts ``a`` and ``b`` of sets with ``both`` tokens in all differ too much for a link."""
-        difference = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda t, d: t + d)
+        classes = min(len(a), len(b))
+        difference = int(np.abs(_folded(a, classes) - _folded(b, classes)).sum())
         return difference * (100 + self.percent) > both * (100 - self.percent)
 
     def ranges(self, n: Column) -> Column:
@@ -66,6 +72,16 @@ class Similarity:
         return F.array(low, low + 1)
 
 
+def _classes(n: np.ndarray) -> np.ndarray:
+    """How many token classes sets of ``n`` tokens have, a power of two."""
+    return np.left_shift(1, np.ceil(np.log2(np.maximum(n / CLASS_TOKENS, CLASSES))).astype(np.int64))
+
+
+def _folded(counts: np.ndarray, classes: int) -> np.ndarray:
+    """The counts by fewer classes: a token's class is its hash modulo their number."""
+    return np.minimum(counts.astype(np.int64).reshape(-1, classes).sum(axis=0), COUNT_MAX)
+
+
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, pa.StringArray]]:
     for a, b in runs(batch.column(column)):
         yield a, b, batch.column(column).slice(a, b - a)
@@ -172,23 +188,24 @@ def _sets(docs: DataFrame, how: Similarity, common: Common) -> DataFrame:
                 prefix = _list(rank[order][first].view(np.int64), prefix_ends, pa.int64())
                 sums = [np.concatenate(([np.uint64(0)], np.cumsum(mix(h, s)))) for s in (31, 32)]
                 digest = np.stack([(s[ends[1:]] - s[ends[:-1]]) for s in sums], axis=1).astype("<u8")
-                classes = owner * CLASSES + (mix(h, 41) % np.uint64(CLASSES)).astype(np.int64)
-                counts = np.minimum(np.bincount(classes, minlength=len(n) * CLASSES), 32_767)
-                counts = _list(counts, np.arange(len(n) + 1) * CLASSES, pa.int16())
+                classes = _classes(n)
+                class_ends = np.concatenate(([0], np.cumsum(classes)))
+                at = class_ends[:-1][owner] + (mix(h, 41) % classes[owner].astype(np.uint64)).astype(np.int64)
+                counts = _list(np.minimum(np.bincount(at, minlength=class_ends[-1]), COUNT_MAX).astype(np.int8), class_ends, pa.int8())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array([d.tobytes() for d in digest], pa.binary()), counts, prefix],
                     names=["doc_id", "n", "key", "counts", "prefix"],
                 )
 
-    return docs.mapInArrow(build, "doc_id long, n long, key binary, counts array<smallint>, prefix array<long>")
+    return docs.mapInArrow(build, "doc_id long, n long, key binary, counts array<tinyint>, prefix array<long>")
 
 
 def _id_filter(wanted: DataFrame) -> tuple[np.ndarray, int]:
-    """Bits that are set at the hashes of the wanted ids, and how many bits there are: 16 an id, at most ``FILTER_BITS``.
-    With more ids the filter lets more texts through, which the join after it sorts out."""
+    """Bits that are set at the places of the wanted ids, and how many bits there are: 16 an id, at most ``FILTER_BITS``.
+    With more ids the filter lets more texts through, which the joins after it sort out."""
     bits = 1 << min(FILTER_BITS, max(15, (16 * wanted.count()).bit_length()))
-    at = _filter_place(F.col("rep"), bits) + 1
-    rows = wanted.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    at = wanted.select(F.explode(_filter_places(F.col("rep"), bits)).alias("place")).select((F.col("place") + 1).alias("at"))
+    rows = at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     out = np.zeros(bits // 8, np.uint8)
     for row in rows.collect():  # at most bits / 2**15 rows of 4 KB
         begin = (row["bucket"] - 1) * 4096
@@ -196,23 +213,23 @@ def _id_filter(wanted: DataFrame) -> tuple[np.ndarray, int]:
     return out, bits
 
 
-def _filter_place(doc_id: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(bits))
+def _filter_places(doc_id: Column, bits: int) -> Column:
+    return F.array(*(F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(bits)) for seed in range(FILTER_PLACES)))
 
 
 def _tokens(docs: DataFrame, wanted: DataFrame, how: Similarity, common: Common) -> DataFrame:
-    """ref and tokens (ascending 64-bit hashes) of the wanted nodes, from the text of one document of
-    each. Where an id repeats, ``mark`` tells the node's text from others; rows that repeat give the
-    node more than once, which adds no link. Texts do not move: sets are made where they are read, of those documents
-    that a filter of bounded size lets through."""
+    """rep, mark and tokens (ascending 64-bit hashes) of the wanted nodes, from the text of one document of
+    each, and of few others. Where an id repeats, ``mark`` tells the node's text from others; rows that repeat give the
+    node more than once, which adds no link. Neither texts nor sets move: sets are made where they are read, of those documents
+    that a filter of bounded size lets through, and found by rep and mark."""
     held, bits = _id_filter(wanted)
     held = docs.sparkSession.sparkContext.broadcast(held)
 
     @tidy
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.column(2).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array((held.value[place >> 3] >> (place & 7)) & 1 == 1))
+            place = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, FILTER_PLACES)
+            batch = batch.filter(pa.array(((held.value[place >> 3] >> (place & 7)) & 1 == 1).all(axis=1)))
             for a, b, texts in _texts(batch, 1):
                 h, ends = shingle_sets(texts, how.words, common.words)
                 sums = np.concatenate(([np.uint64(0)], np.cumsum(mix(h, 31))))
@@ -222,8 +239,28 @@ def _tokens(docs: DataFrame, wanted: DataFrame, how: Similarity, common: Common)
                     columns = zip(*rows[at : at + 256])
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))], names=["rep", "mark", "tokens"])
 
-    some = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", _filter_place(F.col("doc_id"), bits).alias("place"))
-    return some.mapInArrow(build, "rep long, mark long, tokens binary").join(wanted, ["rep", "mark"]).select("ref", "tokens")
+    some = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", _filter_places(F.col("doc_id"), bits).alias("places"))
+    return some.mapInArrow(build, "rep long, mark long, tokens binary")
+
+
+def _alike(pairs: DataFrame, nodes: DataFrame, how: Similarity) -> DataFrame:
+    """The pairs whose counts by token class permit a link."""
+
+    @tidy
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            x, y = (batch.column(c) for c in ("counts_a", "counts_b"))
+            flat_x, at_x, flat_y, at_y = (part.to_numpy() for c in (x, y) for part in (c.values, c.offsets))
+            keep = [
+                not how.apart(flat_x[at_x[i] : at_x[i + 1]], flat_y[at_y[i] : at_y[i + 1]], int(n_a[i]) + int(n_b[i]))
+                for i in range(len(batch))
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    counts = nodes.select("ref", F.col("n").cast("int").alias("n"), "counts")
+    pairs = pairs.join(counts.toDF("a", "n_a", "counts_a"), "a").join(counts.toDF("b", "n_b", "counts_b"), "b")
+    return pairs.mapInArrow(compare, "a long, b long")
 
 
 def _heads(tokens: np.ndarray, how: Similarity, common: Common) -> list[np.ndarray]:
@@ -240,7 +277,7 @@ def _linked(a: bytes, b: bytes, how: Similarity, common: Common) -> bool:
     return 100 * both >= how.percent * (len(x) + len(y) - both)
 
 
-def _verified(pairs: DataFrame, tokens: DataFrame, how: Similarity, common: Common) -> DataFrame:
+def _verified(pairs: DataFrame, wanted: DataFrame, tokens: DataFrame, how: Similarity, common: Common) -> DataFrame:
     """Of the pairs, those that share a token of their prefixes under the later orders too and are alike enough."""
 
     @tidy
@@ -251,9 +288,11 @@ def _verified(pairs: DataFrame, tokens: DataFrame, how: Similarity, common: Comm
             yield pa.RecordBatch.from_pydict({"a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64())})
 
     # both joins read the same columns under the same names of the same exchange, so Spark deals the sets once
-    tokens = tokens.repartition("ref")
-    first = pairs.join(tokens, F.col("a") == F.col("ref")).select("a", "b", F.col("tokens").alias("tokens_a"))
-    both = first.join(tokens, F.col("b") == F.col("ref")).select("a", "b", "tokens_a", "tokens")
+    tokens = tokens.repartition("rep", "mark")
+    pairs = pairs.join(wanted.toDF("a", "rep_a", "mark_a"), "a").join(wanted.toDF("b", "rep_b", "mark_b"), "b")
+    first = pairs.join(tokens, (F.col("rep_a") == F.col("rep")) & (F.col("mark_a") == F.col("mark")))
+    first = first.select("a", "b", "rep_b", "mark_b", F.col("tokens").alias("tokens_a"))
+    both = first.join(tokens, (F.col("rep_b") == F.col("rep")) & (F.col("mark_b") == F.col("mark"))).select("a", "b", "tokens_a", "tokens")
     return both.mapInArrow(verify, "a long, b long")
 
 
@@ -262,10 +301,15 @@ def _groups(nodes: DataFrame, how: Similarity, tables: Tables) -> DataFrame:
     node ``hub`` of ``hub_n`` tokens and two marks of its nodes. A slot is the hash of token and range: should two
     of them fall together, their nodes are compared in vain.
 
-    Rows are dealt by token, and those of shared tokens by slot; groups and their rows are read from the same exchange.
+    Rows are dealt by token, and those of shared tokens by slot; either time groups and their rows are read from the same
+    exchange, as the groups use all columns of their rows.
     """
     postings = nodes.select("ref", F.col("n").cast("int").alias("n"), F.explode("prefix").alias("token")).repartition("token")
-    shared = postings.join(postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "token")
+    of_token = [f(c).alias(f"{name}_{c}") for c in ("ref", "n") for name, f in (("least", F.min), ("most", F.max))]
+    tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c"), *of_token)
+    # of two nodes alone the sizes decide
+    tokens = tokens.filter((F.col("least_ref") < F.col("most_ref")) & ((F.col("c") > 2) | how.sizes(F.col("least_n"), F.col("most_n"))))
+    shared = postings.join(tokens.select("token"), "token")
     slots = shared.select(F.explode(how.ranges(F.col("n"))).alias("size"), "token", "ref", "n")
     postings = tables.write(slots.select(F.xxhash64("token", "size").alias("slot"), "ref", "n"), "postings").repartition("slot")
     marks = [F.bit_xor(F.xxhash64("ref", F.lit(seed))).alias(f"mark_{seed}") for seed in (1, 2)]
@@ -411,14 +455,7 @@ def _components(docs: DataFrame, how: Similarity, id_col: str, text_col: str, ta
 
     star = many.filter((F.col("ref") != F.col("hub")) & how.sizes(F.col("n"), F.col("hub_n"))).select(F.col("hub").alias("a"), F.col("ref").alias("b"))
     pairs = _pairs(groups.filter(F.col("c") <= FEW), how).unionByName(star).distinct()
-    counts = nodes.select("ref", F.col("n").cast("int").alias("n"), "counts")
-    pairs = (
-        pairs.join(counts.toDF("a", "n_a", "counts_a"), "a")
-        .join(counts.toDF("b", "n_b", "counts_b"), "b")
-        .filter(~how.apart(F.col("counts_a"), F.col("counts_b"), F.col("n_a") + F.col("n_b")))
-        .select("a", "b")
-    )
-    pairs = tables.write(pairs, "pairs")
+    pairs = tables.write(_alike(pairs, nodes, how), "pairs")
     tables.drop("groups")
 
     wanted = (
@@ -427,10 +464,10 @@ def _components(docs: DataFrame, how: Similarity, id_col: str, text_col: str, ta
     # eight bytes of the digest as a long
     high, low = (F.conv(F.hex(F.substring("key", at, 4)), 16, 10).cast("long") for at in (1, 5))
     mark = F.shiftleft(high, 32).bitwiseOR(low).alias("mark")
-    wanted = tables.write(nodes.select("ref", "rep", mark).join(wanted, "ref"), "wanted")
+    wanted = tables.write(nodes.select("ref", "rep", mark).join(wanted, "ref").select("ref", "rep", "mark"), "wanted")
     tokens = tables.write(_tokens(docs, wanted, how, common), "tokens")
-    links = tables.write(_verified(pairs, tokens, how, common), "links")
-    tables.drop("pairs", "wanted")
+    links = tables.write(_verified(pairs, wanted, tokens, how, common), "links")
+    tables.drop("pairs")
 
     # of a large group: those its hub is linked to, and the others, which still have to meet everyone
     tied = links.select(F.col("a").alias("hub"), F.col("b").alias("ref"), F.lit(True).alias("tied"))
@@ -449,9 +486,9 @@ def _components(docs: DataFrame, how: Similarity, id_col: str, text_col: str, ta
     def block(table: pa.Table) -> pa.Table:
         return _block_links(table, how, common)
 
-    more = met.join(tokens, "ref").groupBy("slot", "one", "two").applyInArrow(block, "a long, b long")
+    more = met.join(wanted, "ref").join(tokens, ["rep", "mark"]).drop("rep", "mark").groupBy("slot", "one", "two").applyInArrow(block, "a long, b long")
     roots = connected(links.unionByName(more), tables)
-    tables.drop("many", "tokens", "links")
+    tables.drop("many", "wanted", "tokens", "links")
     lowest = roots.join(nodes.select("ref", "rep"), "ref")
     lowest = lowest.join(lowest.groupBy("root").agg(F.min("rep").alias("low")), "root").select("ref", "low")
     named = nodes.select("ref", "key", "rep").join(lowest, "ref", "left").select("key", F.coalesce("low", "rep").alias("component"))
